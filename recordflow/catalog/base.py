@@ -39,9 +39,15 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def wide(self, name: str) -> DataFrame:
+        """A table over all cores. Only inputs too small to arrive in that many splits are redistributed."""
+        df = self(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     def orders_json(self) -> DataFrame:
         """Orders as camelCase records with a nested object and a list; ``ordinal`` is the order key."""
-        return self("orders").select(
+        return self.wide("orders").select(
             F.col("o_orderkey").alias("ordinal"),
             F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("key"),
             F.to_json(
@@ -64,7 +70,7 @@ class Tables:
 
     def flat_json(self) -> DataFrame:
         """Customers as flat camelCase records; every third has no segment, every fifth an explicit null."""
-        return self("customer").select(
+        return self.wide("customer").select(
             F.col("c_custkey").alias("ordinal"),
             F.col("c_custkey").cast("string").alias("key"),
             F.concat(

@@ -11,6 +11,7 @@ from ..operators import mapping as M
 from ..operators import profiling as PR
 from ..operators import rules as RU
 from ..operators.contract import Contract, split, validate
+from ..operators.staging import compute_once
 from .base import Tables, got, query
 
 ORDER_SPEC = {
@@ -46,7 +47,7 @@ ORDER_CONTRACT = {
 def mapped_and_checked_orders(t: Tables):
     mapped = M.apply_mapping(t.orders_json(), ORDER_SPEC)
     good, _ = split(validate(mapped, Contract.parse(ORDER_CONTRACT)))
-    return good.withColumn("v", V.parse(F.col("value"))).selectExpr(
+    return compute_once(good, {"v": V.parse(F.col("value"))}).selectExpr(
         "variant_get(v, '$.order_id', 'bigint') order_id",
         "variant_get(v, '$.customer', 'bigint') customer",
         "variant_get(v, '$.status', 'string') status",
@@ -120,7 +121,7 @@ def mapping_defaults(t: Tables):
        FROM lineitem""",
 )
 def mapping_casts(t: Tables):
-    records = t("lineitem").selectExpr(
+    records = t.wide("lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         """to_json(named_struct('a', cast(l_orderkey as string), 'b', l_extendedprice + 0.25D, 'c', cast(l_discount as string),
              'd', l_returnflag, 'e', case when l_linestatus = 'O' then 'TRUE' else 'no' end, 'f', l_tax,
@@ -130,7 +131,7 @@ def mapping_casts(t: Tables):
     casts = dict(zip(names, ["integer", "integer", "number", "number", "boolean", "boolean", "string", "string", "string"]))
     out = M.apply_mapping(records, {"mappings": {n: f"$.{n}" for n in names}, "typeCasts": casts})
     kinds = {n: V.kind(V.field(F.col("v"), n)) for n in names}
-    out = out.withColumn("v", V.parse(F.col("value")))
+    out = compute_once(out, {"v": V.parse(F.col("value"))})
 
     def typed(name: str, kind: str, type_name: str):
         # NULL when the value is not of the JSON kind the cast should have given
@@ -160,7 +161,7 @@ def snake_names(t: Tables):
     name = F.expr(
         "concat(lower(left(c_mktsegment, 2)), upper(substr(c_mktsegment, 3, 1)), lower(substr(c_mktsegment, 4)), 'ID', c_name)"
     )
-    return t("customer").select("c_custkey", T.camel_to_snake(name).alias("snake"))
+    return t.wide("customer").select("c_custkey", T.camel_to_snake(name).alias("snake"))
 
 
 @query(
@@ -170,7 +171,7 @@ def snake_names(t: Tables):
 )
 def field_rename(t: Tables):
     """firstName replaces an existing first_name; names inside nested objects stay."""
-    records = t("orders").selectExpr(
+    records = t.wide("orders").selectExpr(
         "o_orderkey",
         """to_json(named_struct('first_name', 'old', 'firstName', o_custkey, 'aBC', o_orderkey, 'plain', o_orderstatus,
              'nestedPart', named_struct('inName', o_totalprice))) value""",
@@ -193,7 +194,7 @@ def field_rename(t: Tables):
        FROM orders""",
 )
 def type_inference(t: Tables):
-    records = t("orders").selectExpr(
+    records = t.wide("orders").selectExpr(
         "o_orderkey",
         """to_json(named_struct('whole', cast(o_custkey as string), 'amount', cast(o_totalprice as string),
              'flag', case when o_orderstatus = 'F' then 'True' else 'FALSE' end, 'words', o_orderpriority,
@@ -224,7 +225,7 @@ def type_inference(t: Tables):
 )
 def timestamp_normalise(t: Tables):
     """Epoch seconds, epoch milliseconds and an offset time in one record, all to UTC instants."""
-    records = t("events").selectExpr(
+    records = t.wide("events").selectExpr(
         "event_id",
         """to_json(named_struct(
              'seconds', cast(unix_seconds(cast(ts as timestamp)) as string),
@@ -245,7 +246,7 @@ def timestamp_normalise(t: Tables):
 )
 def rules_on_batches(t: Tables):
     """All rules in order; one record that no rule applies to sends its batch elsewhere unchanged."""
-    records = t("orders").selectExpr(
+    records = t.wide("orders").selectExpr(
         "o_orderkey",
         "o_orderkey div 50 batch_id",
         """case when o_orderkey % 301 = 7 then '[1]' when o_orderkey % 11 = 0 then '{"plain":1}'
@@ -262,7 +263,7 @@ def rules_on_batches(t: Tables):
 )
 def rule_order(t: Tables):
     """Casting first turns an epoch text into a number, which the timestamp rule then leaves alone."""
-    records = t("events").selectExpr(
+    records = t.wide("events").selectExpr(
         "event_id", "to_json(named_struct('at', cast(unix_seconds(cast(ts as timestamp)) as string))) value"
     )
     one = RU.apply_patterns(records.withColumn("other", F.col("value")), ["type_cast", "timestamp_format"])
@@ -283,7 +284,7 @@ def fence_strip(t: Tables):
         F.concat(F.lit("  "), F.col("text"))
     )
     block = F.concat(F.lit("```\n"), F.col("text"), F.lit("\n```"))
-    return t("documents").select(
+    return t.wide("documents").select(
         "doc_id", F.md5(V.strip_fences(fenced)).alias("stripped"), F.md5(V.code_block(block)).alias("block")
     )
 
@@ -300,7 +301,7 @@ def array_extract(t: Tables):
              when 1 then concat('{"z":[', o_custkey, ',2],"a":[0]}')
              when 2 then concat('{"n":1,"rows":[', o_custkey, ',3]}') else '{"n":1}' end"""
     )
-    out = t("orders").select("o_orderkey", V.first_json_array(answer).alias("found"))
+    out = t.wide("orders").select("o_orderkey", V.first_json_array(answer).alias("found"))
     return out.select(
         "o_orderkey", F.json_array_length("found").alias("items"), got("found", "$[0]", "bigint").alias("first_item")
     )
@@ -315,7 +316,7 @@ def url_template(t: Tables):
     body = F.expr(
         "case when o_orderkey % 9 = 4 then '{bad' else to_json(named_struct('id', o_orderkey, 'st', o_orderstatus)) end"
     )
-    return t("orders").select("o_orderkey", T.render_url("http://h/{id}/s/{st}/{gone}", body).alias("url"))
+    return t.wide("orders").select("o_orderkey", T.render_url("http://h/{id}/s/{st}/{gone}", body).alias("url"))
 
 
 @query(
@@ -367,7 +368,7 @@ def sql_transform(t: Tables):
 )
 def derived_fields(t: Tables):
     return M.derive_columns(
-        t("customer"),
+        t.wide("customer"),
         {
             "tier": "case when c_acctbal >= 7500 then 'platinum' when c_acctbal >= 5000 then 'gold' when c_acctbal >= 0 then 'silver' else 'review' end",
             "balance_cents": "cast(round(c_acctbal * 100) as bigint)",
@@ -380,7 +381,7 @@ def derived_fields(t: Tables):
 
 def shaped(t: Tables):
     """Orders whose records differ in width and depth; some are not JSON and some are NULL."""
-    return t("orders").selectExpr(
+    return t.wide("orders").selectExpr(
         "o_orderkey ordinal",
         "o_orderkey div 40 batch_id",
         """case o_orderkey % 6
@@ -419,7 +420,7 @@ _TIER = """CASE WHEN all_parseable AND avg_fields <= 5 AND max_depth <= 1 THEN {
 
 
 def routed_input(t: Tables):
-    return t("orders").selectExpr(
+    return t.wide("orders").selectExpr(
         "o_orderkey ordinal",
         "o_orderkey div 7 batch_id",
         """case (o_orderkey div 7) % 5
@@ -503,7 +504,7 @@ def schema_inventory(t: Tables):
 )
 def nested_inventory(t: Tables):
     """Structures told apart at any depth from the VARIANT schema, without values."""
-    records = t("orders").selectExpr(
+    records = t.wide("orders").selectExpr(
         "o_orderkey ordinal",
         """case o_orderkey % 3 when 0 then to_json(named_struct('a', named_struct('b', o_totalprice)))
              when 1 then to_json(named_struct('a', named_struct('b', o_orderkey)))
@@ -544,7 +545,7 @@ def discovered_fields(t: Tables):
        GROUP BY batch_id""",
 )
 def batch_ranges(t: Tables):
-    out = B.assign_batches(t("orders").select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], 64)
+    out = B.assign_batches(t.wide("orders").select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], 64)
     return out.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("records"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")
     )

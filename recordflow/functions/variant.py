@@ -133,6 +133,19 @@ def kind(variant: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair]), base)
 
 
+def root_kind(text: Column) -> Column:
+    """The kind of a whole document, from the first character of its (valid) JSON text."""
+    first = F.substring(F.regexp_replace(text, r"^\s++", ""), 1, 1)
+    return (
+        F.when(first == "{", "object")
+        .when(first == "[", "array")
+        .when(first == '"', "string")
+        .when(first.isin("t", "f"), "boolean")
+        .when(first == "n", "null")
+        .otherwise("number")
+    )
+
+
 def is_text(variant: Column) -> Column:
     return F.schema_of_variant(variant) == "STRING"
 

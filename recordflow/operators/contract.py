@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 from ..functions import variant as V
 from .staging import compute_once
 
+# Accepted VARIANT schemas per declared type: (exact names, prefix).
+_NUMBERS = ("BIGINT", "DOUBLE", "FLOAT")
 _ACCEPTED = {
-    "string": ("string",),
-    "number": ("integer", "number"),
-    "numeric": ("integer", "number"),
-    "integer": ("integer",),
-    "boolean": ("boolean",),
-    "array": ("array",),
-    "object": ("object",),
+    "string": (("STRING",), None),
+    "number": (_NUMBERS, "DECIMAL"),
+    "numeric": (_NUMBERS, "DECIMAL"),
+    "integer": (("BIGINT",), None),
+    "boolean": (("BOOLEAN",), None),
+    "array": ((), "ARRAY"),
+    "object": ((), "OBJECT"),
 }
+_BIG_INTEGER = r"^DECIMAL\((?:19|[23][0-9]),0\)$"
 
 
 def _as_text(value) -> str:
@@ -77,33 +80,43 @@ class Contract:
         return Contract(text, required, types, enums)
 
 
-def error_list(variant: Column, text: Column, contract: Contract) -> Column:
-    """All violations of one record as array<string>; empty when it conforms."""
+def error_list(variant: Column, text: Column, contract: Contract, fields: dict | None = None) -> Column:
+    """All violations of one record as array<string>; empty when it conforms.
+
+    ``fields`` may hold (value, VARIANT schema) columns computed beforehand per name.
+    """
     bad_json = F.array(F.lit("Invalid JSON" if not contract.active else "Schema validation failed: not valid JSON"))
     none = F.array().cast("array<string>")
     if not contract.active:
         return F.when(V.is_parseable(text, variant), none).otherwise(bad_json)
+    fields = fields if fields is not None else field_columns(variant, contract)
     checks = []
     for name in contract.required:
-        checks.append(F.when(V.field(variant, name).isNull(), F.lit(f"Missing required field: {name}")))
+        checks.append(F.when(fields[name][0].isNull(), F.lit(f"Missing required field: {name}")))
     for name, expected in contract.types.items():
         if expected in _ACCEPTED:
-            found = V.kind(V.field(variant, name))
+            value, schema = fields[name]
+            exact, prefix = _ACCEPTED[expected]
+            fits = schema.isin("VOID", *exact)
+            if prefix:
+                fits = fits | schema.startswith(prefix)
+            if expected == "integer":
+                fits = fits | schema.rlike(_BIG_INTEGER)
             checks.append(
                 F.when(
-                    ~found.isin("null", *_ACCEPTED[expected]),
+                    ~fits,
                     F.concat(
                         F.lit(f"Field '{name}' expected {'number' if expected == 'numeric' else expected} but got "),
-                        _node_name(found),
+                        _node_name(V.kind(value)),
                     ),
                 )
             )
     for name, allowed in contract.enums.items():
-        value = V.field(variant, name)
+        value, schema = fields[name]
         shown = V.text_of(value)
         checks.append(
             F.when(
-                value.isNotNull() & ~F.is_variant_null(value) & ~shown.isin(*allowed),
+                (schema != "VOID") & ~shown.isin(*allowed),
                 F.concat(
                     F.lit(f"Field '{name}' value '"),
                     shown,
@@ -112,7 +125,7 @@ def error_list(variant: Column, text: Column, contract: Contract) -> Column:
             )
         )
     found = F.array_compact(F.array(*checks)) if checks else none
-    root = V.kind(variant)
+    root = V.root_kind(text)
     blank = F.when(F.trim(text) == "", F.array(F.lit("Expected JSON object but got: MISSING")))
     return (
         F.when(variant.isNull(), F.coalesce(blank, bad_json))
@@ -121,14 +134,30 @@ def error_list(variant: Column, text: Column, contract: Contract) -> Column:
     )
 
 
+def field_columns(variant: Column, contract: Contract) -> dict[str, tuple[Column, Column]]:
+    names = dict.fromkeys([*contract.required, *contract.types, *contract.enums])
+    return {n: (V.field(variant, n), F.schema_of_variant(V.field(variant, n))) for n in names}
+
+
 def _node_name(kind: Column) -> Column:
     return F.upper(F.when(kind == "integer", F.lit("number")).otherwise(kind))
 
 
 def validate(df: DataFrame, contract: Contract, value: str = "value", out: str = "errors") -> DataFrame:
-    """Adds the error list of every record."""
+    """Adds the error list of every record: parse once, read each field once, then check."""
     df = compute_once(df, {"_parsed": V.parse(F.col(value))})
-    return compute_once(df, {out: error_list(F.col("_parsed"), F.col(value), contract)}).drop("_parsed")
+    parsed, text = F.col("_parsed"), F.col(value)
+    read = {f"_c{i}": c for i, (c, _) in enumerate(field_columns(parsed, contract).values())}
+    if not read:
+        return compute_once(df, {out: error_list(parsed, text, contract)}).drop("_parsed")
+    df = compute_once(df, read)
+    df = compute_once(df, {f"_s{i}": F.schema_of_variant(F.col(c)) for i, c in enumerate(read)})
+    fields = {
+        n: (F.col(f"_c{i}"), F.col(f"_s{i}")) for i, n in enumerate(field_columns(parsed, contract))
+    }
+    return compute_once(df, {out: error_list(parsed, text, contract, fields)}).drop(
+        "_parsed", *read, *[f"_s{i}" for i in range(len(read))]
+    )
 
 
 def split(df: DataFrame, errors: str = "errors") -> tuple[DataFrame, DataFrame]:
