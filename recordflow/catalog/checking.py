@@ -279,20 +279,21 @@ def ordered_results(t: Tables):
 
 @query(
     "B5",
-    """SELECT conv_id // 4 AS batch_id, count(*) AS records, min(role || ':' || turn) FILTER (rn = 1) AS first_record,
-              md5(string_agg(text, '|' ORDER BY conv_id, turn)) AS texts_md5 FROM
-       (SELECT *, row_number() OVER (PARTITION BY conv_id // 4 ORDER BY conv_id, turn) AS rn FROM conversations) GROUP BY 1""",
+    """SELECT batch_id, count(*) AS records, min(role || ':' || turn) FILTER (pos = 0) AS first_record,
+              md5(string_agg(text, '|' ORDER BY pos)) AS texts_md5 FROM
+       (SELECT role, turn, text, (rn - 1) // 25 AS batch_id, (rn - 1) % 25 AS pos FROM
+         (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS rn FROM conversations)) GROUP BY 1""",
 )
 def batch_json(t: Tables):
-    """Turns of a few conversations as one JSON array each, in order, whole texts."""
+    """Conversation turns as JSON arrays of at most 25 records, in order, whole texts."""
     rows = t("conversations").selectExpr(
-        "conv_id div 4 batch_id",
-        "conv_id * 100000 + turn ordinal",
+        "conv_id",
+        "turn",
         "concat(role, ':', turn) key",
         "text value",
-        "case when turn = 0 then map('first', 'yes') else map() end metadata",
+        "cast(case when turn = 0 then map('first', 'yes') else map() end as map<string,string>) metadata",
     )
-    out = B.serialize_batches(rows.withColumn("metadata", F.col("metadata").cast("map<string,string>")))
+    out = B.serialize_batches(B.assign_batches(rows, ["conv_id", "turn"], 25))
     items = F.from_json("batch_json", "array<struct<key:string,value:string>>")
     return out.select(
         "batch_id",
