@@ -136,7 +136,9 @@ def flushed_batches(t: Tables):
         for _ in range(200):
             if handle.exception() is not None:
                 raise handle.exception()
-            if handle.lastProgress and t.spark.read.schema(schema).parquet(out).count() >= total:
+            seen = handle.lastProgress
+            # Counted only once the input is exhausted.
+            if seen and seen["numInputRows"] == 0 and t.spark.read.schema(schema).parquet(out).count() >= total:
                 break
             handle.awaitTermination(0.5)
     finally:

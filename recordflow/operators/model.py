@@ -169,7 +169,7 @@ def complete(
 
     spark = requests.sparkSession
     known = None
-    if log_path is not None and _exists(spark, log_path):
+    if log_path is not None and path_exists(spark, log_path):
         known = spark.read.schema(_ANSWER).parquet(log_path)
         unique = unique.join(known.filter("call_error is null").select("request_hash"), "request_hash", "left_anti")
 
@@ -205,7 +205,7 @@ def complete(
     return hashed.join(answers, "request_hash", "left")
 
 
-def _exists(spark, path: str) -> bool:
+def path_exists(spark, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 

@@ -47,14 +47,28 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def ordered_chunks(df: DataFrame, order: list[str], chunk: str = "_chunk") -> DataFrame:
-    """Rows tagged with the number of their range in the total order of ``order``.
+def spread_count(df: DataFrame) -> int:
+    """Partitions for a redistribution: about 128 MB each by the optimizer's size estimate, at least one per core."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    ceiling = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(cores, min(ceiling, size // (128 << 20) + 1))
 
-    Range bounds come from a sample, so the tagged rows are materialised: the
-    two passes of a scan must see the same ranges.
+
+def ordered_chunks(df: DataFrame, order: list[str], chunk: str = "_chunk", rank: str = "_rank") -> DataFrame:
+    """Rows tagged with the number of their range in the total order of ``order``, and their place within it.
+
+    One shuffle: the ids given to sorted partitions hold both numbers. Range
+    bounds come from a sample, so the tagged rows are materialised: the two
+    passes of a scan must see the same ranges.
     """
-    ranged = df.repartitionByRange(*[F.col(c) for c in order])
-    return materialise(ranged.withColumn(chunk, F.spark_partition_id()))
+    columns = [F.col(c) for c in order]
+    ranged = df.repartitionByRange(spread_count(df), *columns).sortWithinPartitions(*columns)
+    tagged = materialise(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    return tagged.withColumns(
+        {chunk: F.shiftright("_id", 33).cast("int"), rank: F.col("_id").bitwiseAND((1 << 33) - 1)}
+    ).drop("_id")
 
 
 def positions(df: DataFrame, order: list[str], out: str = "_pos") -> DataFrame:
@@ -67,10 +81,8 @@ def positions(df: DataFrame, order: list[str], out: str = "_pos") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     )
-    inside = Window.partitionBy("_chunk").orderBy(*order)
     return (
-        chunked.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets), "_chunk")
+        chunked.join(F.broadcast(offsets), "_chunk")
         .withColumn(out, F.col("_base") + F.col("_rank"))
         .drop("_chunk", "_base", "_rank")
     )
@@ -90,7 +102,7 @@ def running_max(df: DataFrame, by: list[str], order: list[str], value: str, out:
         chunked.withColumn("_local", F.max(value).over(inside))
         .join(carried, [*by, "_chunk"])
         .withColumn(out, F.greatest("_carried", "_local"))
-        .drop("_chunk", "_local", "_carried")
+        .drop("_chunk", "_rank", "_local", "_carried")
     )
 
 
@@ -98,11 +110,9 @@ def fill_sequence(df: DataFrame, by: list[str], order: list[str], known: str, ou
     """Last known id plus the number of rows since; rows that carry an id keep it."""
     chunked = ordered_chunks(df, by + order)
     inside = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    seen = chunked.withColumns(
-        {
-            "_rn": F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(*order)),
-        }
-    ).withColumn("_mark", F.last(F.when(F.col(known).isNotNull(), F.struct(F.col(known).cast("bigint").alias("id"), F.col("_rn").alias("rn"))), True).over(inside))
+    seen = chunked.withColumn("_rn", F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(*order)))
+    given = F.struct(F.col(known).cast("bigint").alias("id"), F.col("_rn").alias("rn"))
+    seen = seen.withColumn("_mark", F.last(F.when(F.col(known).isNotNull(), given), True).over(inside))
     # Summary per key and range: the last explicit id (if any) and the rows after it.
     last_id = F.max_by(F.col(known).cast("bigint"), F.when(F.col(known).isNotNull(), F.struct(*order)))
     summary = (
@@ -148,9 +158,5 @@ def fill_sequence(df: DataFrame, by: list[str], order: list[str], known: str, ou
                 F.col("_base") + F.col("_rn")
             ),
         )
-        .drop("_chunk", "_rn", "_mark", "_base")
+        .drop("_chunk", "_rank", "_rn", "_mark", "_base")
     )
-
-
-def column_list(df: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
-    return [F.col(c) for c in df.columns if c not in without]

@@ -41,7 +41,12 @@ class MaskOptions:
 
 @dataclass(frozen=True)
 class ReuseOptions:
-    """Folders of stored results. None switches a kind of reuse off."""
+    """Folders of stored results. None switches a kind of reuse off.
+
+    ``merge_equal`` sends equal (masked) record values to the model only once.
+    """
+
+    merge_equal: bool = True
 
     cache_path: str | None = None
     cache_ttl_seconds: int | None = 3600

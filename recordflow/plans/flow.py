@@ -9,13 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import variant as V
 from ..operators import privacy, profiling, reuse
 from ..operators.accounting import call_cost
 from ..operators.batching import assign_batches, serialize_batches, split_batches
 from ..operators.contract import Contract, split, to_dead_letter, validate
-from ..operators.model import ModelClient, align_results, build_prompts, complete
-from ..operators.records import ENVELOPE
+from ..operators.model import ModelClient, align_results, build_prompts, complete, embed, path_exists
 from ..operators.rules import apply_patterns
 from ..operators.staging import materialise
 from ..streaming import runner
@@ -53,13 +51,14 @@ class Pipeline:
         """``df`` has key, value (JSON text) and the order columns of the batch options."""
         c = self.config
         batched = assign_batches(df, list(c.batches.order), c.batches.size)
-        rows = profiling.with_fingerprint(batched, c.contract, c.fingerprint_mode)
+        rows = batched
         finished: list[DataFrame] = []
         invalid = None
 
         specs = self._specs(df.sparkSession)
         if specs is not None:
-            done, rows, invalid = reuse.apply_compiled(rows, specs, self.contract)
+            marked = profiling.with_fingerprint(batched, c.contract, c.fingerprint_mode)
+            done, rows, invalid = reuse.apply_compiled(marked, specs, self.contract)
             finished.append(self._finish(done, "compiled"))
 
         rows = privacy.mask(rows, c.masking.fields, c.masking.patterns)
@@ -72,8 +71,10 @@ class Pipeline:
             rows = profiling.route(rows, c.router.models, c.router.patterns, c.router.granularity)
         else:
             rows = rows.withColumns({"tier": F.lit(2), "model": F.lit(c.router.default_model), "reason": F.lit("")})
+        # Several branches read the masked and routed records: they are written once.
+        rows = materialise(rows)
         if c.router.enabled and c.router.patterns:
-            simple = apply_patterns(rows.filter("tier = 0"), c.router.patterns)
+            simple = materialise(apply_patterns(rows.filter("tier = 0"), c.router.patterns))
             finished.append(self._finish(simple.filter("handled").drop("handled"), "rules"))
             rows = rows.filter("tier > 0").unionByName(
                 simple.filter("not handled").drop("handled").withColumn("model", F.lit(c.router.default_model))
@@ -134,7 +135,7 @@ class Pipeline:
                 if not held.isEmpty():
                     work(self.transform(held), batch_id)
                     if self.config.reuse.spec_path and self.client is not None:
-                        self.compile(held, self.config.batches.order[0])
+                        self.compile(held, self.config.batches.order[0])  # for later micro-batches
             finally:
                 held.unpersist()
 
@@ -150,7 +151,7 @@ class Pipeline:
 
     def _specs(self, spark: SparkSession) -> DataFrame | None:
         path = self.config.reuse.spec_path
-        if path is None or not _exists(spark, path):
+        if path is None or not path_exists(spark, path):
             return None
         log = spark.read.schema(reuse.SPEC_COLUMNS).parquet(path)
         return reuse.live_specs(log, self.config.reuse.spec_ttl_seconds)
@@ -163,7 +164,7 @@ class Pipeline:
 
     def _from_cache(self, rows: DataFrame) -> tuple[DataFrame | None, DataFrame]:
         c, spark = self.config.reuse, rows.sparkSession
-        if c.cache_path is None or not _exists(spark, c.cache_path):
+        if c.cache_path is None or not path_exists(spark, c.cache_path):
             return None, rows
         cache = reuse.live_entries(spark.read.schema(_CACHE).parquet(c.cache_path), c.cache_ttl_seconds)
         newest = cache.groupBy("content_key").agg(F.max_by("output", "created_at").alias("output"))
@@ -172,8 +173,6 @@ class Pipeline:
         hit = looked.filter("output is not null").withColumn("value", F.col("output")).drop("output")
         miss = looked.filter("output is null").drop("output")
         if c.similarity is not None and self.embedder is not None:
-            from ..operators.model import embed
-
             asked = embed(miss, self.embedder, "value").withColumn("query_id", F.concat_ws(":", *_KEYS))
             found = reuse.cache_lookup(asked, cache.filter("embedding is not null"), c.similarity)
             found = materialise(found.drop("embedding", "query_id", "similarity", "cache_id", "age_seconds"))
@@ -184,23 +183,25 @@ class Pipeline:
     def _by_model(self, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(answers joined to their inputs, inputs without a valid answer, the call log)."""
         c = self.config
+        options = {
+            "log_path": c.reuse.call_log_path,
+            "max_retries": c.calls.max_retries,
+            "wait_seconds": c.calls.wait_seconds,
+            "calls_per_second": c.calls.calls_per_second,
+        }
+        keyed = rows.withColumn("content_key", self._work_key())
+        asked = self._representatives(keyed) if c.reuse.merge_equal else keyed
         # Rows left in a batch get consecutive numbers; a batch is small by definition.
         renumber = F.row_number().over(Window.partitionBy("batch_id", "model").orderBy("ordinal")) - 1
-        staged = rows.withColumn("origin", F.col("ordinal")).withColumn("ordinal", renumber)
+        staged = asked.withColumn("origin", F.col("ordinal")).withColumn("ordinal", renumber)
         unit = ["batch_id", "model"]
         if c.batches.parallel_calls > 1:
-            keyed = staged.withColumn("_unit", F.concat_ws("|", *unit))
-            keyed = split_batches(keyed, c.batches.parallel_calls, "_unit").drop("_unit")
+            marked = staged.withColumn("_unit", F.concat_ws("|", *unit))
+            marked = split_batches(marked, c.batches.parallel_calls, "_unit").drop("_unit")
             again = F.row_number().over(Window.partitionBy(*unit, "sub_batch").orderBy("origin")) - 1
-            staged = keyed.withColumn("ordinal", again)
+            staged = marked.withColumn("ordinal", again)
             unit = [*unit, "sub_batch"]
         staged = materialise(staged)
-        options = {
-            "log_path": c.reuse.call_log_path,
-            "max_retries": c.calls.max_retries,
-            "wait_seconds": c.calls.wait_seconds,
-            "calls_per_second": c.calls.calls_per_second,
-        }
         first = self._ask(staged, unit, options)
         ok = self._match(staged, first, unit)
         # Only inputs without a good answer are asked again, one by one and still masked.
@@ -209,23 +210,39 @@ class Pipeline:
         redo_unit = [*unit, "_of"]
         second = self._ask(single, redo_unit, options)
         redone = self._match(single, second, redo_unit)
-        lost = (
-            single.join(redone.select(*redo_unit), redo_unit, "left_anti")
-            .join(second.select(*redo_unit, "call_error"), redo_unit, "left")
-            .withColumn("errors", F.array(F.coalesce("call_error", F.lit("no valid output"))))
-        )
-        lost = privacy.unmask(lost, enabled=c.masking.enabled)
+        failures = single.join(second.select(*redo_unit, "call_error"), redo_unit)
+
         log = ["request_hash", "batch_id", "records", "answer_model", "input_tokens", "output_tokens"]
         log += ["cache_create_tokens", "cache_read_tokens", "attempts", "latency_ms", "call_error"]
         calls = first.select(*log).unionByName(second.select(*log))
         calls = call_cost(calls.withColumnRenamed("answer_model", "model"), c.prices)
-        keep = ["batch_id", "origin", "key", "value", "mask_map"]
-        answered = ok.select(*keep).unionByName(redone.select(*keep))
-        return (
-            answered.withColumnRenamed("origin", "ordinal"),
-            lost.select("batch_id", F.col("origin").alias("ordinal"), "key", "value", "errors"),
-            calls,
+
+        # Outputs go back to every record of equal work (or to the one record asked about).
+        back = ["content_key"] if c.reuse.merge_equal else ["batch_id", "origin"]
+        keep = [*back, "value", "own_key"]
+        outputs = materialise(ok.select(*keep).unionByName(redone.select(*keep)).withColumnRenamed("value", "output"))
+        source = keyed.withColumn("origin", F.col("ordinal")).select(
+            "content_key", "batch_id", "origin", "ordinal", "key", "value", "mask_map"
+        )
+        answered = (
+            source.join(outputs, back)
+            .withColumns({"value": F.col("output"), "key": F.coalesce("own_key", "key")})
+            .select(*_KEYS, "key", "value", "mask_map", "content_key")
+        )
+        reasons = failures.groupBy(*back).agg(F.max("call_error").alias("call_error"))
+        lost = (
+            source.join(outputs.select(*back), back, "left_anti")
+            .join(reasons, back, "left")
+            .withColumn("errors", F.array(F.coalesce("call_error", F.lit("no valid output"))))
         )
+        lost = privacy.unmask(lost, enabled=c.masking.enabled)
+        return answered, lost.select(*_KEYS, "key", "value", "errors"), calls
+
+    def _representatives(self, rows: DataFrame) -> DataFrame:
+        """One record per distinct work, the first in batch order; merged before the shuffle, so copies cost nothing."""
+        names = [c for c in rows.columns if c not in ("content_key", "mask_map")]
+        first = F.min_by(F.struct(*names), F.struct(*_KEYS)).alias("_first")
+        return rows.groupBy("content_key").agg(first).select("content_key", "_first.*")
 
     def _ask(self, staged: DataFrame, unit: list[str], options: dict) -> DataFrame:
         prompts = build_prompts(serialize_batches(staged, unit), self.config.system_prompt, self.contract)
@@ -233,22 +250,21 @@ class Pipeline:
 
     def _match(self, staged: DataFrame, answers: DataFrame, unit: list[str]) -> DataFrame:
         usable = answers.filter("content is not null").select(*unit, "content")
-        matched = align_results(staged.select(*unit, "ordinal", "key", "mask_map"), usable, self.contract, unit)
+        # Without input keys the aligned key is the output's own one, or NULL.
+        matched = align_results(staged.select(*unit, "ordinal"), usable, self.contract, unit)
         good, _ = split(matched)
-        return good.join(staged.select(*unit, "ordinal", "origin"), [*unit, "ordinal"])
+        places = staged.select(*unit, "ordinal", "origin", "content_key")
+        return good.withColumnRenamed("key", "own_key").join(places, [*unit, "ordinal"])
 
     def _store(self, answered: DataFrame, asked: DataFrame) -> None:
         """Keep masked outputs by masked input: no original value reaches the cache."""
         path = self.config.reuse.cache_path
         if path is None:
             return
-        inputs = asked.select(*_KEYS, "value", self._work_key().alias("content_key"))
-        fresh = answered.select(*_KEYS, F.col("value").alias("output")).join(inputs, _KEYS)
-        once = fresh.groupBy("content_key").agg(F.min_by("output", "batch_id").alias("output"), F.first("value").alias("value"))
+        once = answered.groupBy("content_key").agg(F.min_by("value", F.struct(*_KEYS)).alias("output"))
         if self.config.reuse.similarity is not None and self.embedder is not None:
-            from ..operators.model import embed
-
-            once = embed(once, self.embedder, "value")
+            inputs = asked.select("value", self._work_key().alias("content_key")).dropDuplicates(["content_key"])
+            once = embed(once.join(inputs, "content_key"), self.embedder, "value")
         else:
             once = once.withColumn("embedding", F.lit(None).cast("array<float>"))
         once.select(
@@ -264,9 +280,4 @@ class Pipeline:
         return out.select("batch_id", "ordinal", "key", "value", F.lit(route).alias("route"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
-__all__ = ["ENVELOPE", "FlowConfig", "FlowResult", "Pipeline", "V"]
+__all__ = ["FlowConfig", "FlowResult", "Pipeline"]
