@@ -1 +1,9 @@
 """recordflow: schemaless JSON records to validated, target-shaped data, as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few Python functions that run in tasks travel with the plan, so that
+# executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
