@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,59 +50,70 @@ class Pipeline:
     def transform(self, df: DataFrame) -> FlowResult:
         """``df`` has key, value (JSON text) and the order columns of the batch options."""
         c = self.config
-        batched = assign_batches(df, list(c.batches.order), c.batches.size)
-        rows = batched
-        finished: list[DataFrame] = []
+        rows = assign_batches(df, list(c.batches.order), c.batches.size)
+        trusted: list[DataFrame] = []  # already checked against the contract
+        unchecked: list[DataFrame] = []
         invalid = None
 
         specs = self._specs(df.sparkSession)
         if specs is not None:
-            marked = profiling.with_fingerprint(batched, c.contract, c.fingerprint_mode)
+            marked = profiling.with_fingerprint(rows, c.contract, c.fingerprint_mode)
             done, rows, invalid = reuse.apply_compiled(marked, specs, self.contract)
-            finished.append(self._finish(done, "compiled"))
-
-        rows = privacy.mask(rows, c.masking.fields, c.masking.patterns)
-        cached, rows = self._from_cache(rows)
-        if cached is not None:
-            finished.append(self._finish(cached, "cache"))
+            trusted.append(self._finish(done, "compiled"))
 
-        calls, quarantine = None, []
         if c.router.enabled:
             rows = profiling.route(rows, c.router.models, c.router.patterns, c.router.granularity)
         else:
             rows = rows.withColumns({"tier": F.lit(2), "model": F.lit(c.router.default_model), "reason": F.lit("")})
-        # Several branches read the masked and routed records: they are written once.
-        rows = materialise(rows)
+        # Several branches read the routed records: they are written once.
+        rows = materialise(rows.select(*_KEYS, "key", "value", "tier", "model"))
+        trusted.append(self._finish(rows.filter("value is null"), "empty"))
+        rows = rows.filter("value is not null").withColumn("_raw", F.col("value"))
+
+        if c.reuse.cache_path is not None and path_exists(df.sparkSession, c.reuse.cache_path):
+            cached, rows = self._from_cache(privacy.mask(rows, c.masking.fields, c.masking.patterns))
+            unchecked.append(self._finish(cached, "cache"))
+
         if c.router.enabled and c.router.patterns:
-            simple = materialise(apply_patterns(rows.filter("tier = 0"), c.router.patterns))
-            finished.append(self._finish(simple.filter("handled").drop("handled"), "rules"))
-            rows = rows.filter("tier > 0").unionByName(
-                simple.filter("not handled").drop("handled").withColumn("model", F.lit(c.router.default_model))
-            )
-        empty = rows.filter("value is null")
-        finished.append(self._finish(empty, "empty"))
-        rows = rows.filter("value is not null")
+            # Rules run in place, on the record as it came.
+            plain = rows.filter("tier = 0").withColumn("value", F.col("_raw"))
+            simple = materialise(apply_patterns(plain, c.router.patterns))
+            unchecked.append(self._finish(simple.filter("handled"), "rules", restore=False))
+            left = simple.filter("not handled").drop("handled").withColumn("model", F.lit(c.router.default_model))
+            rows = rows.filter("tier > 0").unionByName(left, allowMissingColumns=True)
+        rows = rows.withColumn("value", F.col("_raw")).drop("_raw", "mask_map")
+        rows = privacy.mask(rows, c.masking.fields, c.masking.patterns)
+
+        calls, lost = None, []
         if self.client is not None:
             answered, missing, calls = self._by_model(rows)
-            finished.append(self._finish(answered, "model"))
-            quarantine.append(missing)
+            # Masked answers are checked once more with their originals in place.
+            (unchecked if c.masking.enabled else trusted).append(self._finish(answered, "model"))
+            lost.append(missing)
             self._store(answered, rows)
         else:
-            quarantine.append(rows.select(*_KEYS, "key", "value", F.array(F.lit("no model client")).alias("errors")))
-
-        whole = finished[0]
-        for part in finished[1:]:
-            whole = whole.unionByName(part)
-        checked = validate(whole, self.contract)
-        checked = checked.withColumn(
-            "errors", F.when(F.col("value").isNull(), F.array().cast("array<string>")).otherwise(F.col("errors"))
-        )
-        good, bad = split(checked)
-        rejected = bad.select(*_KEYS, "key", "value", "errors")
-        for part in quarantine:
+            unsent = privacy.unmask(rows, enabled=c.masking.enabled)
+            lost.append(unsent.select(*_KEYS, "key", "value", F.array(F.lit("no model client")).alias("errors")))
+
+        good, bad = self._checked(unchecked)
+        for part in trusted:
+            good = part if good is None else good.unionByName(part)
+        for part in bad:
+            lost.append(part)
+        rejected = lost[0]
+        for part in lost[1:]:
             rejected = rejected.unionByName(part)
         return FlowResult(good, to_dead_letter(rejected, "transform"), calls, invalid)
 
+    def _checked(self, parts: list[DataFrame]) -> tuple[DataFrame | None, list[DataFrame]]:
+        if not parts:
+            return None, []
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part)
+        good, bad = split(validate(whole, self.contract))
+        return good, [bad.select(*_KEYS, "key", "value", "errors")]
+
     def explain_routes(self, df: DataFrame) -> DataFrame:
         """One row per batch: its profile and the tier it would take."""
         c = self.config
@@ -162,14 +173,13 @@ class Pipeline:
             F.concat_ws("\u0001", F.col("value"), F.lit(self.config.contract), F.lit(self.config.system_prompt))
         )
 
-    def _from_cache(self, rows: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    def _from_cache(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(records with a stored output of equal or similar masked text, the others)."""
         c, spark = self.config.reuse, rows.sparkSession
-        if c.cache_path is None or not path_exists(spark, c.cache_path):
-            return None, rows
         cache = reuse.live_entries(spark.read.schema(_CACHE).parquet(c.cache_path), c.cache_ttl_seconds)
         newest = cache.groupBy("content_key").agg(F.max_by("output", "created_at").alias("output"))
-        looked = rows.withColumn("content_key", self._work_key()).join(newest, "content_key", "left")
-        looked = looked.drop("content_key")
+        looked = rows.withColumn("content_key", self._work_key()).join(newest, "content_key", "left").drop("content_key")
+        looked = materialise(looked)
         hit = looked.filter("output is not null").withColumn("value", F.col("output")).drop("output")
         miss = looked.filter("output is null").drop("output")
         if c.similarity is not None and self.embedder is not None:
@@ -189,7 +199,7 @@ class Pipeline:
             "wait_seconds": c.calls.wait_seconds,
             "calls_per_second": c.calls.calls_per_second,
         }
-        keyed = rows.withColumn("content_key", self._work_key())
+        keyed = materialise(rows.withColumn("content_key", self._work_key()))
         asked = self._representatives(keyed) if c.reuse.merge_equal else keyed
         # Rows left in a batch get consecutive numbers; a batch is small by definition.
         renumber = F.row_number().over(Window.partitionBy("batch_id", "model").orderBy("ordinal")) - 1
@@ -203,38 +213,44 @@ class Pipeline:
             unit = [*unit, "sub_batch"]
         staged = materialise(staged)
         first = self._ask(staged, unit, options)
-        ok = self._match(staged, first, unit)
+        ok = materialise(self._match(staged, first, unit))
+        log_rows, outputs = [first], ok
         # Only inputs without a good answer are asked again, one by one and still masked.
         missing = materialise(staged.join(ok.select(*unit, "ordinal"), [*unit, "ordinal"], "left_anti"))
-        single = missing.withColumn("_of", F.col("ordinal")).withColumn("ordinal", F.lit(0))
-        redo_unit = [*unit, "_of"]
-        second = self._ask(single, redo_unit, options)
-        redone = self._match(single, second, redo_unit)
-        failures = single.join(second.select(*redo_unit, "call_error"), redo_unit)
+        failures = None
+        if not missing.isEmpty():
+            single = missing.withColumn("_of", F.col("ordinal")).withColumn("ordinal", F.lit(0))
+            redo_unit = [*unit, "_of"]
+            second = self._ask(single, redo_unit, options)
+            redone = materialise(self._match(single, second, redo_unit))
+            outputs = ok.unionByName(redone, allowMissingColumns=True)
+            failures = single.join(second.select(*redo_unit, "call_error"), redo_unit)
+            log_rows.append(second)
 
         log = ["request_hash", "batch_id", "records", "answer_model", "input_tokens", "output_tokens"]
         log += ["cache_create_tokens", "cache_read_tokens", "attempts", "latency_ms", "call_error"]
-        calls = first.select(*log).unionByName(second.select(*log))
+        calls = log_rows[0].select(*log)
+        for part in log_rows[1:]:
+            calls = calls.unionByName(part.select(*log))
         calls = call_cost(calls.withColumnRenamed("answer_model", "model"), c.prices)
 
         # Outputs go back to every record of equal work (or to the one record asked about).
         back = ["content_key"] if c.reuse.merge_equal else ["batch_id", "origin"]
-        keep = [*back, "value", "own_key"]
-        outputs = materialise(ok.select(*keep).unionByName(redone.select(*keep)).withColumnRenamed("value", "output"))
+        outputs = outputs.select(*back, F.col("value").alias("output"), "own_key")
         source = keyed.withColumn("origin", F.col("ordinal")).select(
-            "content_key", "batch_id", "origin", "ordinal", "key", "value", "mask_map"
+            "content_key", *_KEYS, "origin", "key", "value", "mask_map"
         )
         answered = (
             source.join(outputs, back)
             .withColumns({"value": F.col("output"), "key": F.coalesce("own_key", "key")})
             .select(*_KEYS, "key", "value", "mask_map", "content_key")
         )
-        reasons = failures.groupBy(*back).agg(F.max("call_error").alias("call_error"))
-        lost = (
-            source.join(outputs.select(*back), back, "left_anti")
-            .join(reasons, back, "left")
-            .withColumn("errors", F.array(F.coalesce("call_error", F.lit("no valid output"))))
-        )
+        lost = source.join(outputs.select(*back), back, "left_anti")
+        if failures is not None:
+            lost = lost.join(failures.groupBy(*back).agg(F.max("call_error").alias("call_error")), back, "left")
+        else:
+            lost = lost.withColumn("call_error", F.lit(None).cast("string"))
+        lost = lost.withColumn("errors", F.array(F.coalesce("call_error", F.lit("no valid output"))))
         lost = privacy.unmask(lost, enabled=c.masking.enabled)
         return answered, lost.select(*_KEYS, "key", "value", "errors"), calls
 
@@ -250,8 +266,10 @@ class Pipeline:
 
     def _match(self, staged: DataFrame, answers: DataFrame, unit: list[str]) -> DataFrame:
         usable = answers.filter("content is not null").select(*unit, "content")
+        # A placeholder cannot be compared with an enum; that check follows on the restored record.
+        contract = replace(self.contract, enums={}) if self.config.masking.enabled else self.contract
         # Without input keys the aligned key is the output's own one, or NULL.
-        matched = align_results(staged.select(*unit, "ordinal"), usable, self.contract, unit)
+        matched = align_results(staged.select(*unit, "ordinal"), usable, contract, unit)
         good, _ = split(matched)
         places = staged.select(*unit, "ordinal", "origin", "content_key")
         return good.withColumnRenamed("key", "own_key").join(places, [*unit, "ordinal"])
@@ -275,9 +293,10 @@ class Pipeline:
             F.current_timestamp().alias("created_at"),
         ).write.mode("append").parquet(path)
 
-    def _finish(self, df: DataFrame, route: str) -> DataFrame:
-        out = privacy.unmask(df, enabled=self.config.masking.restore) if "mask_map" in df.columns else df
-        return out.select("batch_id", "ordinal", "key", "value", F.lit(route).alias("route"))
+    def _finish(self, df: DataFrame, route: str, restore: bool = True) -> DataFrame:
+        masked = restore and "mask_map" in df.columns
+        out = privacy.unmask(df, enabled=self.config.masking.restore) if masked else df
+        return out.select(*_KEYS, "key", "value", F.lit(route).alias("route"))
 
 
 __all__ = ["FlowConfig", "FlowResult", "Pipeline"]

@@ -247,7 +247,7 @@ def test_similar_records_hit_the_cache(records, tmp_path):
 def test_nulls_pass_and_bad_records_without_client_are_kept(records):
     config = FlowConfig(router=RouterOptions(enabled=True, patterns=("field_rename",)), batches=BatchOptions(size=1))
     result = Pipeline(config).transform(records({"aB": 1}, None, {"deep": {"x": {"y": 1}}}, "{bad"))
-    assert sorted((r["key"], r["route"]) for r in result.good.collect()) == [("k0", "rules"), ("k1", "rules")]
+    assert sorted((r["key"], r["route"]) for r in result.good.collect()) == [("k0", "rules"), ("k1", "empty")]
     assert sorted(r["key"] for r in result.quarantine.collect()) == ["k2", "k3"]
 
 
