@@ -402,16 +402,16 @@ def paged_crawl(t: Tables):
 
 @query(
     "S22",
-    """SELECT 'cn=' || o_custkey AS key, count(*) AS orders, count(*) = 1 AS is_scalar,
-              min(o_orderkey) AS first_order, 'cust' AS kind
-       FROM orders WHERE o_orderdate >= TIMESTAMP '1996-06-01' GROUP BY o_custkey""",
+    """SELECT 'cn=' || (o_orderkey // 16) AS key, count(*) AS orders, count(*) = 1 AS is_scalar,
+              min(o_orderkey) AS first_order, 'block' AS kind
+       FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-01' GROUP BY 1""",
 )
 def directory_entries(t: Tables):
-    """Orders as values of a multi-valued attribute of their customer's entry, read from a mark on, inclusive."""
-    rows = t("orders").selectExpr("concat('cn=', o_custkey) dn", "o_orderkey", "o_orderdate")
-    recent = R.entries_since(rows.withColumn("entry", F.concat_ws("/", "dn", F.col("o_orderkey").cast("string"))), "o_orderdate", _ntz("1996-06-01 00:00:00"), "entry")
+    """Orders as values of a multi-valued attribute of an entry per 16 keys, read from a mark on, inclusive."""
+    rows = t("orders").selectExpr("concat('cn=', o_orderkey div 16) dn", "o_orderkey", "o_orderdate", "cast(o_orderkey as string) entry")
+    recent = R.entries_since(rows, "o_orderdate", _ntz("1998-06-01 00:00:00"), "entry")
     values = recent.selectExpr("dn", "'order' attribute", "lpad(cast(o_orderkey as string), 12, '0') value").unionByName(
-        recent.selectExpr("dn", "'kind' attribute", "'cust' value").distinct()
+        recent.selectExpr("dn", "'kind' attribute", "'block' value").distinct()
     )
     entries = R.entries_to_records(values)
     many = F.try_variant_get(F.try_parse_json("value"), "$.order", "array<string>")

@@ -279,6 +279,11 @@ def deep_structure(variant: Column) -> Column:
     )
 
 
+def structure(text: Column, exact: bool = False) -> Column:
+    """Value-free structure: in the JVM by default, or by the exact first-element rule."""
+    return exact_structure(text) if exact else deep_structure(parse(text))
+
+
 UNPARSEABLE = "{_raw=unparseable}"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # US dollars per million input and output tokens, and the factors on
@@ -82,6 +82,15 @@ def run_metrics(log: DataFrame) -> DataFrame:
     )
 
 
+def observed(records: DataFrame, name: str, errors: str | None = None) -> tuple[DataFrame, Observation]:
+    """The same frame with live counters, filled while an action runs over it; no extra pass."""
+    observation = Observation(name)
+    counters = [F.count(F.lit(1)).alias("processed")]
+    if errors is not None:
+        counters.append(F.count_if(F.size(errors) > 0).alias("failed"))
+    return records.observe(observation, *counters), observation
+
+
 def cache_hit_ratio(lookups: DataFrame, hit: str = "hit", by: list[str] = ()) -> DataFrame:
     hits = F.count_if(F.col(hit))
     total = F.count(F.lit(1))
