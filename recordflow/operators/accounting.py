@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .staging import fill_sequence
+
 # US dollars per million input and output tokens, and the factors on
 # the input price for tokens written to and read from a prompt cache. A model name
 # is priced by the longest key it contains.
@@ -115,6 +117,28 @@ def distributions(log: DataFrame, measures: list[str], by: list[str] = (), accur
     return log.groupBy(*by).agg(*columns)
 
 
+def exact_percentiles(log: DataFrame, measure: str, by: list[str], quantiles: list[float]) -> DataFrame:
+    """Nearest-rank percentiles per group from the ordered data: exact at any size, a large group is spread out.
+
+    One row per group and quantile. ``distributions`` is the cheaper one-pass sketch.
+    """
+    rows = log.filter(F.col(measure).isNotNull()).select(*by, measure)
+    ranked = fill_sequence(rows.withColumn("_none", F.lit(None).cast("bigint")), by, [measure], "_none", "_rank")
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    wanted = sizes.select(
+        *by,
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(q).alias("quantile"), F.greatest(F.ceil(F.col("_n") * q), F.lit(1)).alias("_rank"))
+                    for q in quantiles
+                ]
+            )
+        ).alias("_q"),
+    ).select(*by, "_q.*")
+    return ranked.select(*by, "_rank", F.col(measure).alias("value")).join(wanted, [*by, "_rank"]).drop("_rank")
+
+
 def usage_report(log: DataFrame, by: list[str], mode: str = "group") -> DataFrame:
     """Calls, tokens, cost and latency per group. mode: group, rollup or cube."""
     grouped = {"group": log.groupBy, "rollup": log.rollup, "cube": log.cube}[mode](*by)

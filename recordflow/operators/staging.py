@@ -108,7 +108,7 @@ def running_max(df: DataFrame, by: list[str], order: list[str], value: str, out:
 
 def fill_sequence(df: DataFrame, by: list[str], order: list[str], known: str, out: str, start: int = 0) -> DataFrame:
     """Last known id plus the number of rows since; rows that carry an id keep it."""
-    chunked = ordered_chunks(df, by + order)
+    chunked = ordered_chunks(df, by + order, rank="_at").drop("_at")
     inside = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     seen = chunked.withColumn("_rn", F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(*order)))
     given = F.struct(F.col(known).cast("bigint").alias("id"), F.col("_rn").alias("rn"))
@@ -158,5 +158,5 @@ def fill_sequence(df: DataFrame, by: list[str], order: list[str], known: str, ou
                 F.col("_base") + F.col("_rn")
             ),
         )
-        .drop("_chunk", "_rank", "_rn", "_mark", "_base")
+        .drop("_chunk", "_rn", "_mark", "_base")
     )
