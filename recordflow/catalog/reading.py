@@ -171,7 +171,7 @@ def change_events(t: Tables):
             "'big', named_struct('BOOL', value > 50), 'none', named_struct('NUL', true))"
         )
 
-    return t("events").selectExpr(
+    return t.wide("events").selectExpr(
         "event_id",
         f"""to_json(named_struct(
               'eventName', case event_id % 4 when 0 then 'INSERT' when 1 then 'REMOVE' else 'MODIFY' end,

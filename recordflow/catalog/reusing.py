@@ -170,22 +170,20 @@ def invalid_specs(t: Tables):
 )
 def many_specs(t: Tables):
     """97 structures, more than are unrolled into the plan: the mapping is then read from the spec table."""
-    records = t.wide("orders").selectExpr(
-        "o_orderkey", "concat('{\"field', o_orderkey % 97, '\":{\"v\":\"', o_custkey, '\"}}') value"
-    )
+    def body(number: str, inner: str) -> str:
+        return """concat('{"field', """ + number + """, '":{"v":"', """ + inner + """, '"}}') value"""
+
+    records = t.wide("orders").selectExpr("o_orderkey", body("o_orderkey % 97", "o_custkey"))
     marked = PR.with_fingerprint(records, "", "deep")
-    specs = (
-        marked.select("fingerprint", (F.col("o_orderkey") % 97).alias("n"))
-        .distinct()
-        .select(
-            "fingerprint",
-            F.lit("DECLARATIVE").alias("type"),
-            F.expr(
-                """concat('{"mappings":{"out":"$.field', n, '.v"},"defaults":{"kind":"d"},"typeCasts":{"out":"integer"}}')"""
-            ).alias("code"),
-            F.expr("timestamp'2024-01-01'").alias("created_at"),
-            F.lit("m").alias("model"),
-        )
+    shapes = PR.with_fingerprint(t.spark.range(97).selectExpr("id n", body("id", "0")), "", "deep")
+    specs = shapes.select(
+        "fingerprint",
+        F.lit("DECLARATIVE").alias("type"),
+        F.expr(
+            """concat('{"mappings":{"out":"$.field', n, '.v"},"defaults":{"kind":"d"},"typeCasts":{"out":"integer"}}')"""
+        ).alias("code"),
+        F.expr("timestamp'2024-01-01'").alias("created_at"),
+        F.lit("m").alias("model"),
     )
     done, _, _ = U.apply_compiled(marked, specs, C.Contract.parse({"properties": {"out": {"type": "integer"}}}))
     return done.select(

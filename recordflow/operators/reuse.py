@@ -281,9 +281,8 @@ _SPEC = "mappings map<string,string>, defaults map<string,variant>, typeCasts ma
 _PLAIN_PATH = r"^(\$\.)?[^.\[\]]+(\[[0-9]+\])?(\.[^.\[\]]+(\[[0-9]+\])?)*$"
 
 
-def _mapped_by_data(variant: Column, code: Column) -> Column:
-    """A declarative spec held in a column, applied without unrolling it into the plan."""
-    spec = F.from_json(code, _SPEC)
+def _mapped_by_data(variant: Column, spec: Column) -> Column:
+    """A declarative spec held as a struct column, applied without unrolling it into the plan."""
     casts = spec["typeCasts"]
 
     def value_at(path: Column) -> Column:
@@ -351,12 +350,13 @@ def _with_output(df: DataFrame, specs: DataFrame, value: str) -> DataFrame:
                     F.col("fingerprint") == row["fingerprint"], mapped(F.col("input"), json.loads(row["code"]))
                 ).otherwise(output)
         return compute_once(df, {"output": F.when(F.col("input").isNotNull(), output)}).drop("input")
-    codes = declarative.select("fingerprint", F.col("code").alias("_code"))
-    by_data = F.when(F.col("_code").isNotNull(), _mapped_by_data(F.col("input"), F.col("_code")))
+    # Each spec is read once, before it meets its records.
+    codes = compute_once(declarative.select("fingerprint", "code"), {"_spec": F.from_json("code", _SPEC)}).drop("code")
+    by_data = F.when(F.col("_spec.mappings").isNotNull(), _mapped_by_data(F.col("input"), F.col("_spec")))
     return compute_once(
         df.join(codes, "fingerprint", "left"),
         {"output": F.when(F.col("input").isNotNull(), F.coalesce(output, by_data))},
-    ).drop("input", "_code")
+    ).drop("input", "_spec")
 
 
 def apply_compiled(

@@ -150,7 +150,7 @@ def test_mapping_as_data_equals_unrolled(records, read):
     }
     rows = records({"x": {"y": 1.5}, "items": [{}, {"k": "7"}], "n": None}, {"x": 1})
     unrolled = read(rows.withColumn("value", U.mapped(V.parse(F.col("value")), spec)))
-    by_data = read(rows.withColumn("value", U._mapped_by_data(V.parse(F.col("value")), F.lit(json.dumps(spec)))))
+    by_data = read(rows.withColumn("value", U._mapped_by_data(V.parse(F.col("value")), F.from_json(F.lit(json.dumps(spec)), U._SPEC))))
     assert unrolled == by_data
     assert unrolled[0]["b"] == 7 and unrolled[0]["a"] == "1.5" and unrolled[0]["n"] is None
 
