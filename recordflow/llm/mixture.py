@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, named, running_total, word_count
@@ -196,21 +196,26 @@ def mix(
         .withColumn("takers", F.when(F.col("size") > 0, takers).otherwise(none))
         .withColumn("copies", F.size("takers"))
     )
-    # What is left of a pattern's flow goes to one more copy, of the document whose size is nearest to it.
-    left = drawn.groupBy("_pattern").agg((F.first(flow_end) - F.sum(F.col("copies") * F.col("size"))).alias("_left"))
-    error = F.abs(F.col("_left") - F.col("size"))
-    spare = (F.col("size") > 0) & (F.col("copies") < len(costs)) & (error < F.col("_left"))
-    extra = (
-        drawn.join(F.broadcast(left), "_pattern")
-        .filter(spare)
-        .groupBy("_pattern")
-        .agg(F.min(F.struct(error.alias("error"), "_draw", "doc_id", "size", "_before")).alias("_one"))
-        .select("_pattern", F.col("_one._before").alias("_extra"))
-    )
-    one_more = (F.col("_before") == F.col("_extra")) & (F.col("size") > 0)
+    # What is left of a pattern's flow goes to single further copies: twice the largest that fits, then the nearest.
+    left = drawn.groupBy("_pattern").agg((F.first(flow_end) - F.sum(F.col("copies") * F.col("size"))).alias("n"))
+    more = {r._pattern: (r.n, []) for r in left.collect()}
+    for fits in (True, True, False):
+        error = F.abs(F.col("_left") - F.col("size"))
+        spare = (F.col("size") > 0) & (F.col("copies") < len(costs)) & ~F.array_contains("_extra", F.col("_before"))
+        spare &= (F.col("size") <= F.col("_left")) if fits else (error < F.col("_left"))
+        chosen = (
+            drawn.join(F.broadcast(_further(spark, more)), "_pattern")
+            .filter(spare)
+            .groupBy("_pattern")
+            .agg(F.min(F.struct(error.alias("error"), "_draw", "doc_id", "size", "_before")).alias("one"))
+        )
+        for r in chosen.collect():
+            n, extra = more[r._pattern]
+            more[r._pattern] = (n - r.one["size"], [*extra, r.one["_before"]])
+    one_more = F.array_contains("_extra", F.col("_before")) & (F.col("size") > 0)
     last = F.array(F.element_at("_ends", -1)["source"])
     return (
-        drawn.join(F.broadcast(extra), "_pattern", "left")
+        drawn.join(F.broadcast(_further(spark, more)), "_pattern")
         .withColumn("takers", F.when(one_more, F.concat("takers", last)).otherwise(F.col("takers")))
         .select(
             "doc_id",
@@ -224,6 +229,12 @@ def mix(
     )
 
 
+def _further(spark: SparkSession, more: dict[str, tuple[int, list[int]]]) -> DataFrame:
+    """Per pattern: words still to give, and the places of the documents that give one more copy."""
+    rows = [(pattern, left, extra) for pattern, (left, extra) in more.items()]
+    return spark.createDataFrame(rows, "_pattern string, _left long, _extra array<long>")
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken (see ``mix``).
 
