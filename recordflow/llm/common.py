@@ -65,4 +65,18 @@ def running_total(df: DataFrame, by: list[str], order: list[str], value: str, ou
     )
 
 
-__all__ = ["HOT_KEYS", "SPACES", "WORDS", "join_groups", "materialise", "named", "running_total", "whole_text", "word_count"]
+def keep_one(docs: DataFrame, kept: DataFrame, doc_id: str, key: Column) -> DataFrame:
+    """Rows of ``docs`` named by ``kept`` (_id, _key, _rows), all their columns; ``key`` is what a row's _key is made of.
+
+    _rows says how many rows carry that id and key. Those are copies of one row, of which one stays.
+    """
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
+    once, again = kept.filter("_rows = 1"), kept.filter("_rows > 1")
+    found = docs.join(once, same, "left_semi")
+    if again.isEmpty():
+        return found
+    repeated = docs.join(again, same, "left_semi").withColumn("_key", key).dropDuplicates([doc_id, "_key"]).drop("_key")
+    return found.unionByName(repeated)
+
+
+__all__ = ["HOT_KEYS", "SPACES", "WORDS", "join_groups", "keep_one", "materialise", "named", "running_total", "whole_text", "word_count"]

@@ -14,7 +14,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, join_groups, materialise, named, whole_text
+from .common import SPACES, join_groups, keep_one, materialise, named, whole_text
 
 
 def normalised(text: str = "text") -> Column:
@@ -111,14 +111,7 @@ def _stays(slim: DataFrame, identity: DataFrame) -> DataFrame:
 def drop_exact(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block_chars: int = 8192) -> DataFrame:
     """One row of each group of equal texts, with all its columns (see ``exact_groups`` for nulls and ties)."""
     groups = materialise(exact_groups(docs, text, doc_id, block_chars))
-    kept = groups.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    same_row = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.sha2(normalised(text), 256) == F.col("_sha"))
-    found = docs.join(kept, same_row, "left_semi")
-    again = groups.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
-    if again.isEmpty():
-        return found
-    # An id repeated with an equal text: the rows that carry it are one row, of which any may stay.
-    again = again.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    single = found.join(again, same_row, "left_anti")
-    repeated = found.join(again, same_row, "left_semi").withColumn("_sha", F.sha2(normalised(text), 256))
-    return single.unionByName(repeated.dropDuplicates([doc_id, "_sha"]).drop("_sha"))
+    kept = groups.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_key")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.bool_or("kept").alias("_kept")
+    )
+    return keep_one(docs, kept.filter("_kept").drop("_kept"), doc_id, F.sha2(normalised(text), 256))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, mixture, shards
+from . import bpe, exact, mixture, shards, simhash
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,4 +52,10 @@ def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their fingerprint and class of near duplicates."""
+    return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 __all__ = ["ORACLES", "QUERIES"]
