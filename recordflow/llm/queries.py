@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, mixture, shards, simhash
+from . import bpe, exact, mixture, prefixhash, shards, simhash
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,4 +58,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their fingerprint, set against their edited text and the next document."""
+    return prefixhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
