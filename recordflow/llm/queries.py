@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, mixture, prefixhash, shards, simhash
+from . import bpe, exact, mixture, prefixhash, recompress, shards, simhash
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,4 +64,10 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages that a document with a smaller id also has."""
+    return recompress.without_repeats(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
