@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import named, whole_text
+from .common import materialise, named, whole_text
 
-CHUNK = 16_384
+CHUNK = 65_536
 OVERLAP = 1_024
 # A pre-token is only certain when this many characters follow it, as the pattern looks ahead.
 AHEAD = 8
@@ -154,7 +154,8 @@ def _of_chunks(raw: bytes, pattern: str, chunk: int) -> Callable:
             for text, start, is_last in zip(t["chunk"].to_pylist(), t["start"].to_pylist(), t["is_last"].to_pylist()):
                 end = None if is_last else stitch(encoder.pattern, text, text[chunk:], chunk)
                 ids.append(encoder.pieces(text, start, end))
-            yield pa.RecordBatch.from_arrays([t["key"], t["at"], pa.array(ids, pa.binary())], ["key", "at", "ids"])
+            columns = [*(t[c] for c in ("key", "doc_id", "at", "_rows")), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "at", "_rows", "ids"])
 
     return run
 
@@ -191,34 +192,29 @@ def encode(
     chunks = cut.groupBy("key", "at", "is_last").agg(
         F.first("doc_id").alias("doc_id"), F.first("chunk").alias("chunk"), F.count(F.lit(1)).alias("_rows")
     )
-    starts = chunks.filter("not is_last").mapInArrow(
-        _find_stitches(pattern, chunk), "key binary, at long, start long"
+    starts = materialise(
+        chunks.filter("not is_last").mapInArrow(_find_stitches(pattern, chunk), "key binary, at long, start long")
     )
     apart = starts.filter("start < 0").select("key").distinct()
-    first = chunks.filter("at = 0").select("key", "doc_id", "_rows")
     begun = chunks.join(starts, ["key", "at"], "left").withColumn("start", F.coalesce("start", F.lit(0)))
-    encoded = begun.join(apart, "key", "left_anti").mapInArrow(
-        _of_chunks(raw, pattern, chunk), "key binary, at long, ids binary"
+    stitched = begun.join(apart, "key", "left_anti").mapInArrow(
+        _of_chunks(raw, pattern, chunk), f"key binary, doc_id {id_type}, at long, _rows long, ids binary"
     )
-    in_order = F.transform(F.array_sort(F.collect_list(F.struct("at", "ids"))), lambda x: x["ids"])
-    joined = encoded.groupBy("key").agg(in_order.alias("_parts"))
-    # Texts with a pre-token longer than the overlap: put together again and encoded as one chunk.
-    text_parts = F.array_sort(F.collect_list(F.struct("at", "is_last", "chunk")))
-    whole = F.transform(text_parts, lambda x: F.when(x["is_last"], x["chunk"]).otherwise(F.substring(x["chunk"], 1, chunk)))
-    together = (
-        chunks.join(apart, "key", "left_semi")
-        .groupBy("key")
-        .agg(F.array_join(whole, "").alias("_text"), F.max("doc_id").alias("doc_id"), F.max("_rows").alias("_rows"))
-        .withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))))
-        .select("doc_id", "_text")
-        .mapInArrow(_of_wholes(raw, pattern), result)
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("at", "ids"))), lambda x: F.hex(x["ids"]))
+    long = stitched.groupBy("key").agg(
+        F.unhex(F.array_join(in_order, "")).alias("ids"), F.first("doc_id").alias("doc_id"), F.max("_rows").alias("_rows")
     )
-    long = (
-        joined.join(first, "key")
-        .withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))))
-        .select("doc_id", F.unhex(F.array_join(F.transform("_parts", F.hex), "")).alias("ids"))
-    )
-    every = short.unionByName(long).unionByName(together)
+    repeat = F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int")))
+    every = short.unionByName(long.withColumn("_row", repeat).select("doc_id", "ids"))
+    if not apart.isEmpty():
+        # A pre-token longer than the overlap: these texts are put together again and encoded as one chunk.
+        parts = F.array_sort(F.collect_list(F.struct("at", "is_last", "chunk")))
+        own = F.transform(parts, lambda x: F.when(x["is_last"], x["chunk"]).otherwise(F.substring(x["chunk"], 1, chunk)))
+        together = chunks.join(apart, "key", "left_semi").groupBy("key").agg(
+            F.array_join(own, "").alias("_text"), F.first("doc_id").alias("doc_id"), F.max("_rows").alias("_rows")
+        )
+        together = together.withColumn("_row", repeat).select("doc_id", "_text")
+        every = every.unionByName(together.mapInArrow(_of_wholes(raw, pattern), result))
     return every.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 
