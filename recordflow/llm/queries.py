@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, mixture, prefixhash, quality, recompress, shards, simhash
+from . import bpe, exact, licences, mixture, prefixhash, quality, recompress, shards, simhash
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,13 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All paragraphs of all documents that license something."""
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 @query
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the words the mix takes of them."""
