@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licences, mixture, prefixhash, quality, recompress, shards, simhash
+from . import bpe, exact, licences, mixture, prefixhash, quality, recompress, shards, simhash, warc
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,25 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of all pages."""
+    made = warc.derive(warc.responses(table(spark, sf_dir, "pages")), keep="page_id")
+    header = F.col("headers")
+    return warc.written_records(made).select(
+        "page_id",
+        "kind",
+        "record_id",
+        "refers_to",
+        header["WARC-Target-URI"].alias("target_uri"),
+        header["WARC-Payload-Digest"].alias("payload_digest"),
+        header["WARC-Block-Digest"].alias("block_digest"),
+        F.octet_length("block").cast("long").alias("block_length"),
+        F.sha2("record", 256).alias("record_sha256"),
+        F.col("block").cast("string").alias("content"),
+    )
+
+
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by a model of the labels that are not held out."""
