@@ -70,13 +70,18 @@ def keep_one(docs: DataFrame, kept: DataFrame, doc_id: str, key: Column) -> Data
 
     _rows says how many rows carry that id and key. Those are copies of one row, of which one stays.
     """
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
+    rows = docs.select(packed(docs), F.col(f"`{doc_id}`").alias("id"), key.alias("key"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     once, again = kept.filter("_rows = 1"), kept.filter("_rows > 1")
-    found = docs.join(once, same, "left_semi")
-    if again.isEmpty():
-        return found
-    repeated = docs.join(again, same, "left_semi").withColumn("_key", key).dropDuplicates([doc_id, "_key"]).drop("_key")
-    return found.unionByName(repeated)
+    found = rows.join(once, same, "left_semi")
+    if not again.isEmpty():
+        found = found.unionByName(rows.join(again, same, "left_semi").dropDuplicates(["id", "key"]))
+    return found.select("doc.*")
 
 
-__all__ = ["HOT_KEYS", "SPACES", "WORDS", "join_groups", "keep_one", "materialise", "named", "running_total", "whole_text", "word_count"]
+def packed(df: DataFrame) -> Column:
+    """All columns of a row as one, so that their names cannot clash with an operator's."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc")
+
+
+__all__ = ["HOT_KEYS", "SPACES", "WORDS", "join_groups", "keep_one", "materialise", "named", "packed", "running_total", "whole_text", "word_count"]

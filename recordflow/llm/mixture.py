@@ -14,7 +14,7 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, named, running_total, word_count
+from .common import materialise, named, packed, running_total, word_count
 
 WEIGHTS = (5, 2, 1)
 # Cost of a word taken for the first, second and third time; increasing, so the flow spreads before it repeats.
@@ -243,6 +243,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     text, doc_id = options.get("text", "text"), options.get("doc_id", "doc_id")
     taken = mix(docs, **options).groupBy("doc_id", "size").agg(F.max("copies").alias("_copies")).filter("_copies > 0")
     taken = taken.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "_copies")
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (word_count(text) == F.col("_size"))
-    repeated = docs.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*docs.columns)
+    rows = docs.select(packed(docs), F.col(f"`{doc_id}`").alias("id"), word_count(text).alias("words"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("words") == F.col("_size"))
+    repeated = rows.join(taken, same).select("doc", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return repeated.select("doc.*")

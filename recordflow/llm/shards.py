@@ -52,7 +52,8 @@ class SlotMap:
         """Next version for changed bytes or more shards: single moves from the fullest to the emptiest shard.
 
         Places not seen before go to the emptiest shard. Every move narrows the gap, and
-        nothing else changes. Fewer shards than before is an error: move their slots first.
+        nothing else changes; new shards take slots only into themselves. Fewer shards
+        than before is an error: move their slots first.
         """
         shards = shards or self.shards
         if shards < self.shards:
@@ -68,8 +69,9 @@ class SlotMap:
             shard_of[place] = shard
             held[shard].add(place)
             loads[shard] += bytes_of[place]
+        takers = range(self.shards, shards) if shards > self.shards else range(shards)
         while True:
-            full, empty = max(range(shards), key=lambda s: (loads[s], -s)), min(range(shards), key=lambda s: (loads[s], s))
+            full, empty = max(range(shards), key=lambda s: (loads[s], -s)), min(takers, key=lambda s: (loads[s], s))
             gap = loads[full] - loads[empty]
             fitting = [p for p in held[full] if 0 < bytes_of[p] < gap]
             if not fitting:
