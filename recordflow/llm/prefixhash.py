@@ -79,7 +79,7 @@ class Prefixes:
         """Mixed hashes of all spans of a width within the first ``upto`` characters."""
         count = (self.n if upto is None else upto) - width + 1
         out = np.empty(max(0, count), np.uint64)
-        for at in range(0, count, BLOCK):
+        for at in range(0, max(0, count), BLOCK):
             size = min(BLOCK, count - at)
             both = []
             for base, h in zip(BASES, self.arrays):
@@ -122,10 +122,9 @@ def least(values: np.ndarray, kept: int) -> list[int]:
     return np.unique(values)[:kept].tolist()
 
 
-def _of_short(text_hash: tuple[int, ...], n: int) -> list[int]:
-    """A text shorter than the width is one span; an empty one has none."""
-    joined = np.array([(text_hash[0] << 31 | text_hash[1]) ^ n << 40], np.uint64)
-    return mixed(joined).tolist() if n else []
+def span_width(n: int, width: int) -> int:
+    """Narrower spans for texts of less than four widths, so that halves of short texts can be alike too."""
+    return min(width, max(1, n // 4))
 
 
 def written(n: int, text_hash: tuple[int, ...], sketch: list[int]) -> str:
@@ -151,10 +150,9 @@ class _Document:
         self.doc_id, self.text, self.width, self.kept = doc_id, text, width, kept
         self.prefixes = Prefixes(text)
         self.n = self.prefixes.n
-        self.values = self.prefixes.spans(width)
+        self.values = self.prefixes.spans(span_width(self.n, width))
         self.hash = self.prefixes.span(0, self.n)
-        sketch = least(self.values, kept) if self.n >= width else _of_short(self.hash, self.n)
-        self.fingerprint = written(self.n, self.hash, sketch)
+        self.fingerprint = written(self.n, self.hash, least(self.values, kept))
 
     def edited(self, other: _Document) -> tuple[str, str, int]:
         """Text whose last half is the start of the other, its fingerprint, and what both have in common at the start.
@@ -166,13 +164,16 @@ class _Document:
         text = self.text[:keep] + other.text[:taken]
         first, second = self.prefixes.span(0, keep), other.prefixes.span(0, taken)
         whole = tuple((x + y * pow(b, keep, P)) % P for x, y, b in zip(first, second, BASES))
-        n, w = keep + taken, self.width
-        if n < w:
-            sketch = _of_short(whole, n)
-        else:
-            seam = Prefixes(text[max(0, keep - w + 1) : keep + w - 1]).spans(w)
-            parts = [self.values[: max(0, keep - w + 1)], other.values[: max(0, taken - w + 1)], seam]
-            sketch = least(np.concatenate(parts), self.kept)
+        n = keep + taken
+        w = span_width(n, self.width)
+
+        def within(document: _Document, upto: int) -> np.ndarray:
+            if span_width(document.n, self.width) != w:
+                return document.prefixes.spans(w, upto)
+            return document.values[: max(0, upto - w + 1)]
+
+        seam = Prefixes(text[max(0, keep - w + 1) : keep + w - 1]).spans(w) if w > 1 else np.zeros(0, np.uint64)
+        sketch = least(np.concatenate([within(self, keep), within(other, taken), seam]), self.kept)
         shared = keep + min(longest_common_extension(self.prefixes, keep, other.prefixes, 0), taken)
         return text, written(n, whole, sketch), shared
 

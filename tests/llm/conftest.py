@@ -5,6 +5,8 @@ import pytest
 
 sys.path.insert(0, str(pathlib.Path(__file__).parent))
 
+from conftest_llm import prose  # noqa: E402
+
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 BLANK = " \t\n\x0b\f\r"
 
@@ -20,10 +22,6 @@ def documents(spark):
     return make
 
 
-def prose(n, start=0):
-    return " ".join(f"w{(i * i + start) % 997}" for i in range(n))
-
-
 @pytest.fixture
 def odd(documents):
     """Nulls, empty and blank texts, repeated rows, an id with two texts, very long texts."""
