@@ -246,5 +246,5 @@ class LenientClient(MappingClient):
                 record = json.loads(item["value"])
             except ValueError:
                 record = {}
-            outputs.append({k: record[k] for k in ("order_id", "note") if k in record})
+            outputs.append({"_n": item["_n"], **{k: record[k] for k in ("order_id", "note") if k in record}})
         return {"content": json.dumps(outputs), "model": "fake"}

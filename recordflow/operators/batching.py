@@ -29,6 +29,28 @@ def split_batches(df: DataFrame, parallel: int, batch: str = "batch_id", ordinal
     return df.join(sizes, batch).withColumn("sub_batch", F.floor(F.col(ordinal) / run).cast("int")).drop("_rows")
 
 
+def arrival_batches(df: DataFrame, size: int) -> DataFrame:
+    """Runs of at most ``size`` rows as they arrive in each partition: adds ``batch_id`` and ``ordinal``, without a shuffle.
+
+    A recomputed partition may number its rows otherwise: materialise the result before it is read twice.
+    """
+    if size < 1:
+        raise ValueError("a batch holds at least one row")
+    numbered = df.withColumn("_id", F.monotonically_increasing_id())
+    at = F.col("_id").bitwiseAND((1 << 33) - 1)
+    return (
+        numbered.withColumn("batch_id", (F.col("_id") - at) + F.floor(at / size))
+        .withColumn("ordinal", (at % size).cast("int"))
+        .drop("_id")
+    )
+
+
+def numbered_batches(df: DataFrame, batch: list[str], ordinal: str = "ordinal", value: str = "value") -> DataFrame:
+    """One JSON array per batch for a model: ``[{"_n": ordinal, "value": text}]``. Nothing but the value is sent."""
+    members = F.array_sort(F.collect_list(F.struct(F.col(ordinal).alias("_n"), F.col(value).alias("value"))))
+    return df.groupBy(*batch).agg(F.count(F.lit(1)).cast("int").alias("records"), F.to_json(members).alias("batch_json"))
+
+
 def serialize_batches(
     df: DataFrame, batch: list[str] | None = None, ordinal: str = "ordinal", value: str = "value"
 ) -> DataFrame:

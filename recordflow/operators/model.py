@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import queue
 import random
+import threading
 import time
+import uuid
 from typing import Protocol
 
 import pandas as pd
@@ -16,6 +19,10 @@ from .contract import Contract, error_list
 from .staging import compute_once, materialise
 
 
+# Field by which an input of a batch is numbered, and that its output repeats.
+NUMBER = "_n"
+
+
 class CallFailed(Exception):
     """A failed call. ``status`` 429 and 5xx are retried, after ``retry_after`` seconds when given."""
 
@@ -41,27 +48,20 @@ class EmbeddingClient(Protocol):
 
 def build_prompts(batches: DataFrame, system_prompt: str = "", contract: Contract | None = None) -> DataFrame:
     """Adds ``system_prompt``, ``user_prompt`` and ``correction_prompt`` to (batch_json, records) rows."""
-    blocks = [system_prompt] if system_prompt else []
+    rules = [system_prompt] if system_prompt else []
     if contract is not None and contract.active:
-        blocks.append(
-            "Every output object has to satisfy this JSON Schema:\n"
-            + contract.text
-            + "\n\nAnswer with a bare JSON array of such objects and nothing else."
-        )
+        rules.append("Target schema of one output (JSON Schema):\n" + contract.text)
+    rules.append(f"Output: one JSON array, no prose. Where an input has a number {NUMBER}, its output repeats it.")
     count = F.col("records").cast("string")
     return batches.withColumns(
         {
-            "system_prompt": F.lit("\n\n".join(blocks)),
+            "system_prompt": F.lit("\n\n".join(rules)),
             "user_prompt": F.concat(
-                F.lit("Convert these "),
-                count,
-                F.lit(" records. Return one JSON array of exactly "),
-                count,
-                F.lit(" objects, one for each input and in the same order; leave none out and join none.\n"),
+                F.lit("Inputs: "), count, F.lit(". Outputs wanted: exactly "), count, F.lit(" (one per input).\n"),
                 F.col("batch_json"),
             ),
             "correction_prompt": F.concat(
-                F.lit("The last answer was not a JSON array. Return only the JSON array for this input:\n"),
+                F.lit("That could not be read as a JSON array. The inputs again; reply with the array alone.\n"),
                 F.col("batch_json"),
             ),
         }
@@ -71,7 +71,7 @@ def build_prompts(batches: DataFrame, system_prompt: str = "", contract: Contrac
 _ANSWER = (
     "request_hash string, content string, input_tokens long, output_tokens long, "
     "cache_create_tokens long, cache_read_tokens long, answer_model string, stop_reason string, "
-    "attempts int, latency_ms double, call_error string"
+    "attempts int, latency_ms double, call_error string, run_id string"
 )
 
 
@@ -107,6 +107,7 @@ def _call_with_retry(client, request: dict, retries: int, first_wait: float) ->
 
 
 def _answer_one(client, row: dict, want_array: bool, max_retries: int, wait: float, call_retries: int) -> dict:
+    options = json.loads(row["request_options"]) if row.get("request_options") else {}
     used = {"input_tokens": 0, "output_tokens": 0, "cache_create_tokens": 0, "cache_read_tokens": 0}
     started = time.monotonic()
     out = {"request_hash": row["request_hash"], "content": None, "answer_model": row.get("model"), "stop_reason": None}
@@ -117,6 +118,7 @@ def _answer_one(client, row: dict, want_array: bool, max_retries: int, wait: flo
             "system_prompt": row.get("system_prompt") or "",
             "user_prompt": prompt,
             "model": row.get("model"),
+            **options,
         }
         try:
             answer = _call_with_retry(client, request, call_retries, wait)
@@ -138,6 +140,50 @@ def _answer_one(client, row: dict, want_array: bool, max_retries: int, wait: flo
     return {**out, **used, "attempts": attempt, "latency_ms": (time.monotonic() - started) * 1000, "call_error": error}
 
 
+def _failed(row: dict, error: str, started: float) -> dict:
+    zero = {"input_tokens": 0, "output_tokens": 0, "cache_create_tokens": 0, "cache_read_tokens": 0}
+    out = {"request_hash": row["request_hash"], "content": None, "answer_model": row.get("model"), "stop_reason": None}
+    return {**out, **zero, "attempts": 1, "latency_ms": (time.monotonic() - started) * 1000, "call_error": error}
+
+
+def _in_pool(rows: list[dict], answer, at_once: int, limit: float | None, pause: float) -> list[dict]:
+    """Answers in the order of the rows, at most ``at_once`` calls at a time; one beyond its time limit counts as failed.
+
+    A thread cannot be ended from outside, so the thread of such a call is left behind and its answer ignored.
+    """
+    out: list[dict | None] = [None] * len(rows)
+    done: queue.Queue = queue.Queue()
+    running: dict[int, float] = {}
+    waiting = iter(range(len(rows)))
+    left, last_start = len(rows), 0.0
+
+    def work(i: int) -> None:
+        try:
+            done.put((i, answer(rows[i])))
+        except BaseException as failure:  # noqa: BLE001 - the caller gets it as a failed row
+            done.put((i, _failed(rows[i], f"{type(failure).__name__}: {failure}", running.get(i, time.monotonic()))))
+
+    while left:
+        while len(running) < at_once and (i := next(waiting, None)) is not None:
+            time.sleep(max(0.0, last_start + pause - time.monotonic()) if last_start else 0.0)
+            running[i] = last_start = time.monotonic()
+            threading.Thread(target=work, args=(i,), daemon=True).start()
+        soonest = None if limit is None else max(0.0, min(running.values()) + limit - time.monotonic())
+        try:
+            i, answered = done.get(timeout=soonest)
+            if i in running:
+                out[i] = answered
+                del running[i]
+                left -= 1
+        except queue.Empty:
+            for i, started in list(running.items()):
+                if time.monotonic() - started >= limit:
+                    out[i] = _failed(rows[i], f"no answer within {limit:g} s", started)
+                    del running[i]
+                    left -= 1
+    return out
+
+
 def complete(
     requests: DataFrame,
     client: ModelClient,
@@ -148,6 +194,9 @@ def complete(
     wait_seconds: float = 1.0,
     call_retries: int = 5,
     calls_per_second: float | None = None,
+    at_once: int = 8,
+    time_limit: float | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
     """Call the model once per distinct request and add its answer to every request.
 
@@ -155,53 +204,64 @@ def complete(
     ``model`` are optional. Equal requests share one call. Answers are written
     before anything reads them (to ``log_path``, else to the checkpoint folder),
     so a lost executor or a second action never repeats a paid call that was
-    stored; with ``log_path`` neither does the next run. ``calls_per_second`` is
-    a budget per task.
+    stored; with ``log_path`` neither does the next run. A task makes up to
+    ``at_once`` calls at a time, each (with its retries) within ``time_limit``
+    seconds; ``calls_per_second`` is a budget per task. ``options`` (temperature,
+    max_tokens, seed, schema, cache_prefix ...) go with every request and count
+    in its identity. ``made_now`` tells the answers of this run from stored ones.
     """
     for name in ("system_prompt", "correction_prompt", "model"):
         if name not in requests.columns:
             requests = requests.withColumn(name, F.lit(None).cast("string"))
+    written = json.dumps(options, sort_keys=True) if options else ""
     parts = [F.coalesce(F.col(c), F.lit("")) for c in ("model", "system_prompt", "user_prompt")]
+    parts += [F.lit(written)] if written else []
     hashed = requests.withColumn("request_hash", F.sha2(F.concat_ws("\u0001", *parts), 256))
-    unique = hashed.select(
-        "request_hash", "model", "system_prompt", "user_prompt", "correction_prompt"
+    asked = hashed.select(
+        "request_hash", "model", "system_prompt", "user_prompt", "correction_prompt",
+        F.lit(written).alias("request_options"),
     ).dropDuplicates(["request_hash"])
 
     spark = requests.sparkSession
-    known = None
+    run_id = uuid.uuid4().hex
+    unique = asked
     if log_path is not None and path_exists(spark, log_path):
         known = spark.read.schema(_ANSWER).parquet(log_path)
-        unique = unique.join(known.filter("call_error is null").select("request_hash"), "request_hash", "left_anti")
+        unique = asked.join(known.filter("call_error is null").select("request_hash"), "request_hash", "left_anti")
 
     pause = 1.0 / calls_per_second if calls_per_second else 0.0
+    columns = [c.split()[0] for c in _ANSWER.split(", ")]
 
     def run(frames):
         for frame in frames:
-            rows = []
-            for row in frame.to_dict("records"):
-                began = time.monotonic()
-                rows.append(_answer_one(client, row, want_array, max_retries, wait_seconds, call_retries))
-                if pause:
-                    time.sleep(max(0.0, pause - (time.monotonic() - began)))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _ANSWER.split(", ")])
+            rows = _in_pool(
+                frame.to_dict("records"),
+                lambda row: _answer_one(client, row, want_array, max_retries, wait_seconds, call_retries),
+                at_once,
+                time_limit,
+                pause,
+            )
+            yield pd.DataFrame([{**r, "run_id": run_id} for r in rows], columns=columns)
 
     fresh = unique.mapInPandas(run, _ANSWER)
     if log_path is None:
         answers = materialise(fresh)
     else:
         fresh.write.mode("append").parquet(log_path)
-        logged = spark.read.schema(_ANSWER).parquet(log_path)
+        # Only what is asked for now is grouped, not the whole log.
+        logged = spark.read.schema(_ANSWER).parquet(log_path).join(asked.select("request_hash"), "request_hash", "left_semi")
         # A failed answer may stand beside a later good one: keep the good one.
         answers = (
             logged.groupBy("request_hash")
             .agg(
                 F.max_by(
                     F.struct(*[c for c in logged.columns if c != "request_hash"]),
-                    F.col("call_error").isNull().cast("int"),
+                    F.struct(F.col("call_error").isNull(), F.col("run_id") == run_id),
                 ).alias("_a")
             )
             .select("request_hash", "_a.*")
         )
+    answers = answers.withColumn("made_now", F.coalesce(F.col("run_id") == run_id, F.lit(False))).drop("run_id")
     return hashed.join(answers, "request_hash", "left")
 
 
@@ -280,20 +340,79 @@ def align_results(
     return joined.withColumn("key", out_key).drop("_own")
 
 
-def embed(df: DataFrame, client: EmbeddingClient, text: str = "text", out: str = "embedding", chunk: int = 256) -> DataFrame:
-    """Adds the vector of every text; equal texts are embedded once, and stored before use."""
-    unique = df.select(F.col(text).alias("_text")).filter("_text is not null").distinct()
+def numbered_results(
+    answers: DataFrame, batch: list[str], contract: Contract | None = None, records: str = "records"
+) -> DataFrame:
+    """Elements of the answers with the number of the input each belongs to: batch columns, ordinal, value, own_key, errors.
+
+    An element that repeats its input's number belongs to that input. Elements
+    without numbers are taken in order, but only if there are as many as inputs. An
+    answer that fits neither way (repeated numbers, some left out of the numbering
+    while inputs lack one, or a wrong count) gives nothing, so all its inputs
+    can be asked again. What is beyond the inputs is kept with a null ordinal.
+    """
+    held = compute_once(answers.select(*batch, records, "content"), {"_items": V.first_array_field(F.col("content"))})
+    number = lambda v: F.try_variant_get(v, f"$.{NUMBER}", "int")
+    numbers = F.filter(F.transform("_items", number), lambda n: n.isNotNull() & (n >= 0) & (n < F.col(records)))
+    held = compute_once(held, {"_numbers": numbers, "_any": F.exists("_items", lambda v: number(v).isNotNull())})
+    distinct = F.size(F.array_distinct("_numbers")) == F.size("_numbers")
+    unnumbered = F.exists("_items", lambda v: number(v).isNull())
+    by_number = F.col("_any") & distinct & (~unnumbered | (F.size("_numbers") == F.col(records)))
+    by_place = ~F.col("_any") & (F.size("_items") == F.col(records))
+    elements = (
+        held.withColumn("_by_number", by_number)
+        .filter(by_number | by_place)
+        .select(*batch, records, "_by_number", F.posexplode("_items").alias("_place", "_v"))
+    )
+    given = F.when(number(F.col("_v")) < F.col(records), number(F.col("_v")))
+    ordinal = F.when(F.col("_by_number"), F.when(given >= 0, given)).otherwise(F.col("_place"))
+    # An output that repeats its number is written without it.
+    fields = F.map_filter(F.try_variant_get("_v", "$", "map<string,variant>"), lambda k, v: k != NUMBER)
+    plain = F.when(number(F.col("_v")).isNotNull(), F.to_json(fields)).otherwise(F.to_json("_v"))
+    named = compute_once(elements, {"ordinal": ordinal, "value": plain})
+    parsed = compute_once(named.drop("_v", "_place", "_by_number", records), {"_v": V.parse(F.col("value"))})
+    return compute_once(
+        parsed,
+        {
+            "errors": error_list(F.col("_v"), F.col("value"), contract or Contract()),
+            "own_key": V.text_of(V.field(F.col("_v"), "key")),
+        },
+    ).drop("_v")
+
+
+def embed(
+    df: DataFrame,
+    client: EmbeddingClient,
+    text: str = "text",
+    out: str = "embedding",
+    chunk: int = 256,
+    tries: int = 3,
+    wait_seconds: float = 1.0,
+) -> DataFrame:
+    """Adds the vector of every text; equal texts are embedded once, and stored before use.
+
+    A failed chunk is tried again, then its texts one by one; a text that still
+    fails gets a null vector. Vectors meet their rows by a hash of the text.
+    """
+    hashed = df.withColumn("_hash", F.sha2(F.col(text), 256))
+    unique = hashed.select("_hash", F.col(text).alias("_text")).filter("_text is not null").dropDuplicates(["_hash"])
+
+    def vectors_of(texts: list[str]) -> list:
+        for attempt in range(tries):
+            try:
+                return client.embed(texts)
+            except Exception:  # noqa: BLE001 - a failure becomes a null vector, not a lost stage
+                time.sleep(wait_seconds * 2**attempt if attempt + 1 < tries else 0)
+        return [None] if len(texts) == 1 else [v for t in texts for v in vectors_of([t])]
 
     def run(frames):
         for frame in frames:
             for at in range(0, len(frame), chunk):
                 part = frame.iloc[at : at + chunk]
-                yield pd.DataFrame({"_text": part["_text"], "_vector": client.embed(part["_text"].tolist())})
+                yield pd.DataFrame({"_hash": part["_hash"], "_vector": vectors_of(part["_text"].tolist())})
 
-    vectors = materialise(unique.mapInPandas(run, "_text string, _vector array<float>"))
-    return (
-        df.join(vectors, F.col(text) == F.col("_text"), "left").withColumnRenamed("_vector", out).drop("_text")
-    )
+    vectors = materialise(unique.mapInPandas(run, "_hash string, _vector array<float>"))
+    return hashed.join(vectors, "_hash", "left").withColumnRenamed("_vector", out).drop("_hash")
 
 
 class MappingClient:
@@ -307,7 +426,8 @@ class MappingClient:
         outputs = []
         for item in batch:
             record = json.loads(item["value"])
-            outputs.append({out: record.get(source) for out, source in self.fields.items()})
+            number = {NUMBER: item[NUMBER]} if NUMBER in item else {}
+            outputs.append({**number, **{out: record.get(source) for out, source in self.fields.items()}})
         content = json.dumps(outputs)
         return {
             "content": content,

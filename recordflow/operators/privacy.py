@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from ..functions import variant as V
 from .staging import compute_once
 
-# Either a key with its colon, or a string value, or a run of anything else.
-_TOKEN = V.STRING_LITERAL + r"\s*+:?|[^\"]++"
+# Either a key with its colon, or a string value, or a run of anything else, or (in broken text) a lone quote.
+_TOKEN = V.STRING_LITERAL + r"\s*+:?|[^\"]++|\""
+_MARK = "[MASKED_"
+# A placeholder, or a run of other text.
+_PLACEHOLDER = r"\[MASKED_[0-9a-z_]*+\]|[^\[]++|\["
 
 
 def _decoded(token: Column) -> Column:
@@ -33,8 +36,16 @@ def _key_name(token: Column) -> Column:
     return F.lower(_decoded(F.regexp_replace(token, r"\s*:$", "")))
 
 
+def _is_strict(text: Column) -> Column:
+    """One JSON value and nothing behind it (the parser alone stops after the first value)."""
+    in_array = V.parse(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = V.parse(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    one = F.try_variant_get(in_array, "$[0]", "variant").isNotNull() & F.try_variant_get(in_array, "$[1]", "variant").isNull()
+    return F.coalesce(one & in_object.isNotNull(), F.lit(False))
+
+
 def _is_text(token: Column) -> Column:
-    return token.startswith('"') & ~token.endswith(":")
+    return token.startswith('"') & ~token.endswith(":") & (F.length(token) > 1)
 
 
 def _owner(tokens: Column, i: Column) -> Column:
@@ -57,8 +68,10 @@ def mask(
 
     A field name matches in any case and at any depth, a pattern anywhere inside
     a text value; the whole value is replaced. Placeholders are numbered per
-    record in reading order. ``style="constant"`` uses one fixed text and keeps
-    no map. Text that is not JSON passes unchanged with an empty map.
+    record in reading order; a record that itself holds the text of a placeholder
+    gets placeholders with a mark of its own. ``style="constant"`` uses one fixed
+    text and keeps no map. Text that is not JSON (or has something behind it) is
+    masked alike, and replaced as a whole if a pattern still matches anywhere in it.
     """
     if style not in ("numbered", "constant"):
         raise ValueError(f"unknown mask style: {style}")
@@ -68,12 +81,7 @@ def mask(
         return df.withColumn(out_map, empty)
 
     tokens = F.col("_tokens")
-    # get_json_object accepts duplicate keys, which VARIANT parsing does not:
-    # such a record is still masked.
-    valid = F.get_json_object(F.col(value), "$").isNotNull()
-    staged = compute_once(
-        df, {"_tokens": F.when(valid, F.regexp_extract_all(F.col(value), F.lit(_TOKEN), F.lit(0)))}
-    )
+    staged = compute_once(df, {"_tokens": F.regexp_extract_all(F.col(value), F.lit(_TOKEN), F.lit(0))})
 
     def hits(token: Column, i: Column) -> Column:
         tests = []
@@ -89,22 +97,20 @@ def mask(
         staged,
         {"_at": F.filter(F.transform(tokens, lambda t, i: F.when(hits(t, i), i)), lambda i: i.isNotNull())},
     )
+    # A text that holds a placeholder already gets others, so that none is taken for another.
+    own = F.when(F.col(value).contains(_MARK), F.concat(F.substring(F.md5(F.col(value)), 1, 12), F.lit("_"))).otherwise("")
     if style == "constant":
-        place = lambda i: F.lit(replacement)
+        named = lambda n: F.lit(replacement)
         made_map = empty
     else:
-        place = lambda i: F.concat(
-            F.lit("[MASKED_"), (F.array_position(F.col("_at"), i) - 1).cast("string"), F.lit("]")
-        )
+        named = lambda n: F.concat(F.lit(_MARK), own, n.cast("string"), F.lit("]"))
         made_map = F.map_from_entries(
             F.transform(
                 F.col("_at"),
-                lambda i, n: F.struct(
-                    F.concat(F.lit("[MASKED_"), n.cast("string"), F.lit("]")).alias("key"),
-                    _decoded(F.get(tokens, i)).alias("value"),
-                ),
+                lambda i, n: F.struct(named(n).alias("key"), _decoded(F.get(tokens, i)).alias("value")),
             )
         )
+    place = lambda i: named(F.array_position(F.col("_at"), i) - 1)
     rewritten = F.array_join(
         F.transform(
             tokens,
@@ -115,13 +121,26 @@ def mask(
         "",
     )
     touched = F.size("_at") > 0
-    return compute_once(
+    masked = compute_once(
         staged,
         {
             out_map: F.when(touched, made_map).otherwise(empty),
-            value: F.when(touched, rewritten).otherwise(F.col(value)),
+            "_masked": F.when(touched, rewritten).otherwise(F.col(value)),
         },
     ).drop("_tokens", "_at")
+    if not patterns:
+        return masked.withColumn(value, F.col("_masked")).drop("_masked")
+    # What the reader of tokens cannot see in broken text is looked for in the text as a whole.
+    anywhere = reduce(lambda a, b: a | b, [F.col("_masked").rlike(p) for p in patterns])
+    whole = anywhere & ~_is_strict(F.col(value))
+    whole_map = empty if style == "constant" else F.create_map(named(F.lit(0)), F.col(value))
+    return compute_once(
+        compute_once(masked, {"_whole": F.coalesce(whole, F.lit(False))}),
+        {
+            out_map: F.when(F.col("_whole"), whole_map).otherwise(F.col(out_map)),
+            value: F.when(F.col("_whole"), named(F.lit(0))).otherwise(F.col("_masked")),
+        },
+    ).drop("_masked", "_whole")
 
 
 def unmask(df: DataFrame, value: str = "value", mask_map: str = "mask_map", enabled: bool = True) -> DataFrame:
@@ -130,10 +149,15 @@ def unmask(df: DataFrame, value: str = "value", mask_map: str = "mask_map", enab
         return df
     escaped = lambda text: F.substring(F.to_json(F.array(text)), 3, 2147483647)
     body = lambda text: F.regexp_replace(escaped(text), r'"\]$', "")
-    restored = F.aggregate(
-        F.map_entries(mask_map), F.col(value), lambda acc, e: F.replace(acc, e["key"], body(e["value"]))
+    # One pass over the text: what was put back is not looked at again.
+    found = F.regexp_extract_all(F.col(value), F.lit(_PLACEHOLDER), F.lit(0))
+    put_back = F.transform(
+        found, lambda t: F.when(F.map_contains_key(mask_map, t), body(F.element_at(mask_map, t))).otherwise(t)
     )
-    return compute_once(df, {value: F.coalesce(restored, F.col(value))})
+    alone = F.element_at(mask_map, F.col(value))  # a text masked as a whole comes back as it was
+    restored = F.coalesce(alone, F.array_join(put_back, ""))
+    has_marks = (F.size(F.map_keys(mask_map)) > 0) & F.col(value).contains(_MARK)
+    return compute_once(df, {value: F.when(has_marks, restored).otherwise(F.col(value))})
 
 
 def masked_stage(df: DataFrame, work, fields=(), patterns=(), restore: bool = True, value: str = "value") -> DataFrame:

@@ -232,9 +232,11 @@ def cache_lookup(
             F.struct("entry_key", "similarity", "created_at"), F.struct("similarity", "created_at", "entry_key")
         ).alias("b")
     ).select("query_key", "b.*")
+    # An id may be stored again: the output is that of the entry that won, one of them if both moments agree.
+    outputs = live.groupBy("cache_id", "created_at").agg(F.max("output").alias("output"))
     chosen = (
         best.join(winners.withColumnRenamed("vec_key", "entry_key"), ["entry_key", "created_at"])
-        .join(live.select("cache_id", "output"), "cache_id")
+        .join(outputs, ["cache_id", "created_at"])
         .select("query_key", "cache_id", "output", "similarity", "created_at")
     )
     at = now if now is not None else F.current_timestamp()
@@ -404,19 +406,24 @@ def compile_specs(
     model: str | None = None,
     value: str = "value",
     tries: int = 3,
+    shown=None,
     **call_options,
 ) -> DataFrame:
     """Propose a spec for every structure not yet known and keep those that pass on its samples.
 
     First a declarative mapping is asked for; structures it does not fit get up
     to ``tries`` attempts at SQL expressions. Returns spec rows (one per solved
-    structure). The number of calls is one per structure and attempt.
+    structure). The number of calls is one per structure and attempt. ``shown``
+    (DataFrame to DataFrame) is applied to the one sample of each structure
+    that a model gets to see: mask it there.
     """
     fresh = df.filter(F.col(value).isNotNull() & V.parse(F.col(value)).isNotNull())
     if known is not None:
         fresh = fresh.join(known.select("fingerprint"), "fingerprint", "left_anti")
     samples = materialise(samples_per_structure(fresh.select("fingerprint", value, order), order))
     first = samples.groupBy("fingerprint").agg(F.min_by(value, order).alias("_sample"))
+    if shown is not None:
+        first = shown(first.withColumnRenamed("_sample", "value")).withColumnRenamed("value", "_sample")
     described = materialise(first.withColumn("_shape", V.describe(F.col("_sample"))))
 
     solved: list[DataFrame] = []

@@ -9,6 +9,8 @@ from ..operators.accounting import PRICES
 
 @dataclass(frozen=True)
 class BatchOptions:
+    """``order`` empty: batches of records as they arrive in each partition, without a sort."""
+
     size: int = 20
     parallel_calls: int = 1
     order: tuple[str, ...] = ("ordinal",)
@@ -61,6 +63,9 @@ class CallOptions:
     max_retries: int = 3
     wait_seconds: float = 1.0
     calls_per_second: float | None = None
+    at_once: int = 8
+    time_limit: float | None = None
+    request_options: dict | None = None
 
 
 @dataclass(frozen=True)

@@ -11,9 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import privacy, profiling, reuse
 from ..operators.accounting import call_cost
-from ..operators.batching import assign_batches, serialize_batches, split_batches
+from ..operators.batching import arrival_batches, assign_batches, numbered_batches, split_batches
 from ..operators.contract import Contract, split, to_dead_letter, validate
-from ..operators.model import ModelClient, align_results, build_prompts, complete, embed, path_exists
+from ..operators.model import ModelClient, build_prompts, complete, embed, numbered_results, path_exists
 from ..operators.rules import apply_patterns
 from ..operators.staging import materialise
 from ..streaming import runner
@@ -25,7 +25,11 @@ _KEYS = ["batch_id", "ordinal"]
 
 @dataclass
 class FlowResult:
-    """``good`` and ``quarantine`` records, the ``calls`` made, and the specs found invalid."""
+    """``good`` and ``quarantine`` records, the ``calls`` made in this run, and the specs found invalid.
+
+    ``source`` holds all columns of the input record but its value: offsets, metadata, headers,
+    whatever it came with. Outputs beyond a batch's inputs have none.
+    """
 
     good: DataFrame
     quarantine: DataFrame
@@ -38,7 +42,7 @@ class Pipeline:
 
     compiled mapping -> mask -> reuse of equal (or similar) inputs -> route ->
     rules or model -> unmask -> contract -> redo of missing outputs one by one.
-    Every input record ends either in ``good`` or in ``quarantine``.
+    Every input record ends either in ``good`` or in ``quarantine``, with its source columns.
     """
 
     def __init__(self, config: FlowConfig, client: ModelClient | None = None, embedder=None):
@@ -50,7 +54,12 @@ class Pipeline:
     def transform(self, df: DataFrame) -> FlowResult:
         """``df`` has key, value (JSON text) and the order columns of the batch options."""
         c = self.config
-        rows = assign_batches(df, list(c.batches.order), c.batches.size)
+        # What a record came with waits aside, and is joined to the results once.
+        carried = [F.col(f"`{x}`") for x in df.columns if x != "value"]
+        packed = df.select("key", "value", *[F.col(f"`{x}`") for x in c.batches.order if x not in ("key", "value")],
+                           F.struct(*carried).alias("source"))
+        batched = materialise(self._batched(packed).select(*_KEYS, "key", "value", "source"))
+        source, rows = batched.select(*_KEYS, "source"), batched.drop("source")
         trusted: list[DataFrame] = []  # already checked against the contract
         unchecked: list[DataFrame] = []
         invalid = None
@@ -59,6 +68,7 @@ class Pipeline:
         if specs is not None:
             marked = profiling.with_fingerprint(rows, c.contract, c.fingerprint_mode)
             done, rows, invalid = reuse.apply_compiled(marked, specs, self.contract)
+            done = materialise(done.select(*_KEYS, "key", "value"))
             trusted.append(self._finish(done, "compiled"))
 
         if c.router.enabled:
@@ -66,7 +76,8 @@ class Pipeline:
         else:
             rows = rows.withColumns({"tier": F.lit(2), "model": F.lit(c.router.default_model), "reason": F.lit("")})
         # Several branches read the routed records: they are written once.
-        rows = materialise(rows.select(*_KEYS, "key", "value", "tier", "model"))
+        rows = rows.select(*_KEYS, "key", "value", "tier", "model")
+        rows = materialise(rows)
         trusted.append(self._finish(rows.filter("value is null"), "empty"))
         rows = rows.filter("value is not null").withColumn("_raw", F.col("value"))
 
@@ -86,9 +97,10 @@ class Pipeline:
 
         calls, lost = None, []
         if self.client is not None:
-            answered, missing, calls = self._by_model(rows)
+            answered, surplus, missing, calls = self._by_model(rows)
             # Masked answers are checked once more with their originals in place.
             (unchecked if c.masking.enabled else trusted).append(self._finish(answered, "model"))
+            trusted.append(surplus)
             lost.append(missing)
             self._store(answered, rows)
         else:
@@ -103,7 +115,13 @@ class Pipeline:
         rejected = lost[0]
         for part in lost[1:]:
             rejected = rejected.unionByName(part)
-        return FlowResult(good, to_dead_letter(rejected, "transform"), calls, invalid)
+        good = good.join(source, _KEYS, "left")
+        quarantine = to_dead_letter(rejected.join(source, _KEYS, "left"), "transform")
+        return FlowResult(good, quarantine, calls, invalid)
+
+    def _batched(self, df: DataFrame) -> DataFrame:
+        order, size = list(self.config.batches.order), self.config.batches.size
+        return assign_batches(df, order, size) if order else arrival_batches(df, size)
 
     def _checked(self, parts: list[DataFrame]) -> tuple[DataFrame | None, list[DataFrame]]:
         if not parts:
@@ -111,13 +129,14 @@ class Pipeline:
         whole = parts[0]
         for part in parts[1:]:
             whole = whole.unionByName(part)
-        good, bad = split(validate(whole, self.contract))
+        # Read twice below, computed once.
+        good, bad = split(materialise(validate(whole, self.contract)))
         return good, [bad.select(*_KEYS, "key", "value", "errors")]
 
     def explain_routes(self, df: DataFrame) -> DataFrame:
         """One row per batch: its profile and the tier it would take."""
         c = self.config
-        batched = assign_batches(df, list(c.batches.order), c.batches.size)
+        batched = self._batched(df)
         return profiling.with_tier(profiling.batch_profile(batched), c.router.models, c.router.patterns)
 
     def compile(self, df: DataFrame, order: str = "ordinal") -> DataFrame:
@@ -128,7 +147,14 @@ class Pipeline:
         # The table read above is appended to below, so the new specs are computed first.
         fresh = materialise(
             reuse.compile_specs(
-                rows, self.client, self.contract, order, known, c.router.default_model, wait_seconds=c.calls.wait_seconds
+                rows,
+                self.client,
+                self.contract,
+                order,
+                known,
+                c.router.default_model,
+                shown=lambda d: privacy.mask(d, c.masking.fields, c.masking.patterns).drop("mask_map"),
+                wait_seconds=c.calls.wait_seconds,
             )
         )
         fresh.write.mode("append").parquet(c.reuse.spec_path)
@@ -190,14 +216,17 @@ class Pipeline:
             hit, miss = hit.unionByName(near), found.filter("not hit").drop("hit", "output")
         return hit, miss
 
-    def _by_model(self, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """(answers joined to their inputs, inputs without a valid answer, the call log)."""
+    def _by_model(self, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        """(answers joined to their inputs, outputs beyond the inputs, inputs without a valid answer, the calls made)."""
         c = self.config
         options = {
             "log_path": c.reuse.call_log_path,
             "max_retries": c.calls.max_retries,
             "wait_seconds": c.calls.wait_seconds,
             "calls_per_second": c.calls.calls_per_second,
+            "at_once": c.calls.at_once,
+            "time_limit": c.calls.time_limit,
+            "options": c.calls.request_options,
         }
         keyed = materialise(rows.withColumn("content_key", self._work_key()))
         asked = self._representatives(keyed) if c.reuse.merge_equal else keyed
@@ -213,7 +242,12 @@ class Pipeline:
             unit = [*unit, "sub_batch"]
         staged = materialise(staged)
         first = self._ask(staged, unit, options)
-        ok = materialise(self._match(staged, first, unit))
+        found = materialise(self._match(first, unit))
+        ok = self._placed(staged, found, unit)
+        extra = found.filter("ordinal is null")
+        surplus = extra.select(
+            "batch_id", F.lit(None).cast("int").alias("ordinal"), F.col("own_key").alias("key"), "value", F.lit("model").alias("route")
+        )
         log_rows, outputs = [first], ok
         # Only inputs without a good answer are asked again, one by one and still masked.
         missing = materialise(staged.join(ok.select(*unit, "ordinal"), [*unit, "ordinal"], "left_anti"))
@@ -222,16 +256,18 @@ class Pipeline:
             single = missing.withColumn("_of", F.col("ordinal")).withColumn("ordinal", F.lit(0))
             redo_unit = [*unit, "_of"]
             second = self._ask(single, redo_unit, options)
-            redone = materialise(self._match(single, second, redo_unit))
+            redone = materialise(self._placed(single, self._match(second, redo_unit), redo_unit))
             outputs = ok.unionByName(redone, allowMissingColumns=True)
             failures = single.join(second.select(*redo_unit, "call_error"), redo_unit)
             log_rows.append(second)
 
         log = ["request_hash", "batch_id", "records", "answer_model", "input_tokens", "output_tokens"]
         log += ["cache_create_tokens", "cache_read_tokens", "attempts", "latency_ms", "call_error"]
-        calls = log_rows[0].select(*log)
+        # A call counts in the run that made it, once, however many batches share its answer.
+        calls = log_rows[0].filter("made_now").select(*log)
         for part in log_rows[1:]:
-            calls = calls.unionByName(part.select(*log))
+            calls = calls.unionByName(part.filter("made_now").select(*log))
+        calls = calls.dropDuplicates(["request_hash"])
         calls = call_cost(calls.withColumnRenamed("answer_model", "model"), c.prices)
 
         # Outputs go back to every record of equal work (or to the one record asked about).
@@ -252,7 +288,7 @@ class Pipeline:
             lost = lost.withColumn("call_error", F.lit(None).cast("string"))
         lost = lost.withColumn("errors", F.array(F.coalesce("call_error", F.lit("no valid output"))))
         lost = privacy.unmask(lost, enabled=c.masking.enabled)
-        return answered, lost.select(*_KEYS, "key", "value", "errors"), calls
+        return answered, surplus, lost.select(*_KEYS, "key", "value", "errors"), calls
 
     def _representatives(self, rows: DataFrame) -> DataFrame:
         """One record per distinct work, the first in batch order; merged before the shuffle, so copies cost nothing."""
@@ -261,18 +297,19 @@ class Pipeline:
         return rows.groupBy("content_key").agg(first).select("content_key", "_first.*")
 
     def _ask(self, staged: DataFrame, unit: list[str], options: dict) -> DataFrame:
-        prompts = build_prompts(serialize_batches(staged, unit), self.config.system_prompt, self.contract)
+        prompts = build_prompts(numbered_batches(staged, unit), self.config.system_prompt, self.contract)
         return materialise(complete(prompts, self.client, **options))
 
-    def _match(self, staged: DataFrame, answers: DataFrame, unit: list[str]) -> DataFrame:
-        usable = answers.filter("content is not null").select(*unit, "content")
+    def _match(self, answers: DataFrame, unit: list[str]) -> DataFrame:
+        """Conforming elements of the answers, with the number of their input."""
+        usable = answers.filter("content is not null").select(*unit, "records", "content")
         # A placeholder cannot be compared with an enum; that check follows on the restored record.
         contract = replace(self.contract, enums={}) if self.config.masking.enabled else self.contract
-        # Without input keys the aligned key is the output's own one, or NULL.
-        matched = align_results(staged.select(*unit, "ordinal"), usable, contract, unit)
-        good, _ = split(matched)
-        places = staged.select(*unit, "ordinal", "origin", "content_key")
-        return good.withColumnRenamed("key", "own_key").join(places, [*unit, "ordinal"])
+        good, _ = split(numbered_results(usable, unit, contract))
+        return good
+
+    def _placed(self, staged: DataFrame, found: DataFrame, unit: list[str]) -> DataFrame:
+        return found.join(staged.select(*unit, "ordinal", "origin", "content_key"), [*unit, "ordinal"])
 
     def _store(self, answered: DataFrame, asked: DataFrame) -> None:
         """Keep masked outputs by masked input: no original value reaches the cache."""

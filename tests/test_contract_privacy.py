@@ -92,7 +92,30 @@ def test_mask_by_pattern(records, read):
     out = P.mask(rows, [], [r"\d{3}-\d{2}-\d{4}"]).orderBy("ordinal").collect()
     assert json.loads(out[0]["value"]) == {"a": "[MASKED_0]", "l": ["x", "[MASKED_1]"], "k": 123456789}
     assert out[1]["value"] == '"[MASKED_0]"'
-    assert out[2]["value"] == "not json 123-45-6789" and out[2]["mask_map"] == {}
+    assert out[2]["value"] == "[MASKED_0]" and out[2]["mask_map"] == {"[MASKED_0]": "not json 123-45-6789"}
+
+
+BROKEN = ("{broken bob1@x.org", '{"a":1} tail bob3@x.org', '{"a":"x","a":"bob@x.org"}', '{"a": "bob@x.org', '"" bob@x.org "')
+
+
+def test_broken_text_does_not_leak(records):
+    rows = records(*BROKEN, '{"a":"fine"} tail', '{"email":"q", "a')
+    masked = P.mask(rows, ["email"], [r"\w+@x\.org"])
+    out = masked.orderBy("ordinal").collect()
+    assert not any("@x" in r["value"] for r in out)
+    assert out[5]["value"] == '{"a":"fine"} tail' and out[6]["value"] == '{"email":"[MASKED_0]", "a'
+    assert [r["value"] for r in P.unmask(masked).orderBy("ordinal").collect()] == [r["value"] for r in rows.orderBy("ordinal").collect()]
+
+
+def test_placeholders_in_the_record_stay_text(records, read):
+    values = [
+        {"a": "see [MASKED_0]", "email": "x@y"},
+        {"email": "tell [MASKED_1]", "b": {"email": "secret"}, "c": "[MASKED_0] [x] [MASKED_"},
+        {"email": 'quote " and \\ and [MASKED_0]'},
+    ]
+    masked = P.mask(records(*values), ["email"])
+    assert not any("secret" in r["value"] or "x@y" in r["value"] for r in masked.collect())
+    assert read(P.unmask(masked)) == values
 
 
 def test_text_that_looks_like_a_field(records, read):
