@@ -34,7 +34,7 @@ WINDOW = 13
 ROUNDS, LONGEST = 3, 4
 # Text that one bucket of names, or one group of documents, is made from. Beyond so many buckets or groups
 # they grow instead, since packing needs several entries for each: some 1.5 GB and 0.1 GB of text at 100 TB.
-BUCKET_BYTES, GROUP_BYTES = 16 << 20, 4 << 20
+BUCKET_BYTES, GROUP_BYTES = 24 << 20, 4 << 20
 MOST_BUCKETS, MOST_GROUPS = 1 << 16, 1 << 20
 # Characters of documents worked on together; more where there are many buckets to pack for.
 AT_ONCE, MOST_AT_ONCE = 3 << 20, 24 << 20
@@ -162,27 +162,39 @@ def window_names(words: np.ndarray, starts: np.ndarray, window: int) -> np.ndarr
 # Entries: what is sent to a bucket of names, and what comes back to a group of documents, as packed arrays.
 
 
+def _halves(a: np.ndarray) -> bytes:
+    """Numbers by their 16-bit parts, so that zeros compress away."""
+    return np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint16).reshape(len(a), -1).T).tobytes()
+
+
 def packed(**arrays: np.ndarray) -> bytes:
-    """Arrays of one length as bytes; wide numbers by halves, so that zeros compress away."""
-    out = [np.int64(len(next(iter(arrays.values())))).tobytes()]
-    for a in arrays.values():
-        out.append(a.tobytes() if a.dtype == np.uint64 else np.ascontiguousarray(a.view(np.uint16).reshape(len(a), -1).T).tobytes())
+    """Entries (id, tag, place and names) as bytes: each document once, with the number of its entries."""
+    order = np.lexsort((arrays["place"], arrays["tag"], arrays["id"]))
+    id_, tag = arrays["id"][order], arrays["tag"][order]
+    new = np.flatnonzero(np.r_[len(id_) > 0, (id_[1:] != id_[:-1]) | (tag[1:] != tag[:-1])])
+    counts = np.diff(np.r_[new, len(id_)]).astype(np.uint32)
+    out = [np.array([len(id_), len(new)], np.int64).tobytes(), _halves(id_[new]), _halves(tag[new]), _halves(counts)]
+    for name, a in arrays.items():
+        if name not in ("id", "tag"):
+            out.append(a[order].tobytes() if a.dtype == np.uint64 else _halves(a[order]))
     return b"".join(out)
 
 
 def unpacked(data: bytes, **kinds: type) -> dict[str, np.ndarray]:
-    n = int(np.frombuffer(data, np.int64, 1)[0])
-    at, out = 8, {}
-    for name, kind in kinds.items():
+    at = 16
+
+    def read(kind: type, n: int) -> np.ndarray:
+        nonlocal at
         size = n * np.dtype(kind).itemsize
-        part = data[at : at + size]
+        part, at = data[at : at + size], at + size
         if kind is np.uint64:
-            out[name] = np.frombuffer(part, np.uint64)
-        else:
-            halves = np.frombuffer(part, np.uint16).reshape(-1, n)
-            out[name] = np.ascontiguousarray(halves.T).view(kind).reshape(n)
-        at += size
-    return out
+            return np.frombuffer(part, np.uint64)
+        return np.ascontiguousarray(np.frombuffer(part, np.uint16).reshape(-1, n).T).view(kind).reshape(n)
+
+    n, documents = np.frombuffer(data, np.int64, 2).tolist()
+    id_, tag, counts = read(np.int64, documents), read(np.uint32, documents), read(np.uint32, documents)
+    out = {name: read(kind, n) for name, kind in kinds.items() if name not in ("id", "tag")}
+    return out | {"id": np.repeat(id_, counts), "tag": np.repeat(tag, counts)}
 
 
 # Names in a bucket: of letters 32 further bits (a chance agreement only costs a comparison in the
