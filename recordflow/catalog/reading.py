@@ -409,7 +409,7 @@ def paged_crawl(t: Tables):
 def directory_entries(t: Tables):
     """Orders as values of a multi-valued attribute of an entry per 16 keys, read from a mark on, inclusive."""
     rows = t("orders").selectExpr("concat('cn=', o_orderkey div 16) dn", "o_orderkey", "o_orderdate", "cast(o_orderkey as string) entry")
-    recent = R.entries_since(rows, "o_orderdate", _ntz("1998-06-01 00:00:00"), "entry")
+    recent = R.entries_since(rows, "o_orderdate", _ntz("1998-06-01 00:00:00"))
     values = recent.selectExpr("dn", "'order' attribute", "lpad(cast(o_orderkey as string), 12, '0') value").unionByName(
         recent.selectExpr("dn", "'kind' attribute", "'block' value").distinct()
     )

@@ -248,3 +248,101 @@ class LenientClient(MappingClient):
                 record = {}
             outputs.append({"_n": item["_n"], **{k: record[k] for k in ("order_id", "note") if k in record}})
         return {"content": json.dumps(outputs), "model": "fake"}
+
+
+class DriftingClient(MappingClient):
+    """Copies order ids, but leaves out the first, a middle or the last output, adds one, repeats a number, or drops the numbers."""
+
+    def __init__(self):
+        super().__init__({"order_id": "order_id"})
+
+    def call(self, request: dict) -> dict:
+        import json
+
+        batch = json.loads(request["user_prompt"].split("\n", 1)[1])
+        out = [{"_n": x["_n"], "order_id": json.loads(x["value"])["order_id"]} for x in batch]
+        kind = out[0]["order_id"] // 25 % 7 if len(out) > 1 else 6
+        middle = len(out) // 2
+        if kind == 0:
+            out = out[1:]
+        elif kind == 1:
+            out = out[:middle] + out[middle + 1 :]
+        elif kind == 2:
+            out = out[:-1]
+        elif kind == 3:
+            out.append({"_n": len(batch), "order_id": -out[0]["order_id"] - 1})
+        elif kind == 4:
+            out = [{"order_id": o["order_id"]} for o in out][1:]
+        elif kind == 5:
+            out[-1]["_n"] = out[0]["_n"]
+        return {"content": json.dumps(out), "model": "fake"}
+
+
+@query(
+    "L5, V8 (answers that lose, repeat or add elements)",
+    """SELECT o_orderkey AS id, o_orderkey AS order_id, TRUE AS own_offset, FALSE AS surplus FROM orders
+       UNION ALL
+       SELECT -1, -min(o_orderkey) - 1, FALSE, TRUE FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 25 AS b FROM orders)
+       GROUP BY b HAVING min(o_orderkey) // 25 % 7 = 3 AND count(*) > 1""",
+)
+def drifting_answers(t: Tables):
+    """Every order gets its own answer, with its offset, whatever a batch's answer left out; what was added is kept apart."""
+    config = FlowConfig(
+        contract=C.json.dumps({"type": "object", "required": ["order_id"], "properties": {"order_id": {"type": "integer"}}}),
+        batches=BatchOptions(size=25, order=("ordinal",)),
+        reuse=ReuseOptions(merge_equal=False),
+        calls=CallOptions(max_retries=0, wait_seconds=0.0),
+    )
+    rows = t("orders").selectExpr(
+        "o_orderkey ordinal",
+        "cast(o_orderkey as string) key",
+        "to_json(named_struct('order_id', o_orderkey)) value",
+        "map('offset', cast(o_orderkey as string)) src_offset",
+    )
+    good = compute_once(Pipeline(config, DriftingClient()).transform(rows).good, {"v": V.parse(F.col("value"))})
+    return good.select(
+        F.coalesce(F.col("key").cast("bigint"), F.lit(-1)).alias("id"),
+        F.try_variant_get("v", "$.order_id", "bigint").alias("order_id"),
+        F.coalesce(F.col("source.src_offset")["offset"] == F.col("key"), F.lit(False)).alias("own_offset"),
+        F.col("key").isNull().alias("surplus"),
+    )
+
+
+class GuardedClient(MappingClient):
+    """Answers with what it was shown and fails on any address; asked for a spec, it has none."""
+
+    def __init__(self):
+        super().__init__({})
+
+    def call(self, request: dict) -> dict:
+        import json
+
+        assert "@x.org" not in request["user_prompt"] + request["system_prompt"], "unmasked text reached the client"
+        if "\n[" not in request["user_prompt"]:
+            return {"content": "NEEDS_SQL", "model": "fake"}
+        batch = json.loads(request["user_prompt"].split("\n", 1)[1])
+        return {"content": json.dumps([{"_n": x["_n"], "shown": x["value"]} for x in batch]), "model": "fake"}
+
+
+# Broken JSON, text behind JSON, text with a placeholder of its own, and whole JSON, each with an address.
+_BROKEN = """CASE doc_id % 4 WHEN 0 THEN '{broken u' || doc_id || '@x.org ' || left(text, 40)
+    WHEN 1 THEN '{"a":1} tail u' || doc_id || '@x.org'
+    WHEN 2 THEN '{"note":"see [MASKED_0]","email":"u' || doc_id || '@x.org"}'
+    ELSE '{"id":' || doc_id || ',"mail":"u' || doc_id || '@x.org"}' END"""
+
+
+@query("M2, M4, M5, K4 (broken texts, personal keys)", f"SELECT doc_id AS id, {_BROKEN} AS shown FROM documents")
+def broken_texts_masked(t: Tables):
+    """Nothing unmasked is sent, not even keys or samples, and every original comes back."""
+    config = FlowConfig(
+        contract=C.json.dumps({"type": "object", "required": ["shown"], "properties": {"shown": {"type": "string"}}}),
+        batches=BatchOptions(size=20, order=()),
+        masking=MaskOptions(fields=("email",), patterns=("[a-z0-9]+@x",)),
+        reuse=ReuseOptions(spec_path=_folder(t, "broken-specs")),
+        calls=CallOptions(max_retries=0, wait_seconds=0.0),
+    )
+    rows = t("documents").selectExpr("doc_id ordinal", "concat('k', doc_id, '@x.org') key", f"{_BROKEN} value", "doc_id")
+    flow = Pipeline(config, GuardedClient())
+    flow.compile(rows)
+    good = compute_once(flow.transform(rows).good, {"v": V.parse(F.col("value"))})
+    return good.select(F.col("source.doc_id").alias("id"), F.try_variant_get("v", "$.shown", "string").alias("shown"))

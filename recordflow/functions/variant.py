@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 # A JSON string literal. The possessive group keeps the match iterative, so a
 # literal of any length is matched without deep recursion in the regex engine.
 STRING_LITERAL = r'"(?:[^"\\]|\\.)*+"'
+# Larger indexes resolve to nothing.
+MAX_INDEX = (1 << 31) - 1
 LONG_TEXT = r"^[+-]?[0-9]+$"
 DOUBLE_TEXT = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[dDfF]?\s*$"
 
@@ -50,7 +52,7 @@ def path_steps(path: str) -> list[str | int] | None:
             continue
         name, _, rest = part.partition("[")
         index = rest.partition("]")[0]
-        if not re.fullmatch(r"[+]?[0-9]+", index):
+        if not re.fullmatch(r"[+]?[0-9]+", index) or int(index) > MAX_INDEX:
             return None
         if name:
             steps.append(name)
@@ -58,6 +60,45 @@ def path_steps(path: str) -> list[str | int] | None:
     return steps
 
 
+def steps_of(path: Column) -> Column:
+    """``path_steps`` of a path held as data: array of (name or null, index or null, ok)."""
+    parts = F.split(F.regexp_replace(F.regexp_replace(path, r"^\$\.", ""), r"\.+$", ""), r"\.")
+
+    def step(part: Column) -> Column:
+        cut = part.contains("[")
+        name = F.substring_index(part, "[", 1)
+        digits = F.regexp_extract(part, r"^[^\[]*\[([^\]]*)", 1)
+        number = F.when(digits.rlike("^[+]?[0-9]+$"), F.regexp_replace(digits, r"^[+]?0*(?=[0-9])", ""))
+        index = F.when(F.length(number) <= 10, number.cast("bigint"))
+        return F.struct(
+            F.when(~(cut & (name == "")), name).alias("name"),
+            F.when(cut, index).alias("index"),
+            (~cut | F.coalesce(index <= MAX_INDEX, F.lit(False))).alias("ok"),
+        )
+
+    return F.transform(parts, step)
+
+
+def follow(variant: Column, steps: Column) -> Column:
+    """The value at steps held as data; resolves what ``json_path`` resolves."""
+
+    def named(value: Column, name: Column) -> Column:
+        single, double = name.contains("'"), name.contains('"')
+        by_map = F.element_at(F.try_variant_get(value, "$", "map<string,variant>"), name)
+        quote = F.when(double, F.lit("'")).otherwise(F.lit('"'))
+        by_path = F.try_variant_get(value, F.concat(F.lit("$["), quote, name, quote, F.lit("]")), "variant")
+        return F.when((name == "") | (single & double), by_map).otherwise(by_path)
+
+    def move(value: Column, step: Column) -> Column:
+        inner = F.when(step["name"].isNull(), value).otherwise(named(value, step["name"]))
+        at = F.concat(F.lit("$["), F.coalesce(step["index"], F.lit(0)).cast("string"), F.lit("]"))
+        found = F.when(step["index"].isNull(), inner).otherwise(F.try_variant_get(inner, at, "variant"))
+        return F.when(step["ok"], found)
+
+    resolvable = F.forall(steps, lambda s: s["ok"])
+    return F.when(resolvable, F.aggregate(steps, variant, move))
+
+
 def variant_path(steps: list[str | int]) -> str | None:
     """Steps as a VARIANT path literal; None when a key cannot be quoted."""
     out = ["$"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
@@ -41,7 +41,9 @@ def _resolved(variant: Column, spec: dict) -> tuple[list[str], list[Column]]:
     names = [*mappings, *(n for n in defaults if n not in mappings)]
     values = []
     for name in names:
-        value = V.json_path(variant, str(mappings[name])) if name in mappings else F.lit(None).cast("variant")
+        # A path that is not a text resolves to nothing.
+        path = mappings.get(name)
+        value = V.json_path(variant, path) if isinstance(path, str) else F.lit(None).cast("variant")
         values.append(F.coalesce(value, V.literal(defaults[name])) if name in defaults else value)
     return names, values
 
@@ -82,18 +84,38 @@ ALLOWED_FUNCTIONS = frozenset(
     timestamp_seconds to_date to_json to_timestamp transform trim try_cast try_divide try_parse_json
     try_to_timestamp try_variant_get upper""".split()
 )
-_KEYWORDS = frozenset("and or not in when then else case between like rlike is end as on".split())
+
+
+# Text literals in either kind of quotes; what is left of an expression has no text in it.
+_LITERAL = r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\""
 
 
 def check_expression(expression: str) -> str:
-    """Reject calls outside the allow-list before an expression reaches the plan."""
-    bare = re.sub(r"'(?:[^'\\]|\\.)*'", "''", expression)
+    """Reject all but calls of allowed functions before an expression reaches a plan.
+
+    The names are taken from Spark's own parse of the expression, so quoting,
+    qualifying, nesting or hiding a call in something that looks like text does not help.
+    """
+    bare = re.sub(_LITERAL, "''", expression, flags=re.DOTALL)
     if re.search(r"\b(select|from|join|union|insert|drop)\b|;|--|/\*", bare, re.IGNORECASE):
         raise ValueError(f"only a scalar expression is allowed: {expression}")
-    for name in re.findall(r"([A-Za-z_][A-Za-z0-9_.]*)\s*\(", bare):
-        lowered = name.lower()
-        if lowered not in ALLOWED_FUNCTIONS and lowered not in _KEYWORDS and lowered != "decimal":
-            raise ValueError(f"function not allowed in a transform: {name}")
+    session = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    try:
+        parsed = session._jsparkSession.sessionState().sqlParser().parseExpression(expression)
+    except Exception as failure:
+        raise ValueError(f"not an expression: {expression}") from failure
+    waiting = [parsed]
+    while waiting:
+        node = waiting.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "UnresolvedFunction":
+            name = node.nameParts().mkString(".")
+            if name.lower() not in ALLOWED_FUNCTIONS:
+                raise ValueError(f"function not allowed in a transform: {name}")
+        elif "Subquery" in kind or "Exists" in kind or "Plan" in kind or "Window" in kind:
+            raise ValueError(f"only a scalar expression is allowed: {expression}")
+        children = node.children()
+        waiting.extend(children.apply(i) for i in range(children.size()))
     return expression
 
 

@@ -117,9 +117,12 @@ def entries_to_records(df: DataFrame, dn: str = "dn", attribute: str = "attribut
     )
 
 
-def entries_since(df: DataFrame, changed: str, last: str | int | None, key: str = "dn") -> DataFrame:
-    """Inclusive resume on a modification mark; a row read twice at the boundary is dropped by key and mark."""
-    return (df if last is None else df.filter(F.col(changed) >= F.lit(last))).dropDuplicates([key, changed])
+def entries_since(df: DataFrame, changed: str, last: str | int | None) -> DataFrame:
+    """Inclusive resume on a modification mark: rows after it, and the rows at it once each (they may be read twice)."""
+    if last is None:
+        return df
+    mark = F.lit(last)
+    return df.filter(F.col(changed) > mark).unionByName(df.filter(F.col(changed) == mark).distinct())
 
 
 def result_tables_or_params(tables: DataFrame, params: DataFrame, call: str = "call_id") -> DataFrame:

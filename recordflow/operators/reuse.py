@@ -96,7 +96,7 @@ def cache_lookup(
     ttl_seconds: int | None = None,
     now: Column | None = None,
     query_id: str = "query_id",
-    max_cells: int = 256,
+    max_cells: int = 4096,
     cache_block: int = 8192,
     query_block: int = 32768,
 ) -> DataFrame:
@@ -253,7 +253,10 @@ def cache_lookup(
 
 SPEC_COLUMNS = "fingerprint string, type string, code string, created_at timestamp, model string"
 DECLARATIVE, SQL_EXPR = "DECLARATIVE", "SQL_EXPR"
+# Up to so many mapping specs become branches of the plan; beyond, they are applied as data. Only speed differs.
 UNROLL_LIMIT = 64
+# SQL expressions can only be branches of the plan; more of them are refused.
+MAX_SQL_SPECS = 256
 
 
 def live_specs(
@@ -279,19 +282,36 @@ def live_specs(
     return current
 
 
-_SPEC = "mappings map<string,string>, defaults map<string,variant>, typeCasts map<string,string>"
-_PLAIN_PATH = r"^(\$\.)?[^.\[\]]+(\[[0-9]+\])?(\.[^.\[\]]+(\[[0-9]+\])?)*$"
+_SPEC = "mappings map<string,variant>, defaults map<string,variant>, typeCasts map<string,string>"
+
+
+def _prepared(code: Column) -> Column:
+    """A mapping spec as a struct whose paths are cut into steps; NULL if it is none."""
+    spec = F.from_json(code, _SPEC)
+
+    def entry(e: Column) -> Column:
+        # A path that is not a text resolves to nothing.
+        path = F.when(F.schema_of_variant(e["value"]) == "STRING", F.try_variant_get(e["value"], "$", "string"))
+        return F.struct(e["key"].alias("name"), (path == "").alias("whole"), V.steps_of(path).alias("steps"))
+
+    empty = F.from_json(F.lit("{}"), "map<string,variant>")
+    return F.when(
+        spec["mappings"].isNotNull(),
+        F.struct(
+            F.transform(F.map_entries(spec["mappings"]), entry).alias("paths"),
+            F.map_keys(spec["mappings"]).alias("names"),
+            F.coalesce(spec["defaults"], empty).alias("defaults"),
+            spec["typeCasts"].alias("typeCasts"),
+        ),
+    )
 
 
 def _mapped_by_data(variant: Column, spec: Column) -> Column:
-    """A declarative spec held as a struct column, applied without unrolling it into the plan."""
+    """A prepared spec held as a struct column, applied without unrolling it into the plan."""
     casts = spec["typeCasts"]
 
-    def value_at(path: Column) -> Column:
-        clean = F.regexp_replace(path, r"^\$\.", "")
-        return F.when(path == "", variant).when(
-            path.rlike(_PLAIN_PATH), F.try_variant_get(variant, F.concat(F.lit("$."), clean), "variant")
-        )
+    def value_at(entry: Column) -> Column:
+        return F.when(entry["whole"], variant).otherwise(V.follow(variant, entry["steps"]))
 
     def finish(name: Column, value: Column) -> Column:
         wanted = F.element_at(casts, name)
@@ -302,21 +322,14 @@ def _mapped_by_data(variant: Column, spec: Column) -> Column:
 
     named = F.concat(
         F.transform(
-            F.map_entries(spec["mappings"]),
+            spec["paths"],
             lambda e: F.struct(
-                e["key"].alias("key"),
-                F.coalesce(value_at(e["value"]), F.element_at(spec["defaults"], e["key"])).alias("value"),
+                e["name"].alias("key"), F.coalesce(value_at(e), F.element_at(spec["defaults"], e["name"])).alias("value")
             ),
         ),
-        F.coalesce(
-            F.transform(
-                F.filter(
-                    F.map_entries(spec["defaults"]),
-                    lambda e: ~F.map_contains_key(spec["mappings"], e["key"]),
-                ),
-                lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")),
-            ),
-            F.array().cast("array<struct<key:string,value:variant>>"),
+        F.transform(
+            F.filter(F.map_entries(spec["defaults"]), lambda e: ~F.array_contains(spec["names"], e["key"])),
+            lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")),
         ),
     )
     present = F.filter(named, lambda e: e["value"].isNotNull())
@@ -338,7 +351,10 @@ def _usable(row) -> bool:
 
 def _with_output(df: DataFrame, specs: DataFrame, value: str) -> DataFrame:
     """Adds ``output``: the record under the spec of its fingerprint, NULL without one."""
-    scripted = [r for r in specs.filter(F.col("type") == SQL_EXPR).collect() if _usable(r)]
+    scripted = specs.filter(F.col("type") == SQL_EXPR).limit(MAX_SQL_SPECS + 1).collect()
+    if len(scripted) > MAX_SQL_SPECS:
+        raise ValueError(f"more than {MAX_SQL_SPECS} live SQL specs; keep to mappings, which are applied as data")
+    scripted = [r for r in scripted if _usable(r)]
     declarative = specs.filter(F.col("type") == DECLARATIVE)
     few = declarative.limit(UNROLL_LIMIT + 1).collect()
     df = compute_once(df, {"input": V.parse(F.col(value))})
@@ -353,8 +369,8 @@ def _with_output(df: DataFrame, specs: DataFrame, value: str) -> DataFrame:
                 ).otherwise(output)
         return compute_once(df, {"output": F.when(F.col("input").isNotNull(), output)}).drop("input")
     # Each spec is read once, before it meets its records.
-    codes = compute_once(declarative.select("fingerprint", "code"), {"_spec": F.from_json("code", _SPEC)}).drop("code")
-    by_data = F.when(F.col("_spec.mappings").isNotNull(), _mapped_by_data(F.col("input"), F.col("_spec")))
+    codes = compute_once(declarative.select("fingerprint", "code"), {"_spec": _prepared(F.col("code"))}).drop("code")
+    by_data = F.when(F.col("_spec").isNotNull(), _mapped_by_data(F.col("input"), F.col("_spec")))
     return compute_once(
         df.join(codes, "fingerprint", "left"),
         {"output": F.when(F.col("input").isNotNull(), F.coalesce(output, by_data))},

@@ -47,13 +47,28 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+RANGE_BYTES = 64 << 20
+
+
+def source_bytes(df: DataFrame) -> tuple[int, bool]:
+    """Bytes of the relations a plan reads, as far as their sizes are known, and whether all are."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = [n for n in sizes if n < 1 << 60]
+    return sum(known), len(known) == len(sizes)
+
+
 def spread_count(df: DataFrame) -> int:
-    """Partitions for a redistribution: about 128 MB each by the optimizer's size estimate, at least one per core."""
+    """Partitions for a redistribution: about RANGE_BYTES each of what the plan reads, at least one per core.
+
+    Where sizes are unknown, at least ``spark.sql.shuffle.partitions``.
+    """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    ceiling = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(cores, min(ceiling, size // (128 << 20) + 1))
+    size, known = source_bytes(df)
+    least = spark.sparkContext.defaultParallelism
+    if not known:
+        least = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, size // RANGE_BYTES + 1)
 
 
 def ordered_chunks(df: DataFrame, order: list[str], chunk: str = "_chunk", rank: str = "_rank") -> DataFrame:

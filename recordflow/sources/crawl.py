@@ -47,13 +47,18 @@ def crawl(
     ``seeds`` has ``url``; ``fetch`` turns a frontier (seed, url) into responses
     (seed, url, status, link, body): ``fetch_with`` for a function, or a join
     with landed responses. Every round is stored before the next starts, so a
-    lost executor repeats no finished round. A status of 400 or more fails.
+    lost executor repeats no finished round. A status of 400 or more fails, and so
+    do pages that are left after ``max_rounds`` rounds.
     """
     frontier = seeds.select(
         F.col("url").alias("seed"), first_page_url(paging, F.col("url"), **paging_options).alias("url")
     ).dropDuplicates(["seed"])
     rounds: list[DataFrame] = []
-    while max_rounds is None or len(rounds) < max_rounds:
+    while True:
+        if max_rounds is not None and len(rounds) >= max_rounds:
+            if not frontier.isEmpty():
+                raise RuntimeError(f"pages are left after {max_rounds} rounds, e.g. {frontier.first()['url']}")
+            break
         # dropDuplicates has spread the frontier by address; later rounds keep that spread.
         responses = materialise(fetch(frontier).withColumn("round", F.lit(len(rounds))))
         head = responses.agg(

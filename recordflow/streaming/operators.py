@@ -16,13 +16,16 @@ def dedup_stream(sdf: DataFrame, ts_col: str, delay: str, partition: list[str],
 _FLUSHED = "lane int, flush_no long, ordinal int, key string, value string, reason string"
 
 
-def flush_by_size_or_age(sdf: DataFrame, size: int, max_wait_ms: int, lanes: int = 8) -> DataFrame:
+def flush_by_size_or_age(sdf: DataFrame, size: int, max_wait_ms: int, lanes: int | None = None) -> DataFrame:
     """Batches of a stream: flushed at ``size`` records, or ``max_wait_ms`` after the first waiting one.
 
     Records are spread over lanes by a hash of the record and its source
     position, so neither a hot key nor many equal records overload one lane;
-    each lane holds less than one batch between triggers.
+    each lane holds less than one batch between triggers. By default there are as many
+    lanes as shuffle partitions. Where a trigger interval is fine enough an age
+    limit, batch the micro-batches with ``arrival_batches`` instead: that needs no state.
     """
+    lanes = lanes or int(sdf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def step(lane: tuple, frames, state: GroupState):
         held_keys, held_values, flushes, since = state.get if state.exists else ([], [], 0, -1)

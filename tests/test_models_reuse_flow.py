@@ -150,7 +150,7 @@ def test_mapping_as_data_equals_unrolled(records, read):
     }
     rows = records({"x": {"y": 1.5}, "items": [{}, {"k": "7"}], "n": None}, {"x": 1})
     unrolled = read(rows.withColumn("value", U.mapped(V.parse(F.col("value")), spec)))
-    by_data = read(rows.withColumn("value", U._mapped_by_data(V.parse(F.col("value")), F.from_json(F.lit(json.dumps(spec)), U._SPEC))))
+    by_data = read(rows.withColumn("value", U._mapped_by_data(V.parse(F.col("value")), U._prepared(F.lit(json.dumps(spec))))))
     assert unrolled == by_data
     assert unrolled[0]["b"] == 7 and unrolled[0]["a"] == "1.5" and unrolled[0]["n"] is None
 
@@ -291,3 +291,138 @@ def test_crawl_with_a_function(spark):
 def test_crawl_fails_on_errors(spark):
     with pytest.raises(RuntimeError, match="404 http://h/x"):
         crawl(spark.sql("select 'http://h/x' url"), fetch_with(lambda u: {"status": 404, "body": ""}))
+
+
+# ------------------------------------------------------- numbers, envelope, gate
+
+
+def drifting(request):
+    """Leaves out the first, a middle or the last output, adds one, or repeats a number, by the first order of the batch."""
+    batch = json.loads(request["user_prompt"].split("\n", 1)[1])
+    out = [{"_n": b["_n"], "user_name": json.loads(b["value"])["userName"], "email_address": "e"} for b in batch]
+    kind = int(out[0]["user_name"][1:]) % 7 if len(out) > 1 else 6
+    if kind == 0:
+        out = out[1:]
+    elif kind == 1:
+        out = out[:1] + out[2:]
+    elif kind == 2:
+        out = out[:-1]
+    elif kind == 3:
+        out.append({"_n": 99, "user_name": "surplus", "email_address": "e"})
+    elif kind == 4:
+        out = [{k: v for k, v in o.items() if k != "_n"} for o in out][1:]
+    elif kind == 5:
+        out[1]["_n"] = out[0]["_n"]
+    return {"content": json.dumps(out)}
+
+
+def test_outputs_stay_with_their_records(records, tmp_path):
+    rows = records(*[{"userName": f"u{i // 4 if i % 4 == 0 else 100 + i}", "emailAddress": "e"} for i in range(28)])
+    rows = rows.withColumn("src_offset", F.create_map(F.lit("o"), F.col("ordinal").cast("string")))
+    result = Pipeline(flow_config(), Logged(tmp_path / "log", drifting)).transform(rows)
+    assert result.quarantine.count() == 0
+    good = result.good.collect()
+    own = {r["key"]: r for r in good if r["key"] is not None}
+    sent = {r["key"]: json.loads(r["value"])["userName"] for r in rows.collect()}
+    assert {k: json.loads(r["value"])["user_name"] for k, r in own.items()} == sent and len(good) == 29
+    assert all(r["source"]["src_offset"] == {"o": str(r["source"]["ordinal"])} for r in own.values())
+    (extra,) = [r for r in good if r["key"] is None]
+    assert json.loads(extra["value"]) == {"user_name": "surplus", "email_address": "e"} and extra["source"] is None
+
+
+def test_dead_letters_keep_their_source(records):
+    rows = records({"deep": {"x": 1}}).withColumn("headers", F.create_map(F.lit("h"), F.lit("1")))
+    (lost,) = Pipeline(FlowConfig()).transform(rows).quarantine.collect()
+    assert lost["key"] == "k0" and lost["source"]["headers"] == {"h": "1"}
+
+
+def test_calls_count_once(records, tmp_path):
+    config = flow_config(reuse=ReuseOptions(call_log_path=str(tmp_path / "calls"), merge_equal=False))
+    client = Logged(tmp_path / "log", rename)
+    first = Pipeline(config, client).transform(users(records, 12))
+    assert first.calls.count() == len(client.calls) == 3
+    again = Pipeline(config, client).transform(users(records, 12))
+    assert again.calls.count() == 0 and again.good.count() == 12 and len(client.calls) == 3
+
+
+def test_slow_calls_end_and_order_stays(spark):
+    import time as clock
+
+    def answer(request):
+        if request["user_prompt"] == "p3":
+            clock.sleep(30)
+        return {"content": json.dumps([request["user_prompt"], request.get("seed")])}
+
+    client = type("C", (), {"call": staticmethod(answer)})()
+    df = spark.range(0, 12, 1, 1).selectExpr("concat('p', id) user_prompt")
+    began = clock.monotonic()
+    rows = L.complete(df, client, time_limit=3.0, at_once=4, options={"seed": 5}).collect()
+    assert clock.monotonic() - began < 25
+    assert {r["user_prompt"]: r["call_error"] for r in rows if r["call_error"]} == {"p3": "no answer within 3 s"}
+    assert all(json.loads(r["content"]) == [r["user_prompt"], 5] for r in rows if not r["call_error"])
+
+
+def test_failed_embeddings_become_nulls(spark):
+    class Fragile(L.HashEmbedder):
+        def embed(self, texts):
+            if any(t == "bad" for t in texts):
+                raise RuntimeError("no")
+            return super().embed(texts)
+
+    rows = L.embed(spark.sql("select explode(array('a', 'bad', 'b', 'a', null)) text"), Fragile(4), wait_seconds=0.0).collect()
+    assert sorted((str(r["text"]), r["embedding"] is not None) for r in rows) == [("None", False), ("a", True), ("a", True), ("b", True), ("bad", False)]
+
+
+PATHS = ["$.items[0][1]", "$.items[0]x", "$.m.", "$.m", "m.n", "$", "", "$.", ".", "$.items[99999999999]", "$.items[2147483647]",
+         "items[+0]", "[0]", "$.items[01].k", "$.a b", "$.it's", '$.q"', "$.x..y", "$.items[-1]", "$.items[", "$.items[0]..", "$.q\"'"]
+
+
+@pytest.mark.parametrize("count", [1, 64, 65, 500])
+def test_specs_resolve_alike_at_any_number(spark, records, count):
+    value = {"items": [{"k": 1}, 2], "m": {"n": None, "": 3}, "a b": 4, "it's": 5, 'q"': 6, "$": 7, "": {"": 8}, "q\"'": 9, "x": {"": {"y": 1}}}
+    spec = {"mappings": {f"o{i}": p for i, p in enumerate(PATHS)} | {"n": 5}, "defaults": {"d": [1], "o1": "none"}, "typeCasts": {"o3": "string"}}
+    specs = spark.createDataFrame([("f0", U.DECLARATIVE, json.dumps(spec))] + [(f"f{i}", U.DECLARATIVE, '{"mappings":{"a":"b"}}') for i in range(1, count)], "fingerprint string, type string, code string")
+    rows = records(value, [1]).withColumn("fingerprint", F.lit("f0"))
+    out = [json.loads(r["output"]) for r in U._with_output(rows, specs, "value").orderBy("ordinal").collect()]
+    expected = [json.loads(r["v"]) for r in rows.select("ordinal", U.mapped(V.parse(F.col("value")), spec).alias("v")).orderBy("ordinal").collect()]
+    assert out == expected and "o9" not in out[0] and out[0]["o1"] is not None
+
+
+def test_an_id_stored_twice_hits_once(spark):
+    cache = spark.sql("""select 1 cache_id, array(1f, 0f) embedding, 'old' output, timestamp'2024-01-01' created_at
+                         union all select 1, array(1f, 0f), 'new', timestamp'2024-01-02'""")
+    found = U.cache_lookup(spark.sql("select 7 query_id, array(1f, 0f) embedding"), cache).collect()
+    assert [(r["query_id"], r["output"]) for r in found] == [(7, "new")]
+
+
+@pytest.mark.parametrize(
+    "expression",
+    ["`reflect`('java.lang.System', 'exit', '1')", "reflect ('a','b')", "upper(`java_method`('a','b'))", "system.builtin.reflect('a','b')",
+     "\"'\" || reflect('a', 'b') || \"'\"", "transform(array(1), x -> assert_true(false))", "(select 1)", "r'\\' || reflect('a') || '\\'", "1;", "concat("],
+)
+def test_forbidden_expressions(spark, expression):
+    from recordflow.operators.mapping import check_expression
+
+    with pytest.raises(ValueError):
+        check_expression(expression)
+
+
+def test_crawl_fails_where_pages_are_left(spark):
+    fetch = fetch_with(lambda u: {"status": 200, "body": '{"items":[{"a":1}]}'})
+    with pytest.raises(RuntimeError, match="pages are left after 2 rounds"):
+        crawl(spark.sql("select 'http://h/x' url"), fetch, "page", "items", max_rounds=2)
+
+
+def test_ranges_grow_beyond_the_shuffle_setting(spark, monkeypatch):
+    from recordflow.operators import staging
+
+    monkeypatch.setattr(staging, "source_bytes", lambda df: (10 << 40, True))
+    assert staging.spread_count(spark.range(3)) > 100_000 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_entries_at_the_mark_once(spark):
+    from recordflow.operators.records import entries_since
+
+    rows = [("d1", "mail", "a", 5), ("d1", "mail", "b", 5), ("d1", "cn", "c", 5), ("d1", "mail", "a", 5)]
+    df = spark.createDataFrame(rows, "dn string, attribute string, value string, m int")
+    assert entries_since(df, "m", None).count() == 4 and entries_since(df, "m", 5).count() == 3 and entries_since(df, "m", 4).count() == 4
