@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+# The message texts in the SQL below are fixed values.
+
 from pyspark.sql import functions as F
 
 from ..functions import variant as V

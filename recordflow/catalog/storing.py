@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+# The prices in the SQL below are fixed values.
+
 import uuid
 
 from pyspark.sql import functions as F

@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -333,7 +332,7 @@ def fingerprint_of(structure: Column, target_schema: str = "") -> Column:
 
 
 def fingerprint(text: Column, target_schema: str = "", mode: str = "deep") -> Column:
-    """SHA-256 of structure and target contract. mode: flat, deep (both in the JVM) or exact (Arrow UDF)."""
+    """SHA-256 of structure and target contract. mode: flat, deep or exact, all in the JVM."""
     if mode == "flat":
         structure = flat_structure(text)
     elif mode == "deep":
@@ -343,79 +342,134 @@ def fingerprint(text: Column, target_schema: str = "", mode: str = "deep") -> Co
     return fingerprint_of(structure, target_schema)
 
 
-def _node_kind(node) -> str:
-    if isinstance(node, str):
-        return "string"
-    if isinstance(node, bool):
-        return "boolean"
-    if isinstance(node, int):
-        return "integer"
-    if isinstance(node, float):
-        return "number"
-    if node is None:
-        return "null"
-    return "object" if isinstance(node, dict) else "array"
-
-
-def _paths(node, prefix: str, out: dict[str, str]) -> None:
-    if isinstance(node, dict):
-        if prefix:
-            out[prefix] = "object"
-        for name, child in node.items():
-            _paths(child, f"{prefix}.{name}" if prefix else name, out)
-    elif isinstance(node, list):
-        here = prefix or "_root"
-        out[here] = "array"
-        if node:
-            _paths(node[0], here + "[]", out)
-    else:
-        out[prefix] = _node_kind(node)
-
-
-def _structure_text(text: str | None) -> str | None:
-    try:
-        out: dict[str, str] = {}
-        _paths(json.loads(text), "", out)
-        return "{" + ", ".join(f"{k}={out[k]}" for k in sorted(out)) + "}"
-    except (TypeError, ValueError, RecursionError):
-        return None
-
-
-def _describe_node(node) -> str:
-    if not isinstance(node, dict):
-        return _node_kind(node)
-    parts = []
-    for name, child in node.items():
-        if isinstance(child, dict):
-            parts.append(f"{name} (object: {_describe_node(child)})")
-        elif isinstance(child, list):
-            of = f" of {_describe_node(child[0])}" if child else ""
-            parts.append(f"{name} (array{of})")
-        else:
-            parts.append(f"{name} ({_node_kind(child)})")
-    return ", ".join(parts)
+# Keys with their colon, other strings, brackets and commas, and bare scalars.
+_STRUCTURE_TOKEN = STRING_LITERAL + r'\s*+:?|[{}\[\],]|[^\s{}\[\],:"]++'
+_OPEN = "array<struct<mark:string,list:boolean>>"
 
 
-def _describe_text(text: str | None) -> str | None:
-    try:
-        return _describe_node(json.loads(text))
-    except (TypeError, ValueError, RecursionError):
-        return None
+def is_strict(text: Column) -> Column:
+    """One JSON value and nothing behind it (the parser alone stops after the first value)."""
+    in_array = parse(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = parse(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    one = F.try_variant_get(in_array, "$[0]", "variant").isNotNull() & F.try_variant_get(in_array, "$[1]", "variant").isNull()
+    return F.coalesce(one & in_object.isNotNull(), F.lit(False))
 
 
-def exact_structure(text: Column) -> Column:
-    """Sorted path-to-kind text at any depth, first array element only. One Arrow-batched UDF."""
-    @F.pandas_udf("string")
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(_structure_text)
+def string_text(token: Column) -> Column:
+    """The text of a JSON string token; only tokens with escapes go through the JSON reader."""
+    escaped = F.get(F.from_json(F.concat(F.lit("["), token, F.lit("]")), "array<string>"), 0)
+    return F.when(token.contains("\\"), escaped).otherwise(F.substring(token, F.lit(2), F.length(token) - 2))
 
-    return run(text)
 
+def _scalar_kind(token: Column) -> Column:
+    return (
+        F.when(token.startswith('"'), "string")
+        .when(token.isin("true", "false"), "boolean")
+        .when(token == "null", "null")
+        .when(token.rlike("[.eE]"), "number")
+        .otherwise("integer")
+    )
 
-def describe(text: Column) -> Column:
-    """``name (string), o (object: a (integer)), xs (array of string)``. One Arrow-batched UDF."""
-    @F.pandas_udf("string")
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(_describe_text)
 
-    return run(text)
+def _walked(text: Column, nothing: Column, entered, mark, scalar, left, shallow: bool) -> Column:
+    """Fold the tokens of a JSON text, of arrays the first element only.
+
+    ``entered(out, top, name, token)``, ``scalar(out, top, name, token)`` and
+    ``left(out, top)`` give the new result; ``mark(top, name, token)`` is kept with an
+    open container and is ``top.mark`` for what is inside. ``shallow``: arrays that are
+    not a field's value are not looked into.
+    """
+    start = F.struct(
+        F.array().cast(_OPEN).alias("open"), F.lit("").alias("name"), F.lit(0).alias("skip"), nothing.alias("out")
+    )
+
+    def step(s: Column, t: Column) -> Column:
+        top = F.get(s["open"], F.size(s["open"]) - 1)
+        opens, closes = t.isin("{", "["), t.isin("}", "]")
+        in_list, skipping = F.coalesce(top["list"], F.lit(False)), s["skip"] > 0
+        is_key = t.startswith('"') & t.endswith(":")
+        aside = (t == "[") & (top.isNull() | in_list) if shallow else F.lit(False)
+        change = F.when(opens, 1).when(closes, -1).otherwise(0)
+        skip = F.when(skipping, s["skip"] + change).when(((t == ",") & in_list) | aside, 1).otherwise(0)
+        begins, ends = opens & ~skipping, closes & (skip == 0)
+        pushed = F.concat(s["open"], F.array(F.struct(mark(top, s["name"], t).alias("mark"), (t == "[").alias("list"))))
+        is_open = F.when(begins, pushed).when(ends, F.slice(s["open"], F.lit(1), F.size(s["open"]) - 1)).otherwise(s["open"])
+        key = string_text(F.regexp_replace(t, r"\s*:$", ""))
+        out = (
+            F.when(begins, entered(s["out"], top, s["name"], t))
+            .when(ends, left(s["out"], top))
+            .when(skipping | opens | closes | is_key | (t == ","), s["out"])
+            .otherwise(scalar(s["out"], top, s["name"], t))
+        )
+        return F.struct(
+            is_open.alias("open"),
+            F.when(is_key & ~skipping, key).otherwise(s["name"]).alias("name"),
+            skip.alias("skip"),
+            out.alias("out"),
+        )
+
+    tokens = F.regexp_extract_all(text, F.lit(_STRUCTURE_TOKEN), F.lit(0))
+    return F.when(is_strict(text), F.aggregate(tokens, start, step, lambda s: s["out"]))
+
+
+def exact_structure(text: Column) -> Column:
+    """Sorted path-to-kind text at any depth, first array element only; NULL for what is not one JSON value."""
+
+    def place(top: Column, name: Column) -> Column:
+        inner = F.when(top["mark"] == "", name).otherwise(F.concat(top["mark"], F.lit("."), name))
+        return F.when(top.isNull(), "").when(top["list"], F.concat(top["mark"], F.lit("[]"))).otherwise(inner)
+
+    def mark(top: Column, name: Column, token: Column) -> Column:
+        at = place(top, name)
+        return F.when((token == "[") & (at == ""), "_root").otherwise(at)
+
+    def entry(out: Column, path: Column, kind_: Column) -> Column:
+        return F.concat(out, F.array(F.struct(path.alias("path"), F.size(out).alias("n"), kind_.alias("kind"))))
+
+    def entered(out: Column, top: Column, name: Column, token: Column) -> Column:
+        at = mark(top, name, token)
+        kind_ = F.when(token == "[", "array").otherwise("object")
+        return F.when((token == "{") & (at == ""), out).otherwise(entry(out, at, kind_))
+
+    nothing = F.array().cast("array<struct<path:string,n:int,kind:string>>")
+    found = _walked(
+        text, nothing, entered, mark, lambda out, top, name, t: entry(out, place(top, name), _scalar_kind(t)),
+        lambda out, top: out, shallow=False,
+    )
+    # A path that occurs twice (a dot within a name) keeps its last kind.
+    ordered = F.array_sort(found)
+    last = F.filter(
+        F.transform(F.arrays_zip(ordered.alias("e"), F.slice(ordered, F.lit(2), F.size(ordered)).alias("next")), lambda z: z),
+        lambda z: z["e"]["path"].isNotNull() & ~F.coalesce(z["e"]["path"] == z["next"]["path"], F.lit(False)),
+    )
+    listed = F.transform(last, lambda z: F.concat(z["e"]["path"], F.lit("="), z["e"]["kind"]))
+    return F.concat(F.lit("{"), F.array_join(listed, ", "), F.lit("}"))
+
+
+def describe(text: Column) -> Column:
+    """``name (string), o (object: a (integer)), xs (array of string)``; NULL for what is not one JSON value."""
+
+    def member(out: Column, name: Column) -> Column:
+        # A member always ends in a bracket, and what it may follow otherwise never does.
+        return F.concat(out, F.when(out.endswith(")"), ", ").otherwise(""), name)
+
+    def entered(out: Column, top: Column, name: Column, token: Column) -> Column:
+        is_list = token == "["
+        in_list = F.concat(out, F.lit(" of "), F.when(is_list, "array").otherwise(""))
+        in_object = F.concat(member(out, name), F.when(is_list, " (array").otherwise(" (object: "))
+        return F.when(top.isNull(), F.when(is_list, "array").otherwise("")).when(top["list"], in_list).otherwise(in_object)
+
+    def scalar(out: Column, top: Column, name: Column, token: Column) -> Column:
+        kind_ = _scalar_kind(token)
+        in_object = F.concat(member(out, name), F.lit(" ("), kind_, F.lit(")"))
+        return F.when(top.isNull(), kind_).when(top["list"], F.concat(out, F.lit(" of "), kind_)).otherwise(in_object)
+
+    return _walked(
+        text,
+        F.lit(""),
+        entered,
+        lambda top, name, token: F.when(top.isNull() | top["list"], "").otherwise(")"),
+        scalar,
+        lambda out, top: F.concat(out, top["mark"]),
+        shallow=True,
+    )

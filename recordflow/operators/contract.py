@@ -91,6 +91,7 @@ def error_list(variant: Column, text: Column, contract: Contract, fields: dict |
         return F.when(V.is_parseable(text, variant), none).otherwise(bad_json)
     fields = fields if fields is not None else field_columns(variant, contract)
     checks = []
+    # The texts of these messages are fixed values.
     for name in contract.required:
         checks.append(F.when(fields[name][0].isNull(), F.lit(f"Missing required field: {name}")))
     for name, expected in contract.types.items():
@@ -126,6 +127,7 @@ def error_list(variant: Column, text: Column, contract: Contract, fields: dict |
         )
     found = F.array_compact(F.array(*checks)) if checks else none
     root = V.root_kind(text)
+    # The texts of these messages are fixed values.
     blank = F.when(F.trim(text) == "", F.array(F.lit("Expected JSON object but got: MISSING")))
     return (
         F.when(variant.isNull(), F.coalesce(blank, bad_json))

@@ -22,26 +22,12 @@ _MARK = "[MASKED_"
 _PLACEHOLDER = r"\[MASKED_[0-9a-z_]*+\]|[^\[]++|\["
 
 
-def _decoded(token: Column) -> Column:
-    """The text of a JSON string token; only tokens with escapes go through the JSON reader."""
-    escaped = F.get(F.from_json(F.concat(F.lit("["), token, F.lit("]")), "array<string>"), 0)
-    return F.when(token.contains("\\"), escaped).otherwise(F.substring(token, F.lit(2), F.length(token) - 2))
-
-
 def _is_key(token: Column) -> Column:
     return token.startswith('"') & token.endswith(":")
 
 
 def _key_name(token: Column) -> Column:
-    return F.lower(_decoded(F.regexp_replace(token, r"\s*:$", "")))
-
-
-def _is_strict(text: Column) -> Column:
-    """One JSON value and nothing behind it (the parser alone stops after the first value)."""
-    in_array = V.parse(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = V.parse(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    one = F.try_variant_get(in_array, "$[0]", "variant").isNotNull() & F.try_variant_get(in_array, "$[1]", "variant").isNull()
-    return F.coalesce(one & in_object.isNotNull(), F.lit(False))
+    return F.lower(V.string_text(F.regexp_replace(token, r"\s*:$", "")))
 
 
 def _is_text(token: Column) -> Column:
@@ -89,7 +75,7 @@ def mask(
             owner = _owner(tokens, i)
             tests.append(F.coalesce(owner.isNotNull() & _key_name(owner).isin(*lowered), F.lit(False)))
         if patterns:
-            text = _decoded(token)
+            text = V.string_text(token)
             tests.append(F.coalesce(reduce(lambda a, b: a | b, [text.rlike(p) for p in patterns]), F.lit(False)))
         return _is_text(token) & reduce(lambda a, b: a | b, tests)
 
@@ -107,7 +93,7 @@ def mask(
         made_map = F.map_from_entries(
             F.transform(
                 F.col("_at"),
-                lambda i, n: F.struct(named(n).alias("key"), _decoded(F.get(tokens, i)).alias("value")),
+                lambda i, n: F.struct(named(n).alias("key"), V.string_text(F.get(tokens, i)).alias("value")),
             )
         )
     place = lambda i: named(F.array_position(F.col("_at"), i) - 1)
@@ -132,7 +118,7 @@ def mask(
         return masked.withColumn(value, F.col("_masked")).drop("_masked")
     # What the reader of tokens cannot see in broken text is looked for in the text as a whole.
     anywhere = reduce(lambda a, b: a | b, [F.col("_masked").rlike(p) for p in patterns])
-    whole = anywhere & ~_is_strict(F.col(value))
+    whole = anywhere & ~V.is_strict(F.col(value))
     whole_map = empty if style == "constant" else F.create_map(named(F.lit(0)), F.col(value))
     return compute_once(
         compute_once(masked, {"_whole": F.coalesce(whole, F.lit(False))}),

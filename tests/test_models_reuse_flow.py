@@ -42,7 +42,7 @@ def rename(request):
     outputs = []
     for item in batch:
         record = json.loads(item["value"])
-        outputs.append({"user_name": record["userName"], "email_address": record["emailAddress"]})
+        outputs.append({"order_key": record["orderKey"], "ship_mode": record["shipMode"]})
     return {"content": json.dumps(outputs), "model": "claude-haiku-x", "input_tokens": 1000, "output_tokens": 500}
 
 
@@ -157,11 +157,11 @@ def test_mapping_as_data_equals_unrolled(records, read):
 
 # -------------------------------------------------------------------- flow
 
-TARGET = json.dumps({"type": "object", "properties": {"user_name": {"type": "string"}, "email_address": {"type": "string"}}})
+TARGET = json.dumps({"type": "object", "properties": {"order_key": {"type": "string"}, "ship_mode": {"type": "string"}}})
 
 
 def users(records, n=10, **extra):
-    return records(*[{"userName": f"u{i % 6}", "emailAddress": f"u{i % 6}@x.org", **extra} for i in range(n)])
+    return records(*[{"orderKey": f"u{i % 6}", "shipMode": f"u{i % 6}@x.org", **extra} for i in range(n)])
 
 
 def flow_config(**kw):
@@ -178,22 +178,22 @@ def test_second_run_makes_no_calls(records, tmp_path):
     again = Pipeline(config, client).transform(users(records, 12))
     got = again.good.orderBy("key").collect()
     assert {r["route"] for r in got} == {"cache"} and len(client.calls) == made
-    assert sorted(json.loads(r["value"])["user_name"] for r in got) == sorted(f"u{i % 6}" for i in range(12))
+    assert sorted(json.loads(r["value"])["order_key"] for r in got) == sorted(f"u{i % 6}" for i in range(12))
 
 
 def test_equal_records_are_asked_once_and_restored_each(records, tmp_path):
     client = Logged(tmp_path / "log", rename)
-    config = flow_config(masking=MaskOptions(fields=("userName", "emailAddress")))
+    config = flow_config(masking=MaskOptions(fields=("orderKey", "shipMode")))
     result = Pipeline(config, client).transform(users(records))
     # All records look alike once masked, so one is sent; every record gets its own values back.
     assert len(client.calls) == 1 and "exactly 1 " in client.calls[0] and "x.org" not in client.calls[0]
     got = {r["key"]: json.loads(r["value"]) for r in result.good.collect()}
-    assert got == {f"k{i}": {"user_name": f"u{i % 6}", "email_address": f"u{i % 6}@x.org"} for i in range(10)}
+    assert got == {f"k{i}": {"order_key": f"u{i % 6}", "ship_mode": f"u{i % 6}@x.org"} for i in range(10)}
     assert result.calls.agg(F.sum("cost_usd")).first()[0] == pytest.approx((1000 * 0.25 + 500 * 1.25) / 1e6)
 
 
 def test_compiled_specs_replace_calls(records, tmp_path):
-    spec = {"mappings": {"user_name": "$.userName", "email_address": "$.emailAddress"}}
+    spec = {"mappings": {"order_key": "$.orderKey", "ship_mode": "$.shipMode"}}
 
     def answer(request):
         if "Target JSON Schema" in request["user_prompt"]:
@@ -217,8 +217,8 @@ def test_lost_outputs_are_redone_one_by_one(records, tmp_path):
         batch = json.loads(request["user_prompt"].split("\n", 1)[1])
         if len(batch) > 1:
             batch = batch[:-1]
-        out = [{"user_name": json.loads(b["value"])["userName"], "email_address": "e"} for b in batch]
-        return {"content": json.dumps(out)} if "u5" not in json.dumps(out) else {"content": '[{"user_name":5}]'}
+        out = [{"order_key": json.loads(b["value"])["orderKey"], "ship_mode": "e"} for b in batch]
+        return {"content": json.dumps(out)} if "u5" not in json.dumps(out) else {"content": '[{"order_key":5}]'}
 
     client = Logged(tmp_path / "log", answer)
     result = Pipeline(flow_config(), client).transform(users(records, 6))
@@ -238,7 +238,7 @@ def test_similar_records_hit_the_cache(records, tmp_path):
     client = Logged(tmp_path / "log", rename)
     config = flow_config(reuse=ReuseOptions(cache_path=str(tmp_path / "cache"), similarity=0.9))
     words = " ".join(f"w{i}" for i in range(40))
-    make = lambda tail: records({"userName": "u", "emailAddress": "e", "text": words + tail})
+    make = lambda tail: records({"orderKey": "u", "shipMode": "e", "text": words + tail})
     Pipeline(config, client, L.HashEmbedder()).transform(make("")).good.count()
     result = Pipeline(config, client, L.HashEmbedder()).transform(make(" extra"))
     assert [r["route"] for r in result.good.collect()] == ["cache"] and len(client.calls) == 1
@@ -299,8 +299,8 @@ def test_crawl_fails_on_errors(spark):
 def drifting(request):
     """Leaves out the first, a middle or the last output, adds one, or repeats a number, by the first order of the batch."""
     batch = json.loads(request["user_prompt"].split("\n", 1)[1])
-    out = [{"_n": b["_n"], "user_name": json.loads(b["value"])["userName"], "email_address": "e"} for b in batch]
-    kind = int(out[0]["user_name"][1:]) % 7 if len(out) > 1 else 6
+    out = [{"_n": b["_n"], "order_key": json.loads(b["value"])["orderKey"], "ship_mode": "e"} for b in batch]
+    kind = int(out[0]["order_key"][1:]) % 7 if len(out) > 1 else 6
     if kind == 0:
         out = out[1:]
     elif kind == 1:
@@ -308,7 +308,7 @@ def drifting(request):
     elif kind == 2:
         out = out[:-1]
     elif kind == 3:
-        out.append({"_n": 99, "user_name": "surplus", "email_address": "e"})
+        out.append({"_n": 99, "order_key": "surplus", "ship_mode": "e"})
     elif kind == 4:
         out = [{k: v for k, v in o.items() if k != "_n"} for o in out][1:]
     elif kind == 5:
@@ -317,17 +317,17 @@ def drifting(request):
 
 
 def test_outputs_stay_with_their_records(records, tmp_path):
-    rows = records(*[{"userName": f"u{i // 4 if i % 4 == 0 else 100 + i}", "emailAddress": "e"} for i in range(28)])
+    rows = records(*[{"orderKey": f"u{i // 4 if i % 4 == 0 else 100 + i}", "shipMode": "e"} for i in range(28)])
     rows = rows.withColumn("src_offset", F.create_map(F.lit("o"), F.col("ordinal").cast("string")))
     result = Pipeline(flow_config(), Logged(tmp_path / "log", drifting)).transform(rows)
     assert result.quarantine.count() == 0
     good = result.good.collect()
     own = {r["key"]: r for r in good if r["key"] is not None}
-    sent = {r["key"]: json.loads(r["value"])["userName"] for r in rows.collect()}
-    assert {k: json.loads(r["value"])["user_name"] for k, r in own.items()} == sent and len(good) == 29
+    sent = {r["key"]: json.loads(r["value"])["orderKey"] for r in rows.collect()}
+    assert {k: json.loads(r["value"])["order_key"] for k, r in own.items()} == sent and len(good) == 29
     assert all(r["source"]["src_offset"] == {"o": str(r["source"]["ordinal"])} for r in own.values())
     (extra,) = [r for r in good if r["key"] is None]
-    assert json.loads(extra["value"]) == {"user_name": "surplus", "email_address": "e"} and extra["source"] is None
+    assert json.loads(extra["value"]) == {"order_key": "surplus", "ship_mode": "e"} and extra["source"] is None
 
 
 def test_dead_letters_keep_their_source(records):
