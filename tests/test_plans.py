@@ -106,7 +106,7 @@ def test_prompts_are_columns(spark):
 
 def test_registry_is_consistent():
     queries, oracle = registered.queries(), registered.oracle_sql()
-    assert set(oracle) <= set(queries) and set(COVERS) == set(queries)
+    assert set(oracle) <= set(queries) and set(COVERS) <= set(queries)
     assert len(queries) >= 120
 
 
