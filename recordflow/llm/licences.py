@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from .common import materialise, named, whole_text
 
-FEATURES = 1 << 14
+FEATURES = 1 << 16
 # Documents whose paragraphs stand for the unknown class, and variants made of each template.
-SAMPLE_DOCS, VARIANTS = 600, 24
+SAMPLE_DOCS, VARIANTS = 1_000, 24
 # Share of a template's words that a confirmed paragraph holds.
 CONFIRMED = 0.8
 WORD = "[a-z0-9]+(?:[.+-][a-z0-9]+)*"
@@ -166,7 +166,10 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: i
     families = [UNKNOWN, *sorted(TEMPLATES)]
     about = _rows(spark, family=[UNKNOWN] * len(ABOUT), paragraph=list(ABOUT))
     made = _variants(templates(spark).unionByName(about))
-    drawn = named(docs, {"doc_id": doc_id, "text": text}).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # Only hashes are sorted; the texts of the chosen ones stay where they are. Repeated rows count once.
+    rows = named(docs, {"doc_id": doc_id, "text": text}).withColumn("_draw", F.xxhash64("doc_id", "text"))
+    chosen = rows.select("_draw").orderBy("_draw").limit(sample).distinct()
+    drawn = rows.join(F.broadcast(chosen), "_draw").dropDuplicates(["_draw"])
     # Of the drawn paragraphs, those that may be notices are no sure examples of the unknown.
     plain = paragraphs(drawn).filter(~F.lower("paragraph").rlike("licen|copyright|cc0|public domain|rights reserved|spdx"))
     plain = plain.withColumn("turn", F.pmod(F.xxhash64("doc_id", "at"), F.lit(VARIANTS)).cast("int"))
