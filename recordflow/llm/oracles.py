@@ -11,5 +11,24 @@ select doc_id,
        row_number() over (partition by norm order by doc_id nulls last) = 1 as kept,
        sha256(norm) as text_sha256
 from n
+""",
+    "op10_substring": r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+windows as (
+    select doc_id, i, array_to_string(ws[i:i + 12], ' ') as passage
+    from (select doc_id, ws, unnest(range(1, len(ws) - 11)) as i from w where len(ws) >= 13)
+),
+firsts as (select passage, min(doc_id) as first_id from windows group by passage),
+gone as (
+    select distinct doc_id, i + j as pos
+    from (select doc_id, i from windows join firsts using (passage) where first_id < doc_id), (select unnest(range(0, 13)) as j)
+),
+words as (select doc_id, unnest(range(1, len(ws) + 1)) as pos, unnest(ws) as word from w),
+kept as (
+    select doc_id, count(g.pos) as n_removed, string_agg(word, ' ' order by pos) filter (where g.pos is null) as text
+    from words left join gone g using (doc_id, pos) group by doc_id
+)
+select w.doc_id, len(ws) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from w left join kept using (doc_id)
 """,
 }
