@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, named, whole_text
 
-FEATURES = 1 << 16
+FEATURES = 1 << 15
 # Documents whose paragraphs stand for the unknown class, and variants made of each template.
 SAMPLE_DOCS, VARIANTS = 1_000, 24
 # Share of a template's words that a confirmed paragraph holds.
@@ -176,10 +176,10 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: i
     seen = made.select("family", "words", "turn").unionByName(plain.select(F.lit(UNKNOWN).alias("family"), "words", "turn"))
     numbers = F.array(*[F.lit(f) for f in families])
     rows = _features(seen).select("features", "turn", (F.array_position(numbers, F.col("family")) - 1).cast("double").alias("label"))
-    # Fixed and drawn rows: bounded, so a few partitions do.
-    rows = materialise(rows.coalesce(4))
+    # Fixed and drawn rows: bounded, so two partitions do.
+    rows = materialise(rows.coalesce(2))
     regression = LogisticRegression(
-        family="multinomial", maxIter=40, regParam=2e-3, elasticNetParam=0.5, standardization=False
+        family="multinomial", maxIter=30, regParam=2e-3, elasticNetParam=0.5, standardization=False
     ).fit(rows.filter("turn % 4 <> 3"))
     tried = regression.transform(rows.filter("turn % 4 = 3")).select(
         F.array_max(vector_to_array("probability")).alias("_top"),
