@@ -74,6 +74,7 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
     "proprietary": (
+        "All rights reserved.",
         "Copyright by the authors. All rights reserved.",
         "No part of this publication may be reproduced, distributed or transmitted in any form without the prior written permission of the publisher.",
     ),

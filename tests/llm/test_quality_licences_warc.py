@@ -73,6 +73,19 @@ def test_notices_of_the_table(spark, scanner):
     assert {k: r.family for k, r in found.items()} == want and all(r.confirmed for r in found.values())
 
 
+def test_every_notice_line_of_the_table(spark, scanner):
+    docs = table(spark, SF, "documents")
+    marks = {"General Public": "gpl", "MIT": "mit", "CC BY": "cc", "Apache": "apache", "rights reserved": "proprietary"}
+    want = Counter()
+    for r in docs.collect():
+        for at, line in enumerate((r.text or "").split("\n")):
+            if "icense" in line or "rights reserved" in line:
+                want[r.doc_id, at, next(f for m, f in marks.items() if m in line)] += 1
+    found = licences.scan(docs, scanner).collect()
+    assert Counter((r.doc_id, r.at, r.family) for r in found) == want and all(r.confirmed for r in found)
+    assert sum(f == "proprietary" for _, _, f in want) == 7
+
+
 def test_unknown_and_changed_notices(documents, scanner):
     docs = documents(
         (1, "A driving licence was needed in every country we visited.\nThe source of the river is under the old bridge."),
