@@ -32,8 +32,15 @@ KEPT_HEADERS = ("WARC-Target-URI", "WARC-Date", "WARC-IP-Address", "WARC-Payload
 RECORD = "record_id string, kind string, refers_to string, headers map<string,string>, block binary"
 
 # Elements whose content is never read, and elements that begin a new line.
-_unread = re.compile(r"(?is)<(script|style|noscript|template|svg|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)")
-_title = re.compile(r"(?is)<title\b[^>]*>(.*?)(?:</title\s*>|\Z)")
+_opens = re.compile(r"(?is)<!--|<(script|style|noscript|template|svg|head)(?=[\s/>])[^>]*>")
+_closes = {n: re.compile(rf"(?i)</{n}\s*>") for n in ("script", "style", "noscript", "template", "svg", "title")}
+# What a head may hold, up to the content of an element; whatever else follows begins the body.
+_heads = re.compile(
+    r"(?is)\s+|<!--.*?(?:-->|\Z)|<(?:!doctype|meta|link|base|basefont|bgsound)(?=[\s/>])[^>]*>"
+    r"|</(?!(?:head|body|html)[\s/>])[a-z][^>]*>|<(title|script|style|noscript|template)(?=[\s/>])[^>]*>"
+)
+_head_end = re.compile(r"(?i)</head\s*>")
+_title = re.compile(r"(?is)<title(?=[\s/>])[^>]*>(?:(.*?)</title\s*>|([^<]*))")
 _link = re.compile(r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _break = re.compile(
     r"(?i)</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|tr|table|h[1-6]|article|section|nav|header|footer|main|aside|form|pre|blockquote|option|figure)\b[^>]*>"
@@ -52,9 +59,46 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(31).join(parts))}>"
 
 
+def _after_head(page: str, at: int) -> int:
+    """Where the head that begins at a place ends: behind its end tag, or before what begins the body."""
+    while (m := _heads.match(page, at)) is not None:
+        at = m.end()
+        if m[1]:
+            name = m[1].lower()
+            if (end := _closes[name].search(page, at)) is not None:
+                at = end.end()
+            elif name == "title":
+                at = found if (found := page.find("<", at)) >= 0 else len(page)
+    end = _head_end.match(page, at)
+    return at if end is None else end.end()
+
+
+def read_part(page: str) -> str:
+    """The page without comments and the content of unread elements.
+
+    A head without end tag ends where the body begins. Of another element without
+    end tag only the tag goes, as its content could be the rest of the page.
+    """
+    kept, at, endless = [], 0, set()
+    while (m := _opens.search(page, at)) is not None:
+        kept.append(page[at : m.start()])
+        name, at = (m[1] or "").lower(), m.end()
+        if not name:
+            at = found + 3 if (found := page.find("-->", at)) >= 0 else len(page)
+        elif name == "head":
+            at = _after_head(page, at)
+        elif name not in endless and not (name == "svg" and m[0].endswith("/>")):
+            end = _closes[name].search(page, at)
+            if end is None:  # nor will one follow later: the page is not searched again
+                endless.add(name)
+            else:
+                at = end.end()
+    return " ".join([*kept, page[at:]])
+
+
 def plain_text(page: str) -> str:
     """Readable text of a page: unread elements and tags gone, entities resolved, a line for each block."""
-    page = _break.sub("\n", _unread.sub(" ", page))
+    page = _break.sub("\n", read_part(page))
     page = _blanks.sub(" ", entities.unescape(_tag.sub("", page)).replace("\r", "\n"))
     return _lines.sub("\n", page).strip()
 
@@ -62,7 +106,7 @@ def plain_text(page: str) -> str:
 def links(page: str, base: str) -> list[str]:
     """Targets of the anchors, resolved against the page; those that cannot be are left as they stand."""
     found = []
-    for m in _link.finditer(_unread.sub(" ", page)):
+    for m in _link.finditer(read_part(page)):
         target = entities.unescape(next(g for g in m.groups() if g is not None)).strip()
         try:
             found.append(urljoin(base, target))
@@ -130,7 +174,7 @@ def derived(headers: dict[str, str], block: bytes) -> list[tuple[str, str, str,
     described = {
         "http_status": status,
         "http_headers": http,
-        "title": " ".join(entities.unescape(title[1]).split()) if title else None,
+        "title": " ".join(entities.unescape(title[1] or title[2] or "").split()) if title else None,
         "links": links(page, uri),
         "payload_length": len(payload),
         "text_length": len(text),

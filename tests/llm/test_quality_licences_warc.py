@@ -117,6 +117,22 @@ def test_plain_text_and_links():
     assert warc.plain_text("") == "" and warc.plain_text("a < b <unclosed") == "a < b"
 
 
+def test_pages_without_end_tags():
+    for begin in ("<body><p>", "<p>", "<BODY class='b'>", "", "</head><body>", "<div>", "<main>"):
+        page = f"<html><head lang=en><meta charset=utf-8><title>A</title><!-- c --><script>x</script>\n{begin}text <a href=/b>y</a>"
+        assert warc.plain_text(page) == "text y" and warc.links(page, "http://h/") == ["http://h/b"]
+    assert warc.plain_text("<head><title>A</title></head><header>top</header>") == "top"
+    assert warc.plain_text("<head><title>A") == "" and warc.plain_text("<head><title>A<body><p>text") == "text"
+    for name in ("script", "style", "noscript", "template", "svg"):
+        page = f"<p>one</p><{name} id=a><p>two <a href=/b>y</a>"
+        assert warc.plain_text(page) == "one\ntwo y" and warc.links(page, "http://h/") == ["http://h/b"]
+        assert warc.plain_text(f"<p>one<{name}>gone</{name}> two") == "one two"
+    block = b"HTTP/1.1 200 OK\r\n\r\n<html><head><title>A<body><p>text"
+    metadata, conversion = warc.derived({}, block)
+    assert json.loads(metadata[4])["title"] == "A" and conversion[4] == b"text"
+    assert warc.plain_text("<svg>x" * 200_000).count("x") == 200_000
+
+
 def test_derived_records_are_linked(spark):
     pages = spark.createDataFrame(
         [(1, "http://h.org/", PAGE), (2, None, None), (2, None, None), (3, "http://x\r\nEvil: 1", "<p>" + "y" * 300_000)],
