@@ -5,7 +5,8 @@ sum of c[j] * B^j modulo 2^31 - 1, for two bases B. The hash of any span is the
 difference of two entries, freed from its place by a power of 1/B, so spans of
 any texts are compared in constant time, and the longest common extension of two
 places is found by binary search. A fingerprint holds the hash of the whole text
-and the least of the mixed hashes of all spans of a fixed width.
+and, for each of a few fixed widths, the least of the mixed hashes of all spans of
+that width. Two fingerprints are compared at the widest width that suits both.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from .common import named, whole_text
 P = (1 << 31) - 1
 BASES = (1_000_003, 2_038_074_743)
 BLOCK = 1 << 16
-# Span width in characters, and how many least values a fingerprint keeps.
+# Widest span in characters, and how many least values a fingerprint keeps of each width.
 WIDTH, KEPT = 12, 64
 RANGE_BYTES = 16 << 20
 # Ranges of the order; a range is streamed, so more text makes ranges longer, not tasks larger.
@@ -115,29 +116,45 @@ def longest_common_extension(a: Prefixes, i: int, b: Prefixes, j: int) -> int:
 def least(values: np.ndarray, kept: int) -> list[int]:
     """The ``kept`` smallest distinct values."""
     few = 4 * kept
-    if len(values) > few:
+    while len(values) > few:
         found = np.unique(np.partition(values, few)[:few])
         if len(found) >= kept:
             return found[:kept].tolist()
+        few *= 16
     return np.unique(values)[:kept].tolist()
 
 
-def span_width(n: int, width: int) -> int:
-    """Narrower spans for texts of less than four widths, so that halves of short texts can be alike too."""
-    return min(width, max(1, n // 4))
+def span_widths(width: int) -> tuple[int, ...]:
+    """The widths that every fingerprint has, widest first, whatever the length of its text."""
+    return tuple(sorted({width, max(1, width // 4), 1}, reverse=True))
 
 
-def written(n: int, text_hash: tuple[int, ...], sketch: list[int]) -> str:
-    """Length, hash of the whole and sketch, in hex."""
-    return f"{n:x}.{text_hash[0]:08x}{text_hash[1]:08x}." + "".join(f"{v:08x}" for v in sketch)
+def letters(text: str) -> np.ndarray:
+    """Mixed hashes of the distinct characters: of the spans of width 1, each once."""
+    codes = np.frombuffer("".join(set(text)).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    return mixed((codes << _31) | codes)
+
+
+def written(n: int, text_hash: tuple[int, ...], sketches: dict[int, list[int]]) -> str:
+    """Length, hash of the whole, and each width with its sketch, in hex."""
+    parts = [f"{w:x}:" + "".join(f"{v:08x}" for v in sketch) for w, sketch in sketches.items()]
+    return ".".join([f"{n:x}", f"{text_hash[0]:08x}{text_hash[1]:08x}", *parts])
 
 
 def likeness(one: str, other: str, kept: int = KEPT) -> float:
-    """Twice the common share of two fingerprints' spans over the sum of both, estimated from the least values."""
-    (n1, h1, s1), (n2, h2, s2) = one.split("."), other.split(".")
+    """Twice the common share of two fingerprints' spans over the sum of both, estimated from the least values.
+
+    Both are compared at the same width: the widest of which the shorter text has four
+    lengths, so that halves of short texts can be alike too, and single characters else.
+    """
+    (n1, h1, *s1), (n2, h2, *s2) = one.split("."), other.split(".")
     if (n1, h1) == (n2, h2):
         return 1.0
-    a, b = ({s[i : i + 8] for i in range(0, len(s), 8)} for s in (s1, s2))
+    shorter = min(int(n1, 16), int(n2, 16))
+    first, second = (dict(x.split(":") for x in s) for s in (s1, s2))
+    both = sorted((int(w, 16) for w in first.keys() & second.keys()), reverse=True)
+    w = next((w for w in both if 4 * w <= shorter), both[-1])
+    a, b = ({s[i : i + 8] for i in range(0, len(s), 8)} for s in (first[f"{w:x}"], second[f"{w:x}"]))
     seen = sorted(a | b)[:kept]
     if not seen:
         return 0.0
@@ -147,12 +164,12 @@ def likeness(one: str, other: str, kept: int = KEPT) -> float:
 
 class _Document:
     def __init__(self, doc_id, text: str, width: int, kept: int):
-        self.doc_id, self.text, self.width, self.kept = doc_id, text, width, kept
+        self.doc_id, self.text, self.widths, self.kept = doc_id, text, span_widths(width), kept
         self.prefixes = Prefixes(text)
         self.n = self.prefixes.n
-        self.values = self.prefixes.spans(span_width(self.n, width))
+        self.values = {w: self.prefixes.spans(w) if w > 1 else letters(text) for w in self.widths}
         self.hash = self.prefixes.span(0, self.n)
-        self.fingerprint = written(self.n, self.hash, least(self.values, kept))
+        self.fingerprint = written(self.n, self.hash, {w: least(v, kept) for w, v in self.values.items()})
 
     def edited(self, other: _Document) -> tuple[str, str, int]:
         """Text whose last half is the start of the other, its fingerprint, and what both have in common at the start.
@@ -165,17 +182,16 @@ class _Document:
         first, second = self.prefixes.span(0, keep), other.prefixes.span(0, taken)
         whole = tuple((x + y * pow(b, keep, P)) % P for x, y, b in zip(first, second, BASES))
         n = keep + taken
-        w = span_width(n, self.width)
-
-        def within(document: _Document, upto: int) -> np.ndarray:
-            if span_width(document.n, self.width) != w:
-                return document.prefixes.spans(w, upto)
-            return document.values[: max(0, upto - w + 1)]
-
-        seam = Prefixes(text[max(0, keep - w + 1) : keep + w - 1]).spans(w) if w > 1 else np.zeros(0, np.uint64)
-        sketch = least(np.concatenate([within(self, keep), within(other, taken), seam]), self.kept)
+        sketches = {}
+        for w in self.widths:
+            if w == 1:
+                parts = [letters(text)]
+            else:
+                seam = Prefixes(text[max(0, keep - w + 1) : keep + w - 1]).spans(w)
+                parts = [d.values[w][: max(0, upto - w + 1)] for d, upto in ((self, keep), (other, taken))] + [seam]
+            sketches[w] = least(np.concatenate(parts), self.kept)
         shared = keep + min(longest_common_extension(self.prefixes, keep, other.prefixes, 0), taken)
-        return text, written(n, whole, sketch), shared
+        return text, written(n, whole, sketches), shared
 
 
 def _pairs(width: int, kept: int):

@@ -95,6 +95,26 @@ def test_likeness_follows_the_share():
     assert prefixhash.likeness(prints[0], prints[2]) < 0.25
 
 
+def plain_likeness(a, b, width):
+    x, y = ({t[i : i + width] for i in range(len(t) - width + 1)} for t in (a, b))
+    return 2 * len(x & y) / (len(x & y) + len(x | y))
+
+
+def test_short_and_long_texts_are_compared_at_one_width(documents):
+    long, short = "The quick brown fox jumps over the lazy dog at dawn.", "it"
+    assert len(long) == 52
+    (found,) = [r for r in prefixhash.fingerprints(documents((2, long), (1, ""))).collect() if r.doc_id == 2]
+    assert abs(found.near_edited - plain_likeness(long, long[:26], 3)) < 1e-9 and found.near_edited > 0.6
+    for n in range(1, 120):
+        text = "".join(chr(0x4E00 + i) for i in range(n))
+        for other in (text + "!", text[: n - n // 2] + short[: n // 2], text[:-1]):
+            prints = [prefixhash._Document(0, t, 12, 64).fingerprint for t in (text, other)]
+            m = min(n, len(other))
+            width = 12 if m >= 48 else 3 if m >= 12 else 1
+            found = prefixhash.likeness(*prints)
+            assert abs(found - plain_likeness(text, other, width)) < (1e-9 if n <= 60 else 0.3) and (found > 0 or not other)
+
+
 def plain_removal(rows, window=13):
     large = 2**63 - 1
     words = [(large if i is None else i, (t or "").encode().split()) for i, t in rows]
