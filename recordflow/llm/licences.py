@@ -10,6 +10,7 @@ is then compared with the templates of its family.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -19,6 +20,8 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordflow.operators.staging import compute_once
+
 from .common import materialise, named, whole_text
 
 FEATURES = 1 << 15
@@ -28,6 +31,8 @@ SAMPLE_DOCS, VARIANTS = 1_000, 24
 CONFIRMED = 0.8
 WORD = "[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 UNKNOWN = "unknown"
+# Words that tell nothing of licences, among those of the templates.
+COMMON = set("a all an and any as at be by can either for in is it may no not of on or or/and other that the this to with you".split())
 
 # Usual wordings of each family.
 TEMPLATES = {
@@ -125,6 +130,99 @@ def paragraphs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     return lines.withColumn("words", words("paragraph")).filter(F.size("words") > 0)
 
 
+def _fixed(texts: list[str]) -> Column:
+    return F.array(*[F.lit(t) for t in texts])
+
+
+def _template_words() -> list[list[str]]:
+    return [list(dict.fromkeys(re.findall(WORD, t.lower()))) for texts in TEMPLATES.values() for t in texts]
+
+
+def _share(held: Column) -> Column:
+    """The largest share of any template's words."""
+    return F.array_max(F.transform(F.array(*[_fixed(t) for t in _template_words()]), lambda t: F.size(F.array_intersect(t, held)) / F.size(t)))
+
+
+def _with(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Like ``paragraphs``, with the lines of a wrapped notice as one: doc_id, at (of the first line), paragraph, words.
+
+    Lines are joined within a block (lines without a word between), where together they hold
+    CONFIRMED of a template's words and a larger share than its first line alone or the others
+    alone. Their lines are left out, but for those that hold CONFIRMED of a template themselves.
+    """
+    known = _template_words()
+    reach = 2 * max(map(len, known))
+    telling = _fixed(sorted({w for t in known for w in t} - COMMON))
+    rows = named(docs, {"doc_id": doc_id, "_text": text})
+    split = F.split(whole_text("_text"), "\r\n|\n|\r")
+    line = F.transform(split, lambda p, i: F.struct(i.alias("at"), p.alias("paragraph"), words(p).alias("words")))
+    rows = compute_once(rows, {"_lines": line}).select("doc_id", "_lines")
+    lines, count = F.col("_lines"), F.size("_lines")
+    has = lambda held: F.size(F.array_intersect(telling, held)) >= 2
+    ends_kind, stretch_kind = "array<struct<last:int,words:array<string>>>", "array<struct<first:int,last:int>>"
+
+    def ends(i: Column) -> Column:
+        """Every line that a notice from line i can end in, with all words up to it; lines between hold no more than two templates."""
+
+        def longer(acc, j):
+            here = F.get(lines, j)["words"]
+            goes_on = acc["open"] & (F.size(here) > 0) & (acc["inner"] <= reach)
+            joined = F.concat(acc["words"], here)
+            return F.struct(
+                goes_on.alias("open"),
+                (acc["inner"] + F.size(here)).alias("inner"),
+                F.when(goes_on, joined).otherwise(acc["words"]).alias("words"),
+                F.when(goes_on, F.concat(acc["ends"], F.array(F.struct(j.alias("last"), joined.alias("words"))))).otherwise(acc["ends"]).alias("ends"),
+            )
+
+        first = F.get(lines, i)["words"]
+        start = F.struct((F.size(first) > 0).alias("open"), F.lit(0).alias("inner"), first.alias("words"), F.array().cast(ends_kind).alias("ends"))
+        return F.aggregate(F.sequence(i + 1, F.least(count - 1, i + reach + 1)), start, longer, lambda acc: acc["ends"])
+
+    def stretch(i: Column) -> Column:
+        """The last line of the notice that begins at line i, or null."""
+        first = F.get(lines, i)["words"]
+
+        def judged(found):
+            best = F.array_max(F.transform(found, lambda e: F.struct(_share(e["words"]).alias("share"), (-e["last"]).alias("back"), e["words"].alias("words"))))
+            others = lambda b: F.slice(b["words"], F.size(first) + 1, F.size(b["words"]))
+            last = _with(best, lambda b: F.when((b["share"] > _share(first)) & (b["share"] > _share(others(b))), -b["back"]))
+            longest = F.element_at(found, -1)["words"]
+            return F.when(F.size(found) > 0, F.when(has(longest), F.when(_share(longest) >= CONFIRMED, last)))
+
+        return _with(ends(i), judged)
+
+    def one_more(acc, i):
+        def added(last):
+            new = F.array(F.struct(i.alias("first"), last.alias("last")))
+            return F.struct(
+                F.coalesce(last + 1, acc["busy"]).alias("busy"),
+                F.when(last.isNotNull(), F.concat(acc["found"], new)).otherwise(acc["found"]).alias("found"),
+            )
+
+        return _with(F.when(i >= acc["busy"], stretch(i)), added)
+
+    none = F.array().cast(stretch_kind)
+    start = F.struct(F.lit(0).alias("busy"), none.alias("found"))
+    found = F.aggregate(F.sequence(F.lit(0), count - 2), start, one_more, lambda acc: acc["found"])
+    rows = compute_once(rows, {"_joined": F.when((count > 1) & has(F.flatten(lines["words"])), found).otherwise(none)})
+    covered = lambda x: F.exists("_joined", lambda w: x["at"].between(w["first"], w["last"]))
+    single = F.filter(lines, lambda x: (F.size(x["words"]) > 0) & (~covered(x) | (_share(x["words"]) >= CONFIRMED)))
+    whole = F.transform(
+        "_joined",
+        lambda w: _with(
+            F.transform(F.sequence(w["first"], w["last"]), lambda j: F.get(lines, j)),
+            lambda part: F.struct(w["first"].alias("at"), F.array_join(part["paragraph"], " ").alias("paragraph"), F.flatten(part["words"]).alias("words")),
+        ),
+    )
+    return rows.select("doc_id", F.inline(F.concat(single, whole)))
+
+
 def _features(rows: DataFrame) -> DataFrame:
     """Sparse counts of words and pairs of words."""
     pairs = NGram(n=2, inputCol="words", outputCol="_pairs").transform(rows)
@@ -197,6 +295,7 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: i
 def scan(docs: DataFrame, scanner: Scanner, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Paragraphs that license something: doc_id, at, family, confidence, template_share, confirmed, paragraph.
 
+    A paragraph is a line, or the lines of a wrapped notice joined by blanks (see ``candidates``).
     A paragraph counts when its likeliest class is a family and its calibrated confidence
     is a half or more. ``template_share`` is the largest share of a template's words that
     it holds, of the templates of that family; confirmed from CONFIRMED on. Documents
@@ -204,7 +303,7 @@ def scan(docs: DataFrame, scanner: Scanner, text: str = "text", doc_id: str = "d
     repeated finds. Other columns are not read. No shuffle: model and templates are of
     fixed size, and each paragraph is judged on its own.
     """
-    found = scanner.classified(paragraphs(docs, text, doc_id)).filter(
+    found = scanner.classified(candidates(docs, text, doc_id)).filter(
         (F.col("family") != UNKNOWN) & (F.col("confidence") >= 0.5)
     )
     known = templates(docs.sparkSession).groupBy("family").agg(

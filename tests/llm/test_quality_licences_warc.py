@@ -97,6 +97,26 @@ def test_unknown_and_changed_notices(documents, scanner):
     assert found == [(2, 1, "mit"), (3, 0, "lgpl"), (3, 0, "lgpl")]
 
 
+WRAPPED = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of\nthis software and associated documentation files, to deal in the Software\nwithout restriction.",
+    "bsd": " * Redistribution and use in source and binary forms, with or without\r\n * modification, are permitted provided that the following conditions\r\n * are met:",
+    "gpl": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# any later version.",
+    "proprietary": "All rights\nreserved.",
+}
+
+
+def test_wrapped_notices(documents, scanner):
+    docs = documents(
+        *[(i, f"Some title\n\n{t}\n\nThe end of it.") for i, t in enumerate(WRAPPED.values())],
+        *[(10 + i, t) for i, t in enumerate(WRAPPED.values())],
+        (20, "\n\n".join(WRAPPED.values()) + "\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0."),
+    )
+    found = sorted((r.doc_id, r.at, r.family) for r in licences.scan(docs, scanner).collect() if r.confirmed)
+    want = [(i, 2, f) for i, f in enumerate(WRAPPED)] + [(10 + i, 0, f) for i, f in enumerate(WRAPPED)]
+    want += [(20, 0, "mit"), (20, 4, "bsd"), (20, 8, "gpl"), (20, 13, "proprietary"), (20, 15, "mit"), (20, 16, "cc")]
+    assert found == want and licences.scan(docs, scanner).count() == len(want)
+
+
 def test_scan_of_odd_rows(clashing, scanner):
     assert licences.scan(clashing, scanner).collect() == []
     assert licences.scan(clashing.limit(0), scanner).collect() == []
