@@ -346,3 +346,32 @@ def broken_texts_masked(t: Tables):
     flow.compile(rows)
     good = compute_once(flow.transform(rows).good, {"v": V.parse(F.col("value"))})
     return good.select(F.col("source.doc_id").alias("id"), F.try_variant_get("v", "$.shown", "string").alias("shown"))
+
+
+# The same four shapes, each with the whole text, and the address behind it.
+def _whole(note: str) -> str:
+    return f"""CASE doc_id % 4 WHEN 0 THEN '{{broken ' || coalesce(text, '') || ' u' || doc_id || '@x.org'
+    WHEN 1 THEN '{{"a":1}} tail ' || coalesce(text, '') || ' u' || doc_id || '@x.org'
+    WHEN 2 THEN '{{"see":"[MASKED_0]","note":' || {note} || ',"email":"u' || doc_id || '@x.org"}}'
+    ELSE '{{"id":' || doc_id || ',"note":' || {note} || ',"mail":"u' || doc_id || '@x.org"}}' END"""
+
+
+_NOTE = """replace(replace(replace(replace(replace(coalesce(text, ''), chr(92), chr(92) || chr(92)), '"', chr(92) || '"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"""
+_NOTE = f"""'"' || {_NOTE} || '"'"""
+
+
+@query("M2, M4, M5, K4 (broken texts, whole)", f"SELECT doc_id AS id, {_whole(_NOTE)} AS shown FROM documents")
+def broken_whole_texts_masked(t: Tables):
+    """As ``broken_texts_masked``, with the whole text of every document in its record and the address behind it."""
+    config = FlowConfig(
+        contract=C.json.dumps({"type": "object", "required": ["shown"], "properties": {"shown": {"type": "string"}}}),
+        batches=BatchOptions(size=20, order=()),
+        masking=MaskOptions(fields=("email",), patterns=("[a-z0-9]+@x",)),
+        reuse=ReuseOptions(spec_path=_folder(t, "broken-whole-specs")),
+        calls=CallOptions(max_retries=0, wait_seconds=0.0),
+    )
+    rows = t("documents").selectExpr("doc_id ordinal", "concat('k', doc_id, '@x.org') key", f"{_whole(_NOTE)} value", "doc_id")
+    flow = Pipeline(config, GuardedClient())
+    flow.compile(rows)
+    good = compute_once(flow.transform(rows).good, {"v": V.parse(F.col("value"))})
+    return good.select(F.col("source.doc_id").alias("id"), F.try_variant_get("v", "$.shown", "string").alias("shown"))
