@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licences, mixture, prefixhash, quality, recompress, shards, simhash, warc
+from . import bpe, exact, lexical, licences, merkle, mixture, prefixhash, quality, recompress, shards, simhash, tokenfiles, warc
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,4 +103,27 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.without_repeats(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token files in the shared folder, and their ids read back."""
+    import public_tokenizers
+
+    path = tokenfiles.fresh_path(spark, "tokens")
+    tokenfiles.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path, end_id=2)
+    return tokenfiles.checksums(tokenfiles.read(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents ranked for all benchmark items."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their proof in the manifest, and a version for every fifth with its text in lower case."""
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), changed, merkle.lower_cased()).proofs()
+
+
 __all__ = ["ORACLES", "QUERIES"]
