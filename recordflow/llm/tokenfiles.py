@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,18 +31,42 @@ ROW_GROUP_BYTES = 32 << 20
 PAGE_ROWS = 512
 # Stored bytes of text for each file.
 FILE_BYTES = 16 << 20
-# Pieces of text whose ids a task keeps, and the characters it looks at together.
+# Pieces whose ids a worker learns before it drops those it has not met since, and bytes of text it looks at together.
 KEPT_PIECES = 400_000
 STRETCH = 1 << 20
 
-# A piece is white space with what follows it: pre-tokens of byte-level vocabularies never run from a visible
-# character into white space, and white space before a visible character is split the same way wherever it stands.
-_piece = re.compile(r"\s*\S+|\s+")
-_next = re.compile(r"(?<=\S)(?=\s)")
-# White space to Python alone: texts with these are encoded as one.
-_disputed = re.compile("[\x1c-\x1f]")
-_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+# Kinds of bytes: white space, letters, digits, other ASCII, parts of further characters.
+_SPACE, _LETTER, _DIGIT, _MARK, _FURTHER = range(5)
+_KINDS = np.array(
+    [
+        _FURTHER if b >= 128 else _SPACE if b == 32 or 9 <= b <= 13 else _DIGIT if 48 <= b <= 57
+        else _LETTER if 65 <= b <= 90 or 97 <= b <= 122 else _MARK
+        for b in range(256)
+    ],
+    np.uint8,
+)
+# White space beyond ASCII: texts with it are encoded as one.
+_further_space = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_visible_then_space = re.compile(rb"[^\t-\r ](?=[\t-\r ])")
+# One pre-token for sure: its bytes stand for themselves in the vocabulary, but for the blank.
+_single = re.compile(rb" ?(?:[A-Za-z]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)")
+
+
+def cuts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where pieces begin: pre-tokens begin there too, whatever stands around.
+
+    The pattern of byte-level vocabularies never runs from a visible character into white space, nor
+    from a letter into a digit or a mark or the other way round, but that an apostrophe may take letters
+    along. White space before a visible character is split alike wherever it stands. ``begins``: starts of texts.
+    """
+    kind = _KINDS[data]
+    before, here = kind[:-1], kind[1:]
+    into_space = (here == _SPACE) & (before != _SPACE)
+    visible = (here != _SPACE) & (here != _FURTHER) & (before != _SPACE) & (before != _FURTHER)
+    cut = np.empty(len(data), bool)
+    cut[1:] = into_space | (visible & (here != before) & (data[:-1] != 39))
+    cut[begins[begins < len(data)]] = True
+    return np.flatnonzero(cut)
 
 
 def read_vocabulary(path: str) -> str:
@@ -53,8 +78,8 @@ def read_vocabulary(path: str) -> str:
 class PieceEncoder:
     """Ids of texts by a byte-level tokenizer of the tokenizers library, which sees each distinct piece once.
 
-    Pieces must be independent of each other, which holds for a byte-level pre-tokenizer by
-    its usual pattern, without normalizer or added prefix. With others, whole texts are encoded.
+    Pieces are independent of each other where the pre-tokenizer is byte-level by its usual
+    pattern, without normalizer or added prefix. With others, whole texts are encoded.
     """
 
     def __init__(self, vocabulary: str):
@@ -65,6 +90,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         # Special tokens written in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         made = json.loads(vocabulary)
         before = made.get("pre_tokenizer") or {}
         self.by_piece = (
@@ -73,50 +99,87 @@ class PieceEncoder:
             and not before.get("add_prefix_space", True)
             and made.get("normalizer") is None
         )
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Ids of new pieces; a word and the punctuation behind it are known apart."""
-        stems = {p: s for p in pieces if (s := p.rstrip(_PUNCTUATION)) != p and s[-1:] in _LETTERS}
-        parts = {x for p, s in stems.items() for x in (s, p[len(s) :])}
-        new = [p for p in parts.union(p for p in pieces if p not in stems) if p not in self.known]
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            self.known.update(zip(some, self._encode(some)))
-        for p, s in stems.items():
-            self.known[p] = self.known[s] + self.known[p[len(s) :]]
-
-    def _stretches(self, text: str) -> Iterator[str]:
-        at = 0
-        while len(text) - at > STRETCH:
-            cut = _next.search(text, at + STRETCH)
-            if cut is None:
-                break
-            yield text[at : cut.start()]
-            at = cut.start()
-        yield text[at:] if at else text
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        for text in texts:
-            if not self.by_piece or _disputed.search(text):
-                yield self._encode([text])[0]
-                continue
-            made = []
-            for stretch in self._stretches(text):
-                pieces = _piece.findall(stretch)
-                new = [p for p in set(pieces) if p not in self.known]
-                if new:
-                    if len(self.known) + len(new) > KEPT_PIECES:
-                        self.known.clear()
-                        new = list(set(pieces))
-                    self._learn(new)
-                made.append(b"".join(map(self.known.__getitem__, pieces)))
-            yield made[0] if len(made) == 1 else b"".join(made)
+        self.known: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        rest = []
+        for p in pieces:
+            if _single.fullmatch(p):
+                found = self.model.tokenize(p.decode().replace(" ", "\u0120"))
+                self.known[p] = array("I", [t.id for t in found]).tobytes()
+            else:
+                rest.append(p)
+        if rest:
+            found = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)
+            self.known.update((p, array("I", e.ids).tobytes()) for p, e in zip(rest, found))
+
+    def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        known, earlier = self.known, self.earlier
+        missing = [p for p in pieces if p not in known]
+        if missing:
+            known.update((p, earlier[p]) for p in missing if p in earlier)
+            self._learn([p for p in missing if p not in earlier])
+        ids = list(map(known.__getitem__, pieces))
+        if len(known) > KEPT_PIECES:
+            self.known, self.earlier = {}, known
+        return ids
+
+    def stretch(self, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some texts laid end to end (``begins``: where each starts), and how many each has."""
+        if not len(data):
+            return np.empty(0, np.uint32), np.zeros(len(begins), np.int64)
+        starts = cuts(data, begins)
+        ends = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, ends, pa.py_buffer(data)]).dictionary_encode()
+        ids, code = self._ids_of(pieces.dictionary.to_numpy(zero_copy_only=False).tolist()), pieces.indices.to_numpy()
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        first = np.cumsum(size, dtype=np.int32) - size
+        sizes = size[code]
+        after = np.cumsum(sizes, dtype=np.int32)
+        total = int(after[-1])
+        place = np.repeat(first[code] - after + sizes, sizes)
+        place += np.arange(total, dtype=np.int32)
+        edge = np.append(0, after)[np.searchsorted(starts, np.append(begins, len(data)))]
+        return np.frombuffer(b"".join(ids), "<u4")[place], np.diff(edge).astype(np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (non-null), one text's behind the other's, and how many each has."""
+        apart = [True] * len(texts)
+        if self.by_piece:
+            apart = pc.match_substring_regex(texts, _further_space).to_pylist()
+        raw = texts.cast(pa.large_string()).cast(pa.large_binary())
+        _, at, data = raw.buffers()
+        at = np.frombuffer(at, np.int64)[raw.offset : raw.offset + len(raw) + 1]
+        data = np.frombuffer(data or b"", np.uint8)
+        values, counts = [], np.zeros(len(texts), np.int64)
+        row = 0
+        while row < len(texts):
+            if apart[row]:
+                found = self.whole(texts[row].as_py())
+                values.append(found)
+                counts[row], row = len(found), row + 1
+            elif at[row + 1] - at[row] > STRETCH:
+                begin, end = int(at[row]), int(at[row + 1])
+                while begin < end:
+                    cut = _visible_then_space.search(data[begin:end], STRETCH)
+                    upto = end if cut is None else begin + cut.end()
+                    found, _ = self.stretch(data[begin:upto], np.zeros(1, np.int64))
+                    values.append(found)
+                    counts[row] += len(found)
+                    begin = upto
+                row += 1
+            else:
+                last = row + 1
+                while last < len(texts) and not apart[last] and at[last + 1] - at[row] <= STRETCH:
+                    last += 1
+                found, counts[row:last] = self.stretch(data[at[row] : at[last]], at[row:last] - at[row])
+                values.append(found)
+                row = last
+        return np.concatenate(values) if values else np.empty(0, np.uint32), counts
 
 
 # The encoder of a process, by its vocabulary: tasks of one worker share what it has learnt.
@@ -130,6 +193,17 @@ def _encoder(key: str, vocabulary: str) -> PieceEncoder:
     return _held[key]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts have about a stretch of bytes together."""
+    size = np.cumsum(pc.binary_length(batch["_text"]).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(size[at - 1]) if at else 0
+        upto = max(at + 1, int(np.searchsorted(size, before + STRETCH, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def _rows(vocabulary, key: str, end_id: int) -> Callable:
     """Ids of the documents of a partition, their place in it and the ids before them."""
 
@@ -140,25 +214,24 @@ def _rows(vocabulary, key: str, end_id: int) -> Callable:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         encoder, part = _encoder(key, vocabulary.value), TaskContext.get().partitionId()
-        end, row, before = np.array([end_id], "<u4").tobytes(), 0, 0
+        row, before = 0, 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                t = batch.slice(start, 64)
-                ids = [x + end for x in encoder.encode(t["_text"].to_pylist())]
-                counts = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+            for t in _slices(batch):
+                ids, counts = encoder.encode(t["_text"])
+                ids = np.insert(ids, np.cumsum(counts), end_id).astype(np.int32)
+                counts += 1
                 ends = np.cumsum(counts)
-                values = np.frombuffer(b"".join(ids), "<u4").view("<i4")
-                lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends])), pa.array(values))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids))
                 columns = {
                     "doc_id": t["doc_id"],
-                    "part": pa.array([part] * len(ids), pa.int32()),
-                    "row": pa.array(range(row, row + len(ids)), pa.int64()),
+                    "part": pa.array(np.full(len(counts), part), pa.int32()),
+                    "row": pa.array(np.arange(row, row + len(counts))),
                     "before": pa.array(before + ends - counts),
                     "n_tokens": pa.array(counts),
-                    "ids": lists.cast(pa.list_(pa.int32())),
+                    "ids": lists,
                 }
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-                row, before = row + len(ids), before + int(ends[-1])
+                row, before = row + len(counts), before + int(ends[-1])
 
     return run
 
@@ -184,7 +257,7 @@ def write(
 
     Scale: one shuffle of the texts into ranges of about FILE_BYTES, cut by doc_id, text hash and
     row, so that one id with a third of all rows fills many ranges; a text is encoded once, after
-    it. A task streams its range and holds a few dozen texts and the ids of KEPT_PIECES pieces.
+    it. A task streams its range, STRETCH bytes of text at a time, and holds the ids of twice KEPT_PIECES pieces.
     """
     if ids_encoding not in ("dictionary", "delta"):
         raise ValueError("ids_encoding is 'dictionary' or 'delta'")
