@@ -49,9 +49,8 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata and conversion records of all pages."""
-    made = warc.derive(warc.responses(table(spark, sf_dir, "pages")), keep="page_id")
     header = F.col("headers")
-    return warc.written_records(made).select(
+    return warc.derive_pages(table(spark, sf_dir, "pages")).select(
         "page_id",
         "kind",
         "record_id",
