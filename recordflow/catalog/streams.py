@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
+from ..operators import changes as CH
 from ..operators import contract as C
 from ..operators import merge as M
 from ..operators import profiling as PR
@@ -88,6 +89,39 @@ def upserted_stream(t: Tables):
     return table.current().select("id", "kind", "amount")
 
 
+@query(
+    "W16 on a stream, S12 (late, repeated and deleted)",
+    """WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1)
+       SELECT user_id AS id, event_type AS kind, value AS amount FROM l WHERE event_id % 4 <> 1
+       UNION ALL SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)""",
+)
+def sequenced_stream(t: Tables):
+    """Changes in three shuffled micro-batches, delivered twice: what was deleted stays deleted, older changes are void."""
+    log, table = _folder(t, "changes"), runner.VersionedTable(t.spark, _folder(t, "changed"))
+    known = runner.VersionedTable(t.spark, _folder(t, "sequences"))
+    rows = t("events").selectExpr(
+        "user_id id", "event_type kind", "value amount", "event_id seq", "if(event_id % 4 = 1, 'delete', 'update') op", "pmod(xxhash64(event_id), 3) part"
+    )
+    rows.repartition(3, "part").write.partitionBy("part").parquet(log)
+    table.publish(t("customer").selectExpr("c_custkey id", "c_mktsegment kind", "c_acctbal amount"), 0)
+    schema = "id bigint, kind string, amount double, seq bigint, op string, part int"
+    stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(log)
+
+    def work(offset):
+        def one(batch, batch_id):
+            version = offset + batch_id
+            done = CH.sequence_changes(known.before(version), batch.drop("part"), ["id"], "seq")
+            # The target first: a batch that stops in between is applied once more, to the same result.
+            table.publish(CH.apply_changes(table.before(version), done.effective, ["id"], "seq"), version)
+            known.publish(done.sequences, version)
+
+        return one
+
+    _drain(runner.run(stream, work(1), _folder(t, "changes-state")))
+    _drain(runner.run(stream, work(1000), _folder(t, "changes-again")))
+    return table.current().select("id", "kind", "amount")
+
+
 @query("S13, S14", "SELECT 'shard-' || (user_id % 6) AS shard, event_id AS seq, event_type AS kind FROM events WHERE NOT (user_id % 6 = 2 AND event_id <= 500)")
 def sharded_stream(t: Tables):
     """A sharded log of files, a few files per micro-batch, one shard resumed behind a stored position."""
