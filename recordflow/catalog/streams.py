@@ -17,6 +17,7 @@ from ..operators.records import to_envelope
 from ..operators.staging import compute_once, ensure_checkpoint_dir
 from ..plans.config import BatchOptions, CallOptions, FlowConfig, MaskOptions, ReuseOptions, RouterOptions
 from ..plans.flow import Pipeline
+from ..sources.recordlog import close_shard, read_record_log
 from ..sources.topics import read_shard_log
 from ..streaming import runner
 from ..streaming.operators import dedup_stream, flush_by_size_or_age
@@ -27,6 +28,10 @@ def _folder(t: Tables, name: str) -> str:
     return f"{ensure_checkpoint_dir(t.spark)}/recordflow-{name}-{uuid.uuid4().hex}"
 
 
+def _folder_in(folder: str, name: str) -> str:
+    return f"{folder}/{name}"
+
+
 def event_stream(t: Tables):
     """The events table as a stream of files."""
     schema = t("events").schema
@@ -138,6 +143,47 @@ def sharded_stream(t: Tables):
     )
 
 
+@query(
+    "S13 (own offsets, restart)",
+    "SELECT 'shard-' || (user_id % 6) AS shard, event_id AS seq, event_type AS kind, TRUE AS capped FROM events",
+)
+def record_log_stream(t: Tables):
+    """A log read in capped micro-batches, stopped after two, and read on after shards were added and finished."""
+    log, out, state = _folder(t, "log"), _folder(t, "log-out"), _folder(t, "log-state")
+    rows = t("events").selectExpr("event_id seq", "event_type kind", "concat('shard-', user_id % 6) shard")
+    # Half of all records are there at first, without the last shard.
+    half = rows.agg(F.expr("max(seq) div 2")).first()[0] or 0
+    early = (F.col("seq") <= half) & (F.col("shard") != "shard-5")
+    cap = max(1, int(half) // 8)
+    rows.filter(early).repartition("shard").sortWithinPartitions("seq").write.partitionBy("shard").parquet(log)
+
+    def work(batch, batch_id):
+        runner.write_once(batch, out, batch_id)
+
+    def started():
+        stream = read_record_log(
+            t.spark, log, "seq bigint, kind string", _folder_in(state, "positions"), max_rows=cap, rows_per_partition=cap // 4 + 1, refresh_seconds=0
+        )
+        return runner.run(stream, work, _folder_in(state, "checkpoint"), "10 milliseconds")
+
+    handle = started()
+    while handle.exception() is None and not (handle.lastProgress and handle.lastProgress["batchId"] >= 1):
+        handle.awaitTermination(0.2)
+    handle.stop()
+    rows.filter(~early).repartition("shard").sortWithinPartitions("seq").write.mode("append").partitionBy("shard").parquet(log)
+    close_shard(log, "shard-0")
+    handle = started()
+    try:
+        handle.processAllAvailable()
+    finally:
+        handle.stop()
+    done = t.spark.read.parquet(out)
+    sizes = done.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    return done.join(sizes, "batch").select(
+        F.col("src_partition")["shard"].alias("shard"), F.col("src_offset")["seq"].cast("bigint").alias("seq"), "kind", (F.col("n") <= cap).alias("capped")
+    )
+
+
 @query("X4", "SELECT user_id % 6 AS shard, event_id AS seq, event_type AS kind FROM events")
 def deduplicated_stream(t: Tables):
     """A log delivered twice over the stream keeps each source position once."""
