@@ -12,7 +12,8 @@ from ..operators import contract as C
 from ..operators import merge as M
 from ..operators import profiling as PR
 from ..operators import reuse as U
-from ..operators.model import MappingClient
+from ..operators.delivery import Delivery, deliver_stream, read_dead_letters
+from ..operators.model import CallFailed, MappingClient
 from ..operators.records import to_envelope
 from ..operators.staging import compute_once, ensure_checkpoint_dir
 from ..plans.config import BatchOptions, CallOptions, FlowConfig, MaskOptions, ReuseOptions, RouterOptions
@@ -198,6 +199,52 @@ def deduplicated_stream(t: Tables):
     return t.spark.read.schema(rows.schema).parquet(out).select("shard", "seq", "kind")
 
 
+def flaky_sender(received: str):
+    """Refuses every eleventh record for good and every fifth at first; what it takes lands in a folder."""
+
+    def sender(rows: list[dict]) -> dict:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        from ..sources.recordlog import file_system
+
+        first = len(rows) > 1 and "tried" not in seen
+        failed = {i: CallFailed(400, "bad record") for i, r in enumerate(rows) if r["event_id"] % 11 == 3}
+        if first:
+            failed |= {i: CallFailed(503) for i, r in enumerate(rows) if i not in failed and r["event_id"] % 5 == 1}
+            seen.add("tried")
+        else:
+            seen.clear()
+        taken = [r["event_id"] for i, r in enumerate(rows) if i not in failed]
+        files, root = file_system(received)
+        files.create_dir(root, recursive=True)
+        pq.write_table(pa.table({"event_id": pa.array(taken, pa.int64())}), f"{root}/{uuid.uuid4().hex}.parquet", filesystem=files)
+        return failed
+
+    seen: set = set()
+    return sender
+
+
+@query(
+    "W10, W11, V7 (failed rows kept)",
+    """SELECT event_id, user_id, CASE WHEN event_id % 11 = 3 THEN 'dead' ELSE 'sent' END AS fate,
+              CASE WHEN event_id % 11 = 3 THEN 'bad record' END AS error, CASE WHEN event_id % 11 = 3 THEN 'put' END AS stage FROM events""",
+)
+def delivered_stream(t: Tables):
+    """A stream sent in runs to a receiver that fails by rule: every record is either received or a dead letter, with its columns."""
+    log, received, dead = _folder(t, "send"), _folder(t, "received"), _folder(t, "dead")
+    rows = t("events").select("event_id", "user_id")
+    rows.repartition(4).write.parquet(log)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(log)
+    how = Delivery(flaky_sender(received), size=200, retries=2, wait_seconds=0.0, stage="put")
+    _drain(deliver_stream(stream, how, dead, _folder(t, "send-state")))
+    none = F.lit(None).cast("string")
+    taken = t.spark.read.schema("event_id bigint").parquet(received).join(rows, "event_id")
+    sent = taken.select("event_id", "user_id", F.lit("sent").alias("fate"), none.alias("error"), none.alias("stage"))
+    letters = read_dead_letters(t.spark, dead, rows.schema)
+    return sent.unionByName(letters.select("event_id", "user_id", F.lit("dead").alias("fate"), F.col("error_message").alias("error"), "stage"))
+
+
 @query("B2", "SELECT CAST(event_id AS VARCHAR) AS key, TRUE AS small FROM events")
 def flushed_batches(t: Tables):
     """A stream cut into batches of at most 50, the rest flushed after waiting; nothing is lost or doubled."""
