@@ -22,7 +22,7 @@ from ..sources.recordlog import close_shard, read_record_log
 from ..sources.topics import read_shard_log
 from ..streaming import runner
 from ..streaming.operators import dedup_stream, flush_by_size_or_age
-from .base import Tables, got, query
+from .base import Tables, day, got, query
 
 
 def _folder(t: Tables, name: str) -> str:
@@ -245,11 +245,17 @@ def delivered_stream(t: Tables):
     return sent.unionByName(letters.select("event_id", "user_id", F.lit("dead").alias("fate"), F.col("error_message").alias("error"), "stage"))
 
 
-@query("B2", "SELECT CAST(event_id AS VARCHAR) AS key, TRUE AS small FROM events")
+@query(
+    "B2",
+    """SELECT CAST(event_id AS VARCHAR) AS key, event_id, user_id, event_type, value AS amount, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at,
+          CAST(event_id AS VARCHAR) AS seq, TRUE AS small FROM events""",
+)
 def flushed_batches(t: Tables):
-    """A stream cut into batches of at most 50, the rest flushed after waiting; nothing is lost or doubled."""
+    """A stream cut into batches of at most 50, the rest flushed after waiting; records keep all columns, none is lost or doubled."""
     out = _folder(t, "flush")
-    stream = event_stream(t).selectExpr("cast(event_id as string) key", "event_type value")
+    stream = event_stream(t).selectExpr(
+        "cast(event_id as string) key", "*", "map('seq', cast(event_id as string)) src_offset"
+    )
     flushed = flush_by_size_or_age(stream, 50, 200, lanes=4)
     handle = (
         flushed.writeStream.format("parquet")
@@ -272,7 +278,10 @@ def flushed_batches(t: Tables):
         handle.stop()
     done = t.spark.read.schema(schema).parquet(out)
     sizes = done.groupBy("lane", "flush_no").agg(F.count(F.lit(1)).alias("n"))
-    return done.join(sizes, ["lane", "flush_no"]).select("key", (F.col("n") <= 50).alias("small"))
+    return done.join(sizes, ["lane", "flush_no"]).select(
+        "key", "event_id", "user_id", "event_type", F.col("value").alias("amount"), day("ts").alias("at"),
+        F.col("src_offset")["seq"].alias("seq"), (F.col("n") <= 50).alias("small"),
+    )
 
 
 class SegmentClient:
