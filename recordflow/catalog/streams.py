@@ -460,11 +460,15 @@ class GuardedClient(MappingClient):
         return {"content": json.dumps([{"_n": x["_n"], "shown": x["value"]} for x in batch]), "model": "fake"}
 
 
-# Broken JSON, text behind JSON, text with a placeholder of its own, and whole JSON, each with an address.
-_BROKEN = """CASE doc_id % 4 WHEN 0 THEN '{broken u' || doc_id || '@x.org ' || left(text, 40)
-    WHEN 1 THEN '{"a":1} tail u' || doc_id || '@x.org'
-    WHEN 2 THEN '{"note":"see [MASKED_0]","email":"u' || doc_id || '@x.org"}'
-    ELSE '{"id":' || doc_id || ',"mail":"u' || doc_id || '@x.org"}' END"""
+# A text as a JSON string.
+_NOTE = """replace(replace(replace(replace(replace(coalesce(text, ''), chr(92), chr(92) || chr(92)), '"', chr(92) || '"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"""
+_NOTE = f"""'"' || {_NOTE} || '"'"""
+
+# Broken JSON, text behind JSON, text with a placeholder of its own, and whole JSON: each with the whole text, an address before it.
+_BROKEN = f"""CASE doc_id % 4 WHEN 0 THEN '{{broken u' || doc_id || '@x.org ' || coalesce(text, '')
+    WHEN 1 THEN '{{"a":1}} tail u' || doc_id || '@x.org ' || coalesce(text, '')
+    WHEN 2 THEN '{{"note":"see [MASKED_0]","email":"u' || doc_id || '@x.org","text":' || {_NOTE} || '}}'
+    ELSE '{{"id":' || doc_id || ',"mail":"u' || doc_id || '@x.org","text":' || {_NOTE} || '}}' END"""
 
 
 @query("M2, M4, M5, K4 (broken texts, personal keys)", f"SELECT doc_id AS id, {_BROKEN} AS shown FROM documents")
@@ -492,10 +496,6 @@ def _whole(note: str) -> str:
     ELSE '{{"id":' || doc_id || ',"note":' || {note} || ',"mail":"u' || doc_id || '@x.org"}}' END"""
 
 
-_NOTE = """replace(replace(replace(replace(replace(coalesce(text, ''), chr(92), chr(92) || chr(92)), '"', chr(92) || '"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"""
-_NOTE = f"""'"' || {_NOTE} || '"'"""
-
-
 @query("M2, M4, M5, K4 (broken texts, whole)", f"SELECT doc_id AS id, {_whole(_NOTE)} AS shown FROM documents")
 def broken_whole_texts_masked(t: Tables):
     """As ``broken_texts_masked``, with the whole text of every document in its record and the address behind it."""
