@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import variant as V
 from ..operators import batching as B
+from ..operators import discovery as D
 from ..operators import mapping as M
 from ..operators import profiling as PR
 from ..operators import rules as RU
@@ -538,6 +539,48 @@ def discovered_fields(t: Tables):
     )
 
 
+def _paths(table: str, rows: list[tuple[str, str, str]]) -> str:
+    return " UNION ALL ".join(f"SELECT '{table}' AS source, '{p}' AS path, '{k}' AS kind, {n} AS occurrences FROM {table}" for p, k, n in rows)
+
+
+_N = "count(*)"
+_EVENT_PATHS = [
+    ("$", "object", _N), ("$.id", "integer", _N), ("$.who", "object", _N), ("$.who.user", "integer", _N), ("$.who.seen", "array", _N),
+    ("$.who.seen[]", "object", _N), ("$.who.seen[].type", "string", _N), ("$.who.seen[].value", "number", _N), ("$.props", "object", _N),
+    ("$.props.k", "integer", _N), ("$.by", "object", _N), ("$.by.*", "object", _N), ("$.by.*.n", "integer", _N),
+]
+_DOCUMENT_PATHS = [
+    ("$", "object", _N), ("$.doc", "object", _N), ("$.doc.id", "integer", _N), ("$.doc.meta", "object", _N), ("$.doc.meta.lang", "string", "count(lang)"),
+    ("$.doc.meta.source", "string", "count(source)"), ("$.doc.meta.size", "object", _N), ("$.doc.meta.size.chars", "integer", "count(n_chars)"),
+    ("$.doc.text", "string", "count(text)"),
+]
+_TURN_PATHS = [
+    ("$", "object", _N), ("$.conv", "integer", _N), ("$.turn", "object", _N), ("$.turn.no", "integer", _N), ("$.turn.said", "object", _N),
+    ("$.turn.said.role", "string", "count(role)"), ("$.turn.said.words", "array", _N), ("$.turn.said.words[]", "string", "2 * count(*)"),
+]
+
+
+@query("R8 (nested)", " UNION ALL ".join([_paths("events", _EVENT_PATHS), _paths("documents", _DOCUMENT_PATHS), _paths("conversations", _TURN_PATHS)]))
+def discovered_paths(t: Tables):
+    """Every path of records nested four deep, with its kinds; user ids used as keys are one path."""
+    records = {
+        "events": t("events").selectExpr(
+            """concat('{"id":', event_id, ',"props":', props, ',"who":', to_json(named_struct('user', user_id, 'seen', array(named_struct('type', event_type, 'value', value)))),
+                      ',"by":{"u', user_id, '":{"n":1}}}') value"""
+        ),
+        "documents": t("documents").selectExpr(
+            "to_json(named_struct('doc', named_struct('id', doc_id, 'text', text, 'meta', named_struct('lang', lang, 'source', source, 'size', named_struct('chars', n_chars))))) value"
+        ),
+        "conversations": t("conversations").selectExpr(
+            "to_json(named_struct('conv', conv_id, 'turn', named_struct('no', turn, 'said', named_struct('role', role, 'words', array('a', coalesce(text, '')))))) value"
+        ),
+    }
+    found = [
+        D.discover_paths(rows).select(F.lit(name).alias("source"), "path", "kind", "occurrences") for name, rows in records.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query(
     "B1 with R3 (batches of consecutive records)",
     """SELECT batch_id, count(*) AS records, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM

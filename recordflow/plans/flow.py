@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import privacy, profiling, reuse
+from ..operators import discovery, privacy, profiling, reuse
 from ..operators.accounting import call_cost
 from ..operators.batching import arrival_batches, assign_batches, numbered_batches, split_batches
 from ..operators.contract import Contract, split, to_dead_letter, validate
@@ -49,6 +50,12 @@ class Pipeline:
         self.config, self.client, self.embedder = config, client, embedder
         self.contract = Contract.parse(config.contract)
 
+    @classmethod
+    def with_discovered_contract(cls, config: FlowConfig, df: DataFrame, client: ModelClient | None = None, embedder=None) -> Pipeline:
+        """A flow whose contract is learnt from records that are right: the fields of ``df``, their types, and which all have."""
+        found = discovery.contract_of(discovery.nested_schema(discovery.discover_paths(df)))
+        return cls(replace(config, contract=json.dumps(found)), client, embedder)
+
     # ------------------------------------------------------------------ batch
 
     def transform(self, df: DataFrame) -> FlowResult:
