@@ -36,8 +36,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in eight shards of near equal bytes."""
-    return shards.shard(table(spark, sf_dir, "documents"), 8)
+    """All documents in eight shards of near equal bytes: a stored map that deals slots out in turn is edited for their bytes."""
+    path = tokenfiles.fresh_path(spark, "slots")
+    shards.SlotMap.even(8).save(spark, path)
+    return shards.shard(table(spark, sf_dir, "documents"), 8, map_path=path)
 
 
 @query

@@ -42,6 +42,11 @@ class SlotMap:
             heapq.heappush(loads, (load + bytes_of[place], shard))
         return cls(1, shards, dict(bytes_of), shard_of)
 
+    @classmethod
+    def even(cls, shards: int, slots: int = SLOTS) -> SlotMap:
+        """First version before anything is known of the bytes: slots dealt out in turn."""
+        return cls(1, shards, {(k, 0): 0 for k in range(slots)}, {(k, 0): k % shards for k in range(slots)})
+
     def loads(self) -> list[int]:
         out = [0] * self.shards
         for place, shard in self.shard_of.items():
@@ -152,9 +157,13 @@ def shard(docs: DataFrame, shards: int = 8, map_path: str | None = None, **colum
         slot_map = SlotMap.balanced(sizes, shards)
     if map_path is not None and sizes:
         slot_map.save(spark, map_path)
+    # Rows are placed by the version as it is stored: one row per slot and part.
+    mapped = slot_map.table(spark)
+    if map_path is not None and sizes:
+        mapped = spark.read.parquet(map_path).filter(F.col("version") == slot_map.version)
     # One row per slot, part and range of rows: bounded by slots, parts and ranges.
     ends = rows.groupBy("virtual_slot", "part", "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
-    ends = ends.join(F.broadcast(slot_map.table(spark).select("virtual_slot", "part", "shard")), ["virtual_slot", "part"])
+    ends = ends.join(F.broadcast(mapped.select("virtual_slot", "part", "shard")), ["virtual_slot", "part"])
     along = Window.partitionBy("shard").orderBy("virtual_slot", "part", "_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = ends.withColumn("_start", F.coalesce(F.sum("_rows").over(along), F.lit(0))).drop("_rows")
     within = Window.partitionBy("virtual_slot", "part", "_chunk").orderBy("_before", "size")

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import product
 
@@ -187,3 +188,25 @@ def test_flow_is_of_least_cost():
         if a <= 6 and 5 - a + b <= 9 and 4 - b <= 3
     )
     assert total(flow) == best
+
+
+def test_the_query_edits_a_stored_map(spark, monkeypatch):
+    from recordflow.llm import queries
+
+    paths, fresh = [], queries.tokenfiles.fresh_path
+    monkeypatch.setattr(queries.tokenfiles, "fresh_path", lambda *a: paths.append(fresh(*a)) or paths[-1])
+    sf = "/root/testdata/sf0.01"
+    found = queries.QUERIES["op2_shards"](spark, sf).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert len(found) == len(docs)
+    for r in found:  # sizes and checksums by another library
+        data = (docs[r.doc_id] or "").encode()
+        assert r.size == len(data) + 1 and r.text_crc32 == zlib.crc32(data)
+    first, second = (shards.SlotMap.load(spark, paths[0], v) for v in (1, 2))
+    assert first.shard_of[17, 0] == 1 and second.version == 2
+    kept = sum(first.shard_of[p] == s for p, s in second.shard_of.items() if p in first.shard_of)
+    assert kept > 0.7 * len(second.shard_of)  # an edit, not a new map
+    loads = [0] * 8
+    for r in found:
+        loads[r.shard] += r.size
+    assert loads == second.loads() and max(loads) - min(loads) < 0.02 * max(loads)
