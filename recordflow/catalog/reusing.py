@@ -194,6 +194,32 @@ def many_specs(t: Tables):
     )
 
 
+@query(
+    "K1 (many structures, SQL specs in groups)",
+    """SELECT o_orderkey, o_custkey + o_orderkey % 400 AS out_value, CASE WHEN o_orderkey % 400 < 200 THEN 'sql' ELSE 'd' END AS kind FROM orders""",
+)
+def many_sql_specs(t: Tables):
+    """200 structures under SQL specs, more than one plan takes, and 200 under mappings."""
+    def body(number: str, inner: str) -> str:
+        return f"""concat('{{"field', {number}, '":{{"v":"', {inner}, '"}}}}') value"""
+
+    shown = "o_custkey + if(o_orderkey % 400 < 200, 0, o_orderkey % 400)"
+    records = t.wide("orders").selectExpr("o_orderkey", body("o_orderkey % 400", shown))
+    marked = PR.with_fingerprint(records, "", "deep")
+    shapes = PR.with_fingerprint(t.spark.range(400).selectExpr("id n", body("id", "0")), "", "deep")
+    quoted = """'{"out":"try_variant_get(input, \\'$.field', n, '.v\\', \\'bigint\\') + ', n, '","kind":"\\'sql\\'"}'"""
+    mapping = """'{"mappings":{"out":"$.field', n, '.v"},"defaults":{"kind":"d"},"typeCasts":{"out":"integer"}}'"""
+    specs = shapes.select(
+        "fingerprint",
+        F.expr("if(n < 200, 'SQL_EXPR', 'DECLARATIVE')").alias("type"),
+        F.expr(f"if(n < 200, concat({quoted}), concat({mapping}))").alias("code"),
+        F.expr("timestamp'2024-01-01'").alias("created_at"),
+        F.lit("m").alias("model"),
+    )
+    done, _, _ = U.apply_compiled(marked, specs, C.Contract.parse({"properties": {"out": {"type": "integer"}}}))
+    return done.select("o_orderkey", got("value", "$.out", "bigint").alias("out_value"), got("value", "$.kind").alias("kind"))
+
+
 @query(
     "K3",
     """WITH p AS (SELECT user_id, event_id, ts, event_type,

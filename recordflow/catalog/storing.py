@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import accounting as A
 from ..operators import changes as CH
 from ..operators import merge as M
+from ..operators import profiling as PR
 from ..operators import records as R
 from ..operators import sinks as S
 from ..operators.staging import ensure_checkpoint_dir
@@ -123,6 +124,55 @@ def percentile_sketch(t: Tables):
     return below.groupBy("event_type").agg((F.abs(share - 0.95) < 0.001).alias("near"))
 
 
+@query(
+    "R7, A4 (stored sketches, merged days; exact at low counts)",
+    """WITH r AS (SELECT user_id, value, event_type, row_number() OVER (PARTITION BY user_id ORDER BY value) AS rn,
+              count(*) OVER (PARTITION BY user_id) AS n FROM events)
+       SELECT user_id, count(*) AS records, max(value) FILTER (rn = ceil(0.5 * n)) AS p50, max(value) FILTER (rn = ceil(0.95 * n)) AS p95,
+              count(DISTINCT event_type) AS kinds FROM r GROUP BY 1""",
+)
+def merged_sketches(t: Tables):
+    """Sketches of each day are stored; those of all days are merged from them, not from the events."""
+    folder = f"{ensure_checkpoint_dir(t.spark)}/recordflow-sketches-{uuid.uuid4().hex}"
+    daily = A.usage_sketches(t("events").withColumn("day", F.to_date("ts")), ["user_id", "day"], ["value"], ["event_type"], log_k=8)
+    daily.write.parquet(folder)
+    read = A.read_sketches(A.merge_sketches(t.spark.read.parquet(folder), ["user_id"]), (0.5, 0.95))
+    return read.select(
+        "user_id", "records", F.col("value_p50").alias("p50"), F.col("value_p95").alias("p95"), F.col("event_type_distinct").alias("kinds")
+    )
+
+
+@query(
+    "R7, A4 (sketches of structures)",
+    """SELECT event_type, count(*) AS records, TRUE AS users_near, TRUE AS median_near, TRUE AS same_as_one_pass FROM events GROUP BY 1""",
+)
+def structure_sketches(t: Tables):
+    """Per structure of record: distinct users within 3 %, the median within 1 % of ranks, and merged days as one pass over all."""
+    folder = f"{ensure_checkpoint_dir(t.spark)}/recordflow-sketches-{uuid.uuid4().hex}"
+    # Each type of event has a field of its own, and so a structure of its own.
+    body = F.concat(F.lit('{"'), F.col("event_type"), F.lit('":'), F.col("event_id"), F.lit("}"))
+    events = t("events").select("event_type", "user_id", "value", F.to_date("ts").alias("day"), body.alias("body"))
+    shaped = PR.with_fingerprint(events, "", "flat", "body")
+    A.usage_sketches(shaped, ["fingerprint", "day"], ["value"], ["user_id"]).write.parquet(folder)
+    merged = A.merge_sketches(t.spark.read.parquet(folder), ["fingerprint"])
+    once = A.usage_sketches(shaped, ["fingerprint"], ["value"], ["user_id"])
+    both = A.read_sketches(merged, (0.5,)).join(
+        A.read_sketches(once, (0.5,)).select("fingerprint", F.col("records").alias("n"), F.col("user_id_distinct").alias("users")), "fingerprint"
+    )
+    exact = shaped.join(both, "fingerprint").groupBy("fingerprint", "records", "n", "users", "user_id_distinct", "event_type")
+    counted = exact.agg(
+        F.countDistinct("user_id").alias("_users"),
+        (F.count_if(F.col("value") <= F.col("value_p50")) / F.count("value")).alias("_share"),
+    )
+    return counted.select(
+        "event_type",
+        "records",
+        (F.abs(F.col("user_id_distinct") - F.col("_users")) <= 0.03 * F.col("_users") + 0.5).alias("users_near"),
+        (F.abs(F.col("_share") - 0.5) < 0.01).alias("median_near"),
+        ((F.col("users") == F.col("user_id_distinct")) & (F.col("n") == F.col("records"))).alias("same_as_one_pass"),
+    )
+
+
 @query(
     "A5",
     f"""WITH {_LOG_SQL} SELECT adapter, tier, count(*) AS calls, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,

@@ -14,7 +14,7 @@ from ..operators import profiling as PR
 from ..operators import reuse as U
 from ..operators.delivery import Delivery, deliver_stream, read_dead_letters
 from ..operators.model import CallFailed, MappingClient
-from ..operators.records import to_envelope
+from ..operators.records import continue_replay_ids, to_envelope
 from ..operators.staging import compute_once, ensure_checkpoint_dir
 from ..plans.config import BatchOptions, CallOptions, FlowConfig, MaskOptions, ReuseOptions, RouterOptions
 from ..plans.flow import Pipeline
@@ -22,6 +22,7 @@ from ..sources.recordlog import close_shard, read_record_log
 from ..sources.topics import read_shard_log
 from ..streaming import runner
 from ..streaming.operators import dedup_stream, flush_by_size_or_age
+from ..streaming.specs import SpecTable
 from .base import Tables, day, got, query
 
 
@@ -322,6 +323,94 @@ def compiled_stream(t: Tables):
     )
 
 
+@query(
+    "X5 with K3 (compiled once, again when expired or failed)",
+    """SELECT user_id % 3 AS structure, event_id % 4 AS batch, count(*) FILTER (NOT (user_id % 3 = 1 AND event_id % 4 = 0)) AS done,
+              count(*) FILTER (user_id % 3 = 1 AND event_id % 4 = 0) AS rest,
+              CASE WHEN user_id % 3 = 1 THEN event_id % 4 <> 2 ELSE event_id % 4 % 2 = 0 END AS compiled
+       FROM events GROUP BY ALL""",
+)
+def recompiled_stream(t: Tables):
+    """Three structures in four micro-batches a day apart, specs living a day and a half; one breaks the contract in the first batch.
+
+    Sound structures are compiled in batches 0 and 2, the broken one in 0, 1 (its spec failed) and 3 (that one expired).
+    """
+    log, out, specs = _folder(t, "structures"), _folder(t, "structures-out"), SpecTable(t.spark, _folder(t, "spec-table"))
+    rows = t("events").selectExpr("event_id", "user_id % 3 structure", "event_id % 4 part")
+    # The last record of structure 1 in part 0 is the only one that no sample shows.
+    last = rows.filter("structure = 1 and part = 0").agg(F.max("event_id")).first()[0]
+    kind = F.when(F.col("event_id") == F.lit(last), F.lit("odd")).otherwise(F.lit("plain"))
+    named = F.concat(F.lit('{"field'), F.col("structure"), F.lit('":'), F.col("event_id"), F.lit(',"kind":"'), kind, F.lit('"}'))
+    for part in range(4):  # one file each, in this order
+        rows.filter(F.col("part") == part).select("event_id", "structure", named.alias("value")).coalesce(1).write.mode("append").parquet(log)
+    contract = C.Contract.parse({"properties": {"id": {"type": "integer"}, "kind": {"type": "string", "enum": ["plain"]}}})
+    stream = t.spark.readStream.schema("event_id bigint, structure bigint, value string").option("maxFilesPerTrigger", 1).parquet(log)
+
+    def work(batch, batch_id):
+        marked = PR.with_fingerprint(batch, contract.text, "flat").persist()
+        now = F.expr(f"timestamp'2024-03-01' + make_dt_interval({batch_id})")
+        done, rest = specs.step(marked, batch_id, FieldClient(), contract, "event_id", 129600, now, wait_seconds=0.0)
+        both = done.withColumn("went", F.lit("done")).unionByName(rest.withColumn("went", F.lit("rest")))
+        runner.write_once(both.select("fingerprint", "event_id", "structure", "went"), out, batch_id)
+        marked.unpersist()
+
+    _drain(runner.run(stream, work, _folder(t, "structures-state")))
+    made = specs.compiled().select("fingerprint", "batch", F.lit(True).alias("compiled"))
+    per_batch = t.spark.read.parquet(out).groupBy("fingerprint", "structure", F.col("batch").cast("long").alias("batch"))
+    seen = per_batch.agg(F.count_if(F.col("went") == "done").alias("done"), F.count_if(F.col("went") == "rest").alias("rest"))
+    return seen.join(made, ["fingerprint", "batch"], "left").select(
+        "structure", "batch", "done", "rest", F.coalesce("compiled", F.lit(False)).alias("compiled")
+    )
+
+
+class FieldClient:
+    """Maps the field it is shown."""
+
+    def call(self, request: dict) -> dict:
+        import re
+
+        field = re.search(r"field\d", request["user_prompt"])[0]
+        return {"content": '{"mappings": {"id": "$.' + field + '", "kind": "$.kind"}}', "model": "fake"}
+
+
+@query(
+    "S25 on a stream",
+    """WITH e AS (SELECT event_id, user_id % 5 AS channel, CASE WHEN event_id % 7 = 3 THEN event_id * 10 END AS given FROM events),
+            g AS (SELECT *, count(given) OVER (PARTITION BY channel ORDER BY event_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM e)
+       SELECT event_id, 'feed-' || channel AS channel, coalesce(max(given) OVER (PARTITION BY channel, grp), 0)
+          + row_number() OVER (PARTITION BY channel, grp ORDER BY event_id)
+          - CASE WHEN grp > 0 THEN 1 ELSE 0 END AS replay_id FROM g""",
+)
+def replayed_stream(t: Tables):
+    """Ids of a push feed counted on over several micro-batches, from the last id stored per channel."""
+    log, out, last = _folder(t, "feed"), _folder(t, "feed-out"), runner.VersionedTable(t.spark, _folder(t, "last-ids"))
+    feed = t("events").selectExpr(
+        "event_id seq",
+        "concat('feed-', user_id % 5) shard",
+        """to_json(named_struct('event', named_struct('replayId', case when event_id % 7 = 3 then event_id * 10 end,
+             'kind', event_type))) value""",
+    )
+    feed.repartition("shard").sortWithinPartitions("seq").write.partitionBy("shard").parquet(log)
+    cap = max(1, feed.count() // 3)
+    stream = read_record_log(t.spark, log, "seq bigint, value string", _folder(t, "feed-positions"), max_rows=cap, refresh_seconds=0)
+
+    def work(batch, batch_id):
+        if batch.isEmpty():
+            return
+        rows = batch.select(F.col("src_partition")["shard"].alias("channel"), F.col("src_offset")["seq"].cast("bigint").alias("event_id"), "value")
+        numbered, ids = continue_replay_ids(rows, last.before(batch_id), ["channel"], ["event_id"])
+        runner.write_once(numbered.select("event_id", "channel", "replay_id"), out, batch_id)
+        last.publish(ids, batch_id)
+
+    handle = runner.run(stream, work, _folder(t, "feed-state"), "10 milliseconds")
+    try:
+        handle.processAllAvailable()
+    finally:
+        handle.stop()
+    return t.spark.read.parquet(out).select("event_id", "channel", "replay_id")
+
+
 ORDER_TARGET = {
     "type": "object",
     "properties": {"order_id": {"type": "integer"}, "note": {"type": "string"}},

@@ -110,23 +110,27 @@ def merge_columns(
 def _overwrite(
     target: DataFrame, changes: DataFrame, keys: list[str], given: dict[str, Column | None], insert: bool
 ) -> DataFrame:
-    """Target rows with given columns replaced where a change exists (and its presence flag holds)."""
-    marked = changes.withColumn("_hit", F.lit(True))
-    joined = target.alias("t").join(marked.alias("c"), [F.col(f"t.{k}") == F.col(f"c.{k}") for k in keys], "left")
+    """Target rows with given columns replaced where a change exists (and its presence flag holds).
+
+    One join: with ``insert`` a full outer one, so that the target is read once and new keys fall out of the same
+    match. Null keys match nothing: such target rows stay, such changes are new.
+    """
+    held = target.withColumn("_held", F.lit(True)).alias("t")
+    same = [F.col(f"t.{k}") == F.col(f"c.{k}") for k in keys]
+    joined = held.join(changes.withColumn("_hit", F.lit(True)).alias("c"), same, "full_outer" if insert else "left")
+    fresh = F.col("t._held").isNull()
     columns = []
-    for name in target.columns:
-        if name not in given:
-            columns.append(F.col(f"t.{name}").alias(name))
-            continue
-        flag = F.coalesce(F.col("c._hit"), F.lit(False))
-        if given[name] is not None:
-            flag = flag & F.coalesce(given[name], F.lit(False))
-        columns.append(F.when(flag, F.col(f"c.{name}")).otherwise(F.col(f"t.{name}")).alias(name))
-    updated = joined.select(*columns)
-    if not insert:
-        return updated
-    fresh = changes.join(target.select(*keys), keys, "left_anti")
-    return updated.unionByName(align_columns(fresh, target))
+    for f in target.schema.fields:
+        own, new = F.col(f"t.{f.name}"), F.col(f"c.{f.name}").cast(f.dataType) if f.name in changes.columns else None
+        if f.name in given:
+            flag = F.coalesce(F.col("c._hit"), F.lit(False))
+            if given[f.name] is not None:
+                flag = flag & F.coalesce(given[f.name], F.lit(False))
+            own = F.when(fresh | flag, new).otherwise(own)
+        elif insert and new is not None:
+            own = F.when(fresh, new).otherwise(own)
+        columns.append(own.alias(f.name))
+    return joined.select(*columns)
 
 
 def merge_replace(target: DataFrame, documents: DataFrame, id_col: str, ordinal: str) -> DataFrame:

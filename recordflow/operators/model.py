@@ -11,11 +11,13 @@ import uuid
 from typing import Protocol
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
 from .contract import Contract, error_list
+from .pace import Pace, PacedClient, paced_tasks
 from .staging import compute_once, materialise
 
 
@@ -146,16 +148,16 @@ def _failed(row: dict, error: str, started: float) -> dict:
     return {**out, **zero, "attempts": 1, "latency_ms": (time.monotonic() - started) * 1000, "call_error": error}
 
 
-def _in_pool(rows: list[dict], answer, at_once: int, limit: float | None, pause: float) -> list[dict]:
+def _in_pool(rows: list[dict], answer, at_once: int, limit: float | None, before=lambda: None) -> list[dict]:
     """Answers in the order of the rows, at most ``at_once`` calls at a time; one beyond its time limit counts as failed.
 
-    A thread cannot be ended from outside, so the thread of such a call is left behind and its answer ignored.
+    ``before`` is called before each row, and returns when its call may start. A thread cannot be ended from outside, so the thread of such a call is left behind and its answer ignored.
     """
     out: list[dict | None] = [None] * len(rows)
     done: queue.Queue = queue.Queue()
     running: dict[int, float] = {}
     waiting = iter(range(len(rows)))
-    left, last_start = len(rows), 0.0
+    left = len(rows)
 
     def work(i: int) -> None:
         try:
@@ -165,8 +167,8 @@ def _in_pool(rows: list[dict], answer, at_once: int, limit: float | None, pause:
 
     while left:
         while len(running) < at_once and (i := next(waiting, None)) is not None:
-            time.sleep(max(0.0, last_start + pause - time.monotonic()) if last_start else 0.0)
-            running[i] = last_start = time.monotonic()
+            before()
+            running[i] = time.monotonic()
             threading.Thread(target=work, args=(i,), daemon=True).start()
         soonest = None if limit is None else max(0.0, min(running.values()) + limit - time.monotonic())
         try:
@@ -206,7 +208,8 @@ def complete(
     so a lost executor or a second action never repeats a paid call that was
     stored; with ``log_path`` neither does the next run. A task makes up to
     ``at_once`` calls at a time, each (with its retries) within ``time_limit``
-    seconds; ``calls_per_second`` is a budget per task. ``options`` (temperature,
+    seconds; ``calls_per_second`` is a budget for the whole job, retries included (see ``pace``); a wait
+    that the model asks for holds all calls of the task. ``options`` (temperature,
     max_tokens, seed, schema, cache_prefix ...) go with every request and count
     in its identity. ``made_now`` tells the answers of this run from stored ones.
     """
@@ -229,17 +232,22 @@ def complete(
         known = spark.read.schema(_ANSWER).parquet(log_path)
         unique = asked.join(known.filter("call_error is null").select("request_hash"), "request_hash", "left_anti")
 
-    pause = 1.0 / calls_per_second if calls_per_second else 0.0
+    tasks = 1
+    if calls_per_second:
+        tasks = paced_tasks(unique, calls_per_second)
+        unique = unique.repartition(tasks, "request_hash")
     columns = [c.split()[0] for c in _ANSWER.split(", ")]
 
     def run(frames):
+        pace = Pace(calls_per_second, tasks, TaskContext.get().partitionId())
+        paced = PacedClient(client, pace)
         for frame in frames:
             rows = _in_pool(
                 frame.to_dict("records"),
-                lambda row: _answer_one(client, row, want_array, max_retries, wait_seconds, call_retries),
+                lambda row: _answer_one(paced, row, want_array, max_retries, wait_seconds, call_retries),
                 at_once,
                 time_limit,
-                pause,
+                pace.wait,
             )
             yield pd.DataFrame([{**r, "run_id": run_id} for r in rows], columns=columns)
 

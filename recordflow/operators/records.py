@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
-from .staging import compute_once, fill_sequence
+from .staging import compute_once, fill_sequence, materialise
 
 ENVELOPE = (
     "key string, value string, metadata map<string,string>, "
@@ -169,3 +169,26 @@ def assign_replay_ids(
     found = V.json_path(V.parse(F.col(payload)), "$.event.replayId")
     number = F.when(V.kind(found).isin("integer", "number"), F.try_variant_get(found, "$", "double").cast("bigint"))
     return fill_sequence(df.withColumn("_given", number), channel, order, "_given", out).drop("_given")
+
+
+def continue_replay_ids(
+    df: DataFrame, known: DataFrame | None, channel: list[str], order: list[str], payload: str = "value", out: str = "replay_id"
+) -> tuple[DataFrame, DataFrame]:
+    """``assign_replay_ids`` over micro-batches: (records with ids, last id per channel after them).
+
+    ``known`` holds the channel columns and ``last_id`` as returned for the batch before (None at first); store the
+    second frame before the next batch. Each channel starts from its last id, which goes in front of its records
+    as one more row with an id of its own; so a channel with a third of all records still spreads over ranges. Null
+    channels are a channel. Channels without records in the batch keep their id; an empty batch returns ``known``.
+    """
+    found = V.json_path(V.parse(F.col(payload)), "$.event.replayId")
+    number = F.when(V.kind(found).isin("integer", "number"), F.try_variant_get(found, "$", "double").cast("bigint"))
+    given = df.withColumns({"_given": number, "_later": F.lit(1)})
+    if known is not None:
+        front = known.select(*channel, F.col("last_id").alias("_given"), F.lit(0).alias("_later"))
+        given = given.unionByName(front, allowMissingColumns=True)
+    # Names of channels as one text, since a null one joins and groups with nothing in ranges.
+    keyed = given.withColumn("_channel", F.to_json(F.struct(*channel)))
+    done = materialise(fill_sequence(keyed, ["_channel"], ["_later", *order], "_given", out))
+    last = done.groupBy(*channel).agg(F.max_by(out, F.struct("_later", *order)).alias("last_id"))
+    return done.filter("_later = 1").drop("_given", "_later", "_channel"), last

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from ..functions import variant as V
 from .contract import Contract, error_list
 from .mapping import expressed, is_mapping_spec, mapped
 from .model import complete
-from .staging import compute_once, materialise
+from .staging import compute_once, ensure_checkpoint_dir, materialise, positions, spread_count
 
 # ------------------------------------------------------------ exact-key reuse
 
@@ -255,8 +256,8 @@ SPEC_COLUMNS = "fingerprint string, type string, code string, created_at timesta
 DECLARATIVE, SQL_EXPR = "DECLARATIVE", "SQL_EXPR"
 # Up to so many mapping specs become branches of the plan; beyond, they are applied as data. Only speed differs.
 UNROLL_LIMIT = 64
-# SQL expressions can only be branches of the plan; more of them are refused.
-MAX_SQL_SPECS = 256
+# SQL expressions can only be branches of a plan, so many of them are run in groups, each a plan of its own.
+SQL_GROUP = 128
 
 
 def live_specs(
@@ -351,16 +352,28 @@ def _usable(row) -> bool:
 
 def _with_output(df: DataFrame, specs: DataFrame, value: str) -> DataFrame:
     """Adds ``output``: the record under the spec of its fingerprint, NULL without one."""
-    scripted = specs.filter(F.col("type") == SQL_EXPR).limit(MAX_SQL_SPECS + 1).collect()
-    if len(scripted) > MAX_SQL_SPECS:
-        raise ValueError(f"more than {MAX_SQL_SPECS} live SQL specs; keep to mappings, which are applied as data")
-    scripted = [r for r in scripted if _usable(r)]
-    declarative = specs.filter(F.col("type") == DECLARATIVE)
-    few = declarative.limit(UNROLL_LIMIT + 1).collect()
+    scripted = specs.filter(F.col("type") == SQL_EXPR).select("fingerprint", "type", "code")
+    first = scripted.limit(SQL_GROUP + 1).collect()
+    if len(first) > SQL_GROUP:
+        return _with_output_in_groups(df, specs, scripted, value)
+    return _by_mappings(_by_scripts(df, first, value), specs, value)
+
+
+def _by_scripts(df: DataFrame, scripted: list, value: str) -> DataFrame:
+    """Adds ``input``, and ``output`` by the SQL specs of one group, as branches of the plan."""
     df = compute_once(df, {"input": V.parse(F.col(value))})
     output = F.lit(None).cast("string")
     for row in scripted:
-        output = F.when(F.col("fingerprint") == row["fingerprint"], expressed(json.loads(row["code"]))).otherwise(output)
+        if _usable(row):
+            output = F.when(F.col("fingerprint") == row["fingerprint"], expressed(json.loads(row["code"]))).otherwise(output)
+    return df.withColumn("output", output)
+
+
+def _by_mappings(df: DataFrame, specs: DataFrame, value: str) -> DataFrame:
+    """Fills ``output`` where a mapping spec applies, and drops ``input``."""
+    declarative = specs.filter(F.col("type") == DECLARATIVE)
+    few = declarative.limit(UNROLL_LIMIT + 1).collect()
+    output = F.col("output")
     if len(few) <= UNROLL_LIMIT:
         for row in few:
             if _usable(row):
@@ -377,6 +390,38 @@ def _with_output(df: DataFrame, specs: DataFrame, value: str) -> DataFrame:
     ).drop("input", "_spec")
 
 
+def _in_groups(specs: DataFrame) -> tuple[DataFrame, int]:
+    """Specs numbered by groups of SQL_GROUP in the order of their fingerprints, and how many groups there are."""
+    numbered = positions(specs, ["fingerprint"]).withColumn("_group", F.floor(F.col("_pos") / SQL_GROUP).cast("int"))
+    numbered = materialise(numbered.drop("_pos"))
+    return numbered, (numbered.agg(F.max("_group")).first()[0] or 0) + 1
+
+
+def _with_output_in_groups(df: DataFrame, specs: DataFrame, scripted: DataFrame, value: str) -> DataFrame:
+    """``_with_output`` for any number of SQL specs: one bounded plan after another, over the records of its group only.
+
+    Records are shuffled once, by group and hash of the value, so that a structure with a third of them fills
+    many tasks and a task writes few files. The driver holds the specs of one group at a time.
+    """
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/recordflow-groups-{uuid.uuid4().hex}"
+    codes, groups = _in_groups(scripted)
+    placed = df.join(codes.select("fingerprint", "_group"), "fingerprint", "left").select(*df.columns, "_group")
+    # Records of no SQL spec are group -1.
+    placed = placed.withColumn("_group", F.coalesce("_group", F.lit(-1)))
+    spread = placed.withColumn("_salt", F.xxhash64(value)).repartitionByRange(spread_count(df), "_group", "_salt")
+    spread.drop("_salt").write.partitionBy("_group").parquet(f"{folder}/in")
+    stored = spark.read.schema(placed.schema).parquet(f"{folder}/in")
+    for group in range(groups):
+        one = codes.filter(F.col("_group") == group).collect()
+        ran = _by_scripts(stored.filter(F.col("_group") == group).drop("_group"), one, value)
+        checked = ran.withColumn("output", F.when(F.col("input").isNotNull(), F.col("output"))).drop("input")
+        checked.write.mode("append").parquet(f"{folder}/out")
+    loose = _by_mappings(_by_scripts(stored.filter(F.col("_group") == -1).drop("_group"), [], value), specs, value)
+    done = spark.read.schema(loose.schema).parquet(f"{folder}/out")
+    return loose.unionByName(done)
+
+
 def apply_compiled(
     df: DataFrame, specs: DataFrame, contract: Contract, value: str = "value"
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -491,20 +536,17 @@ def compile_specs(
 
 def _accepted(proposed: DataFrame, samples: DataFrame, contract: Contract, value: str) -> DataFrame:
     """Fingerprints whose proposal parses and gives conforming output on all samples."""
-    spark = proposed.sparkSession
-    good = []
-    # One row per structure under compilation.
-    for row in proposed.collect():
-        if not row["code"] or not _usable(row):
-            continue
-        if row["type"] == SQL_EXPR:
-            try:
-                probe = spark.createDataFrame([], "v string").select(V.parse(F.col("v")).alias("input"))
-                probe.select(expressed(json.loads(row["code"]))).schema  # noqa: B018 - analysis only
-            except Exception:
-                continue
-        good.append(row["fingerprint"])
-    usable = proposed.filter(F.col("fingerprint").isin(good)) if good else proposed.limit(0)
+
+    def readable(frames):
+        for frame in frames:
+            sound = [bool(code) and _usable({"type": kind, "code": code}) for kind, code in zip(frame["type"], frame["code"])]
+            yield frame[sound]
+
+    sound = materialise(proposed.select("fingerprint", "type", "code").mapInPandas(readable, "fingerprint string, type string, code string"))
+    scripted = sound.filter(F.col("type") == SQL_EXPR)
+    usable = sound.filter(F.col("type") == DECLARATIVE)
+    if not scripted.isEmpty():
+        usable = usable.unionByName(_analysed(scripted))
     ran = _with_output(samples.join(usable.select("fingerprint"), "fingerprint", "left_semi"), usable, value)
     errors = F.size(error_list(V.parse(F.col("output")), F.col("output"), contract)) == 0
     return (
@@ -513,3 +555,21 @@ def _accepted(proposed: DataFrame, samples: DataFrame, contract: Contract, value
         .filter("_ok")
         .select("fingerprint")
     )
+
+
+def _analysed(scripted: DataFrame) -> DataFrame:
+    """The SQL specs that Spark can analyse. Only the driver can, so it reads them a group at a time and writes what it passes."""
+    spark = scripted.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/recordflow-analysed-{uuid.uuid4().hex}"
+    codes, groups = _in_groups(scripted)
+    probe = spark.createDataFrame([], "v string").select(V.parse(F.col("v")).alias("input"))
+    for group in range(groups):
+        good = []
+        for row in codes.filter(F.col("_group") == group).collect():
+            try:
+                probe.select(expressed(json.loads(row["code"]))).schema  # noqa: B018 - analysis only
+            except Exception:
+                continue
+            good.append((row["fingerprint"], row["type"], row["code"]))
+        spark.createDataFrame(good, "fingerprint string, type string, code string").write.mode("append").parquet(folder)
+    return spark.read.schema("fingerprint string, type string, code string").parquet(folder)

@@ -2,36 +2,87 @@
 
 from __future__ import annotations
 
+import heapq
 import time
-from collections.abc import Callable
+from collections import defaultdict, deque
+from collections.abc import Callable, Iterator
+from urllib.parse import urlsplit
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paging import first_page_url, next_page_url
+from ..operators.pace import Pace, paced_tasks
 from ..operators.records import extract_records
-from ..operators.staging import materialise
+from ..operators.staging import materialise, spread_count
 
 _RESPONSE = "seed string, url string, status int, link string, body string"
 
 
-def fetch_with(fetch_fn: Callable[[str], dict], calls_per_second: float | None = None) -> Callable[[DataFrame], DataFrame]:
-    """A fetcher from a plain function ``url -> {status, body, link?}``; the rate is a budget per task."""
-    pause = 1.0 / calls_per_second if calls_per_second else 0.0
+def _host(url: str) -> str:
+    return urlsplit(url).netloc.lower()
 
-    def run(frames):
-        for frame in frames:
-            out = []
-            for seed, url in zip(frame["seed"], frame["url"]):
-                began = time.monotonic()
-                answer = fetch_fn(url)
-                out.append((seed, url, int(answer["status"]), answer.get("link"), answer.get("body")))
-                if pause:
-                    time.sleep(max(0.0, pause - (time.monotonic() - began)))
-            yield pd.DataFrame(out, columns=["seed", "url", "status", "link", "body"])
 
-    return lambda frontier: frontier.mapInPandas(run, _RESPONSE)
+def fetch_with(
+    fetch_fn: Callable[[str], dict],
+    calls_per_second: float | None = None,
+    per_host: float | None = None,
+    retries: int = 0,
+) -> Callable[[DataFrame], DataFrame]:
+    """A fetcher from a plain function ``url -> {status, body, link?, retry_after?}``.
+
+    ``calls_per_second`` is a budget for the whole job (see ``pace``), ``per_host`` one for each host: the addresses of
+    a host then go to one task, which visits its hosts in turn. A status of 429 or 503 is tried again up to
+    ``retries`` times; the seconds in ``retry_after`` (one without it) hold all addresses of that host, or of the task without ``per_host``.
+    """
+
+    def fetch(frontier: DataFrame) -> DataFrame:
+        tasks = 1
+        if calls_per_second:
+            tasks = paced_tasks(frontier, calls_per_second)
+        elif per_host:
+            tasks = spread_count(frontier)
+        if per_host:
+            host = F.lower(F.regexp_extract("url", "^[^/?#]*//([^/?#]*)", 1))
+            frontier = frontier.repartition(tasks, host)
+        elif calls_per_second:
+            frontier = frontier.repartition(tasks, "url")
+
+        def run(frames):
+            pace = Pace(calls_per_second, tasks, TaskContext.get().partitionId())
+            hosts: dict[str, float] = {}
+            for frame in frames:
+                yield pd.DataFrame(fetched(frame, pace, hosts), columns=["seed", "url", "status", "link", "body"])
+
+        return frontier.mapInPandas(run, _RESPONSE)
+
+    def fetched(frame: pd.DataFrame, pace: Pace, hosts: dict[str, float]) -> Iterator[tuple]:
+        """Answers of some addresses, the host that is free soonest first."""
+        todo: dict[str, deque] = defaultdict(deque)
+        for seed, url in zip(frame["seed"], frame["url"]):
+            todo[_host(url) if per_host else ""].append((seed, url, 0))
+        free = [(hosts.get(h, 0.0), h) for h in todo]
+        heapq.heapify(free)
+        while free:
+            at, host = heapq.heappop(free)
+            time.sleep(max(0.0, at - time.time()))
+            pace.wait()
+            began = time.time()
+            seed, url, tried = todo[host].popleft()
+            answer = fetch_fn(url)
+            after = began + 1.0 / per_host if per_host else 0.0
+            if int(answer["status"]) in (429, 503) and tried < retries:
+                after = max(after, time.time() + float(answer.get("retry_after") or 1.0))
+                todo[host].appendleft((seed, url, tried + 1))
+            else:
+                yield seed, url, int(answer["status"]), answer.get("link"), answer.get("body")
+            hosts[host] = after
+            if todo[host]:
+                heapq.heappush(free, (after, host))
+
+    return fetch
 
 
 def crawl(
