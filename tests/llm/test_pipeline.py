@@ -4,8 +4,9 @@ from collections import Counter
 import pytest
 import tiktoken
 from conftest_llm import prose
-from test_bpe_simhash import PATTERN, RANKS, encoded, plain_components, plain_fingerprint
+from test_bpe_simhash import PATTERN, RANKS, encoded
 from test_exact_shards_mixture import normal
+from test_near_copies import plain_classes
 
 from recordflow.llm import bpe, exact, mixture, quality, simhash
 
@@ -43,10 +44,9 @@ def test_stages_follow_a_plain_version(spark, folder):
     for r in sorted(good, key=lambda r: (r.doc_id is None, r.doc_id or 0)):
         first.setdefault(normal(r.text), r)
     distinct = list(first.values())
-    classes = plain_components([(r.doc_id, plain_fingerprint(r.text)) for r in distinct])
     near = {}
-    for r, c in sorted(zip(distinct, classes), key=lambda x: (x[0].doc_id is None, x[0].doc_id or 0)):
-        near.setdefault((c, plain_fingerprint(r.text) if c is None else None), r)
+    for r, c in sorted(zip(distinct, plain_classes([r.text for r in distinct])), key=lambda x: (x[0].doc_id is None, x[0].doc_id or 0)):
+        near.setdefault(c, r)
     kept = spark.createDataFrame(list(near.values()), docs.schema)
     copies = {r.doc_id: r.copies for r in mixture.mix(kept).collect()}
     ranks = bpe.parse_ranks(bpe.read_ranks(RANKS))
