@@ -359,7 +359,8 @@ def similar_groups(
 
     Scale: rows that agree in all fingerprints are merged first. Each distinct one makes WORD_PRINTS *
     (2^(radius+1) - 1) rows of five numbers. A bucket's rows are held in a task, at 40 bytes each;
-    buckets of more than ``large`` are dealt out by a second family first.
+    buckets of more than ``large`` are dealt out by a second family first. A large group of near copies with
+    texts of their own meets in most buckets of both families, which makes some 3,800 rows of each: not for tables with such groups yet.
     """
     of_words = [f"w{i}" for i in range(WORD_PRINTS)]
     prints = ["s0", "s1", *of_words]
