@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A JSON string literal. The possessive group keeps the match iterative, so a
+# A JSON string literal. The possessive groups keep the match iterative, so a
 # literal of any length is matched without deep recursion in the regex engine.
-STRING_LITERAL = r'"(?:[^"\\]|\\.)*+"'
+STRING_LITERAL = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 # Larger indexes resolve to nothing.
 MAX_INDEX = (1 << 31) - 1
 LONG_TEXT = r"^[+-]?[0-9]+$"
@@ -332,7 +333,7 @@ def fingerprint_of(structure: Column, target_schema: str = "") -> Column:
 
 
 def fingerprint(text: Column, target_schema: str = "", mode: str = "deep") -> Column:
-    """SHA-256 of structure and target contract. mode: flat, deep or exact, all in the JVM."""
+    """SHA-256 of structure and target contract. mode: flat or deep, in the JVM, or exact."""
     if mode == "flat":
         structure = flat_structure(text)
     elif mode == "deep":
@@ -342,11 +343,6 @@ def fingerprint(text: Column, target_schema: str = "", mode: str = "deep") -> Co
     return fingerprint_of(structure, target_schema)
 
 
-# Keys with their colon, other strings, brackets and commas, and bare scalars.
-_STRUCTURE_TOKEN = STRING_LITERAL + r'\s*+:?|[{}\[\],]|[^\s{}\[\],:"]++'
-_OPEN = "array<struct<mark:string,list:boolean>>"
-
-
 def is_strict(text: Column) -> Column:
     """One JSON value and nothing behind it (the parser alone stops after the first value)."""
     in_array = parse(F.concat(F.lit("["), text, F.lit("]")))
@@ -361,115 +357,135 @@ def string_text(token: Column) -> Column:
     return F.when(token.contains("\\"), escaped).otherwise(F.substring(token, F.lit(2), F.length(token) - 2))
 
 
-def _scalar_kind(token: Column) -> Column:
-    return (
-        F.when(token.startswith('"'), "string")
-        .when(token.isin("true", "false"), "boolean")
-        .when(token == "null", "null")
-        .when(token.rlike("[.eE]"), "number")
-        .otherwise("integer")
-    )
+# What is left of a text by ``skeleton``: keys with their mark, brackets and commas, and bare scalars.
+_KEY, _SKELETON_TOKEN = r"\s*:0", re.compile(r'"(?:[^"\\]|\\.)*+"\s*:0|[{}\[\],]|[^\s{}\[\],:"]+')
 
 
-def _walked(text: Column, nothing: Column, entered, mark, scalar, left, shallow: bool) -> Column:
-    """Fold the tokens of a JSON text, of arrays the first element only.
+def skeleton(text: Column) -> Column:
+    """A JSON text without its values: ``"key":0`` for a key, ``s`` for a string, each run of digits as ``0``.
+
+    All that ``exact_structure`` and ``describe`` look at is kept, so records alike in structure share one text.
+    """
+    no_strings = F.regexp_replace(text, f"({STRING_LITERAL}\\s*+:)|{STRING_LITERAL}", "$1s")
+    return F.regexp_replace(no_strings, f"({STRING_LITERAL}\\s*+:)s|[0-9+-]++", "$10")
+
+
+def _scalar_kind(token: str) -> str:
+    if token in ("true", "false"):
+        return "boolean"
+    if token in ("s", "null"):
+        return "string" if token == "s" else "null"
+    return "number" if re.search("[.eE]", token) else "integer"
+
+
+def _key_text(token: str) -> str:
+    quoted = re.sub(_KEY + r"\Z", "", token)
+    # Half of a surrogate pair becomes a question mark, as in the JVM.
+    return json.loads(quoted).encode("utf-8", "replace").decode() if "\\" in quoted else quoted[1:-1]
+
+
+def _walked(skeleton: str, out, entered, mark, scalar, left, shallow: bool):
+    """Fold the tokens of a skeleton, of arrays the first element only.
 
     ``entered(out, top, name, token)``, ``scalar(out, top, name, token)`` and
     ``left(out, top)`` give the new result; ``mark(top, name, token)`` is kept with an
-    open container and is ``top.mark`` for what is inside. ``shallow``: arrays that are
-    not a field's value are not looked into.
+    open container and is the first of ``top`` (mark, is a list) for what is inside. ``shallow``: arrays
+    that are not a field's value are not looked into.
     """
-    start = F.struct(
-        F.array().cast(_OPEN).alias("open"), F.lit("").alias("name"), F.lit(0).alias("skip"), nothing.alias("out")
-    )
+    inside, name, skip = [], "", 0
+    for token in _SKELETON_TOKEN.findall(skeleton):
+        top = inside[-1] if inside else None
+        in_list = top is not None and top[1]
+        if token in ("{", "["):
+            if skip:
+                skip += 1
+                continue
+            skip = int(shallow and token == "[" and (top is None or in_list))
+            out = entered(out, top, name, token)
+            inside.append((mark(top, name, token), token == "["))
+        elif token in ("}", "]"):
+            skip = max(skip - 1, 0)
+            if not skip:
+                out = left(out, top)
+                inside.pop()
+        elif skip:
+            continue
+        elif token == ",":
+            skip = int(in_list)
+        elif token[0] == '"':
+            name = _key_text(token)
+        else:
+            out = scalar(out, top, name, token)
+    return out
 
-    def step(s: Column, t: Column) -> Column:
-        top = F.get(s["open"], F.size(s["open"]) - 1)
-        opens, closes = t.isin("{", "["), t.isin("}", "]")
-        in_list, skipping = F.coalesce(top["list"], F.lit(False)), s["skip"] > 0
-        is_key = t.startswith('"') & t.endswith(":")
-        aside = (t == "[") & (top.isNull() | in_list) if shallow else F.lit(False)
-        change = F.when(opens, 1).when(closes, -1).otherwise(0)
-        skip = F.when(skipping, s["skip"] + change).when(((t == ",") & in_list) | aside, 1).otherwise(0)
-        begins, ends = opens & ~skipping, closes & (skip == 0)
-        pushed = F.concat(s["open"], F.array(F.struct(mark(top, s["name"], t).alias("mark"), (t == "[").alias("list"))))
-        is_open = F.when(begins, pushed).when(ends, F.slice(s["open"], F.lit(1), F.size(s["open"]) - 1)).otherwise(s["open"])
-        key = string_text(F.regexp_replace(t, r"\s*:$", ""))
-        out = (
-            F.when(begins, entered(s["out"], top, s["name"], t))
-            .when(ends, left(s["out"], top))
-            .when(skipping | opens | closes | is_key | (t == ","), s["out"])
-            .otherwise(scalar(s["out"], top, s["name"], t))
-        )
-        return F.struct(
-            is_open.alias("open"),
-            F.when(is_key & ~skipping, key).otherwise(s["name"]).alias("name"),
-            skip.alias("skip"),
-            out.alias("out"),
-        )
 
-    tokens = F.regexp_extract_all(text, F.lit(_STRUCTURE_TOKEN), F.lit(0))
-    return F.when(is_strict(text), F.aggregate(tokens, start, step, lambda s: s["out"]))
+def _per_skeleton(text: Column, described) -> Column:
+    """``described`` of the skeleton of each text that is one JSON value, found once per distinct skeleton of an Arrow batch."""
+
+    @F.arrow_udf("string")
+    def run(skeletons: pa.Array) -> pa.Array:
+        coded = skeletons.dictionary_encode()
+        return pa.array([described(s) for s in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
+
+    return run(F.when(is_strict(text), skeleton(text)))
 
 
 def exact_structure(text: Column) -> Column:
     """Sorted path-to-kind text at any depth, first array element only; NULL for what is not one JSON value."""
+    return _per_skeleton(text, _exact_structure)
 
-    def place(top: Column, name: Column) -> Column:
-        inner = F.when(top["mark"] == "", name).otherwise(F.concat(top["mark"], F.lit("."), name))
-        return F.when(top.isNull(), "").when(top["list"], F.concat(top["mark"], F.lit("[]"))).otherwise(inner)
 
-    def mark(top: Column, name: Column, token: Column) -> Column:
+def _exact_structure(skeleton: str) -> str:
+    def place(top, name: str) -> str:
+        if top is None:
+            return ""
+        return f"{top[0]}[]" if top[1] else f"{top[0]}.{name}" if top[0] else name
+
+    def mark(top, name: str, token: str) -> str:
         at = place(top, name)
-        return F.when((token == "[") & (at == ""), "_root").otherwise(at)
+        return "_root" if token == "[" and at == "" else at
 
-    def entry(out: Column, path: Column, kind_: Column) -> Column:
-        return F.concat(out, F.array(F.struct(path.alias("path"), F.size(out).alias("n"), kind_.alias("kind"))))
+    def entry(out: dict, path: str, kind_: str) -> dict:
+        out[path] = kind_  # a path that occurs twice (a dot within a name) keeps its last kind
+        return out
 
-    def entered(out: Column, top: Column, name: Column, token: Column) -> Column:
+    def entered(out: dict, top, name: str, token: str) -> dict:
         at = mark(top, name, token)
-        kind_ = F.when(token == "[", "array").otherwise("object")
-        return F.when((token == "{") & (at == ""), out).otherwise(entry(out, at, kind_))
+        return out if token == "{" and at == "" else entry(out, at, "array" if token == "[" else "object")
 
-    nothing = F.array().cast("array<struct<path:string,n:int,kind:string>>")
     found = _walked(
-        text, nothing, entered, mark, lambda out, top, name, t: entry(out, place(top, name), _scalar_kind(t)),
+        skeleton, {}, entered, mark, lambda out, top, name, t: entry(out, place(top, name), _scalar_kind(t)),
         lambda out, top: out, shallow=False,
     )
-    # A path that occurs twice (a dot within a name) keeps its last kind.
-    ordered = F.array_sort(found)
-    last = F.filter(
-        F.transform(F.arrays_zip(ordered.alias("e"), F.slice(ordered, F.lit(2), F.size(ordered)).alias("next")), lambda z: z),
-        lambda z: z["e"]["path"].isNotNull() & ~F.coalesce(z["e"]["path"] == z["next"]["path"], F.lit(False)),
-    )
-    listed = F.transform(last, lambda z: F.concat(z["e"]["path"], F.lit("="), z["e"]["kind"]))
-    return F.concat(F.lit("{"), F.array_join(listed, ", "), F.lit("}"))
+    return "{" + ", ".join(f"{path}={found[path]}" for path in sorted(found)) + "}"
 
 
 def describe(text: Column) -> Column:
     """``name (string), o (object: a (integer)), xs (array of string)``; NULL for what is not one JSON value."""
+    return _per_skeleton(text, _described)
+
 
-    def member(out: Column, name: Column) -> Column:
+def _described(skeleton: str) -> str:
+    def member(out: list, name: str) -> list:
         # A member always ends in a bracket, and what it may follow otherwise never does.
-        return F.concat(out, F.when(out.endswith(")"), ", ").otherwise(""), name)
+        return [*((", ",) if out and out[-1].endswith(")") else ()), name]
 
-    def entered(out: Column, top: Column, name: Column, token: Column) -> Column:
+    def entered(out: list, top, name: str, token: str) -> list:
         is_list = token == "["
-        in_list = F.concat(out, F.lit(" of "), F.when(is_list, "array").otherwise(""))
-        in_object = F.concat(member(out, name), F.when(is_list, " (array").otherwise(" (object: "))
-        return F.when(top.isNull(), F.when(is_list, "array").otherwise("")).when(top["list"], in_list).otherwise(in_object)
+        if top is None:
+            return ["array"] if is_list else []
+        out += [" of ", "array"] if top[1] and is_list else [" of "] if top[1] else [*member(out, name), " (array" if is_list else " (object: "]
+        return out
 
-    def scalar(out: Column, top: Column, name: Column, token: Column) -> Column:
+    def scalar(out: list, top, name: str, token: str) -> list:
         kind_ = _scalar_kind(token)
-        in_object = F.concat(member(out, name), F.lit(" ("), kind_, F.lit(")"))
-        return F.when(top.isNull(), kind_).when(top["list"], F.concat(out, F.lit(" of "), kind_)).otherwise(in_object)
-
-    return _walked(
-        text,
-        F.lit(""),
-        entered,
-        lambda top, name, token: F.when(top.isNull() | top["list"], "").otherwise(")"),
-        scalar,
-        lambda out, top: F.concat(out, top["mark"]),
-        shallow=True,
-    )
+        if top is None:
+            return [kind_]
+        out += [" of ", kind_] if top[1] else [*member(out, name), " (", kind_, ")"]
+        return out
+
+    def left(out: list, top) -> list:
+        out += [top[0]] if top[0] else []
+        return out
+
+    return "".join(_walked(skeleton, [], entered, lambda top, name, token: "" if top is None or top[1] else ")", scalar, left, shallow=True))

@@ -137,6 +137,22 @@ def test_flat_equals_exact(records):
     assert all(a == b for a, b in pairs)
 
 
+def test_structures_are_found_once_per_skeleton(records):
+    """Values of any kind leave one short text, so that the tokens of a structure are walked once, not once per record."""
+    rows = records(*[{"id1": 7 * i, 'q"2:': "x1" * i, "o": {"n": -i - 0.5, "l": [i, i + 1]}, "t": True} for i in range(300)], '{"a":"1","b":1}', '{"a":1,"b":"1"}', '["",1e5,[]]', "{} {}")
+    found = rows.select(V.skeleton(F.col("value")).alias("s"), V.exact_structure(F.col("value")).alias("e"), V.describe(F.col("value")).alias("d"), "ordinal")
+    got = {r.s: (r.e, r.d) for r in found.collect()}
+    assert len(got) == 5
+    assert set(got.values()) == {
+        ('{id1=integer, o=object, o.l=array, o.l[]=integer, o.n=number, q"2:=string, t=boolean}',
+         'id1 (integer), q"2: (string), o (object: n (number), l (array of integer)), t (boolean)'),
+        ("{a=string, b=integer}", "a (string), b (integer)"),
+        ("{a=integer, b=string}", "a (integer), b (string)"),
+        ("{_root=array, _root[]=string}", "array"),
+        (None, None),
+    }
+
+
 def test_describe(records):
     rows = records({"userName": "a", "age": 1, "o": {"x": 1}, "l": ["a"], "e": [], "m": [{"q": None}]})
     assert rows.select(V.describe(F.col("value"))).first()[0] == (
