@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,32 @@ def _data_parents(level: DataFrame, above: DataFrame, data_keys: int, share: flo
     )
 
 
+_PLACE = ["path", "parent", "kind"]
+_COUNTS = "path string, parent string, kind string, occurrences bigint, first_value string, last_value string"
+# So many paths are held by a task before they are passed on.
+_HELD = 20_000
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of (path, parent, kind, text) rows, merged batch by batch: a task holds one row per path, and sorts nothing."""
+
+    def merged(rows: pa.Table) -> pa.Table:
+        made = rows.group_by(_PLACE, use_threads=False).aggregate([("occurrences", "sum"), ("first_value", "min"), ("last_value", "max")])
+        return made.select([*_PLACE, "occurrences_sum", "first_value_min", "last_value_max"]).rename_columns(names)
+
+    names = [*_PLACE, "occurrences", "first_value", "last_value"]
+    held = None
+    for batch in batches:
+        one, text = pa.array([1] * batch.num_rows, pa.int64()), batch.column("text")
+        part = merged(pa.table([*[batch.column(c) for c in _PLACE], one, text, text], names=names))
+        held = part if held is None else merged(pa.concat_tables([held, part]))
+        if held.num_rows >= _HELD:
+            yield from held.to_batches()
+            held = None
+    if held is not None:
+        yield from held.to_batches()
+
+
 def discover_paths(
     df: DataFrame,
     value: str = "value",
@@ -55,8 +83,8 @@ def discover_paths(
     the greatest as text, of scalars. A record that is not JSON, or null, is left out; equal keys make a
     record unparseable. Records nested deeper than ``most_levels`` raise, rather than being cut.
 
-    Scale: one pass over the values of each level, with partial counts before the shuffle; what is
-    opened next is stored in the shared folder. Keys that are data are merged into one path, so
+    Scale: one pass over the values of each level, counted in Arrow batches before the shuffle, so that texts are
+    neither sorted nor held and no row of a level moves; what is opened next is stored in the shared folder. Keys that are data are merged into one path, so
     that the result is bounded by the shape of the records, not by their number.
     """
     rows = df.select(F.try_parse_json(F.col(value).cast("string")).alias("v")).filter("v is not null")
@@ -67,26 +95,22 @@ def discover_paths(
         depth += 1
         level = materialise(compute_once(level, {"kind": V.kind(F.col("v"))}))
         if depth > 1:
-            data = _data_parents(level, counts, data_keys, data_share)
-            # A row per object path whose keys are data: their children share one path.
-            marked = level.join(data, "parent", "left")
+            # A row per object path whose keys are data: their children share one path. Few, so the level stays where it is.
+            data = materialise(_data_parents(level, counts, data_keys, data_share))
+            marked = level.join(F.broadcast(data), "parent", "left")
             step = F.when(F.col("key").isNull(), "[]").when(F.col("is_data"), ".*").otherwise(_name(F.col("key")))
         else:
             marked, step = level, F.lit("$")
         text = F.when(F.col("kind").isin(*SCALARS), V.text_of(F.col("v")))
         marked = marked.withColumn("path", F.concat("parent", step))
-        counts = materialise(
-            marked.groupBy("path", "parent", "kind").agg(
-                F.count(F.lit(1)).alias("occurrences"), F.min(text).alias("first_value"), F.max(text).alias("last_value")
-            )
-        )
+        counts = materialise(merge_paths(marked.select(*_PLACE, text.alias("text")).mapInArrow(_counted, _COUNTS)))
         found = counts if found is None else found.unionByName(counts)
-        inner = marked.filter(F.col("kind").isin("object", "array"))
-        if inner.isEmpty():
+        holds_more = F.col("kind").isin("object", "array")
+        if counts.filter(holds_more).isEmpty():
             break
         if depth == most_levels:
             raise ValueError(f"records are nested deeper than {most_levels} levels")
-        level = inner.select("path", "v").lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).toDF("_at", "_key", "_inner")).select(
+        level = marked.filter(holds_more).select("path", "v").lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).toDF("_at", "_key", "_inner")).select(
             F.col("path").alias("parent"), F.col("_key").alias("key"), F.col("_inner").alias("v")
         )
     return found
@@ -97,7 +121,7 @@ def merge_paths(*parts: DataFrame) -> DataFrame:
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
-    return every.groupBy("path", "parent", "kind").agg(
+    return every.groupBy(*_PLACE).agg(
         F.sum("occurrences").alias("occurrences"), F.min("first_value").alias("first_value"), F.max("last_value").alias("last_value")
     )
 

@@ -3,6 +3,7 @@
 import json
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from recordflow.operators import discovery as D
@@ -108,3 +109,26 @@ def test_deep_records_raise_instead_of_being_cut(records):
     assert len(D.discover_paths(deep, most_levels=7).collect()) == 7
     with pytest.raises(ValueError):
         D.discover_paths(deep, most_levels=6)
+
+
+def test_a_task_holds_one_row_per_path():
+    """Texts are counted batch by batch, without sorting: many batches leave one row per path and kind."""
+    names = ["path", "parent", "kind", "text"]
+    texts = ["b", None, "\U0001f600", "￿", "", "a"]
+    batches = [pa.RecordBatch.from_arrays([pa.array([v] * 6) for v in ("$.t", "$", "string")] + [pa.array(texts)], names=names) for _ in range(50)]
+    batches.append(pa.RecordBatch.from_arrays([pa.array([v]) for v in ("$", "", "object")] + [pa.array([None], pa.string())], names=names))
+    got = sorted(r for b in D._counted(iter(batches)) for r in zip(*b.to_pydict().values()))
+    assert got == [("$", "", "object", 1, None, None), ("$.t", "$", "string", 300, "", "\U0001f600")]
+
+
+def test_levels_are_counted_in_place(records, spark):
+    """No level is dealt out by its parent, which would put all its rows into one task."""
+    seen = []
+    stored, D.materialise = D.materialise, lambda df: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df)
+    try:
+        D.discover_paths(records(*[{"a": {f"k{i}": {"n": i}}, "t": "x" * i} for i in range(80)]))
+    finally:
+        D.materialise = stored
+    joins = [p for p in seen if "Join LeftOuter" in p]
+    assert joins and all("strategy=broadcast" in p for p in joins)
+    assert not any("min(" in p.split("MapInArrow")[-1] for p in joins)
