@@ -86,6 +86,43 @@ def _distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 - 2.0 * (vectors.astype(np.float64) @ pivots.T.astype(np.float64)), 0.0))
 
 
+# Bytes that a task computes or passes on at a time, for its rows against all cells.
+_SLICE_BYTES = 32 << 20
+
+
+def _slices(frame: pd.DataFrame, row_bytes: int):
+    """The frame in runs of rows of about ``_SLICE_BYTES``, each row counted with ``row_bytes``."""
+    step = max(1, _SLICE_BYTES // max(1, row_bytes))
+    for start in range(0, len(frame), step):
+        yield frame.iloc[start : start + step]
+
+
+def _nearest_cells(frame: pd.DataFrame, pivots: np.ndarray):
+    """Every row with its nearest pivot (``cell``) and the distance to it (``gap``)."""
+    for part in _slices(frame, 32 * len(pivots)):
+        gaps = _distances(_matrix(part["vec"]), pivots)
+        nearest = gaps.argmin(axis=1)
+        yield part.assign(cell=nearest.astype(np.int32), gap=gaps[np.arange(len(part)), nearest])
+
+
+def _visits(frame: pd.DataFrame, pivots: np.ndarray, radius: np.ndarray, reach: float):
+    """A row per query and cell that can hold an entry within reach.
+
+    With a low threshold these are nearly all cells, each with a copy of the vector: the rows are made in slices.
+    """
+    for part in _slices(frame, (96 + 4 * pivots.shape[1]) * len(pivots)):
+        gaps = _distances(_matrix(part["vec"]), pivots)
+        near = gaps.min(axis=1, keepdims=True)
+        rows, found = np.nonzero((radius >= 0) & (gaps <= radius + reach) & (gaps - near <= 2 * reach))
+        yield pd.DataFrame(
+            {
+                "query_key": part["vec_key"].to_numpy()[rows],
+                "query_vec": part["vec"].to_numpy()[rows],
+                "cell": found.astype(np.int32),
+            }
+        )
+
+
 def _ceil_div(a: Column, b: int) -> Column:
     return F.greatest(F.ceil(a / b), F.lit(1)).cast("int")
 
@@ -142,10 +179,7 @@ def cache_lookup(
 
     def to_cells(frames):
         for frame in frames:
-            if len(frame):
-                gaps = _distances(_matrix(frame["vec"]), pivots)
-                nearest = gaps.argmin(axis=1)
-                yield frame.assign(cell=nearest.astype(np.int32), gap=gaps[np.arange(len(frame)), nearest])
+            yield from _nearest_cells(frame, pivots)
 
     placed = entries.mapInPandas(
         to_cells,
@@ -161,19 +195,8 @@ def cache_lookup(
 
     def to_visits(frames):
         for frame in frames:
-            if not len(frame) or not len(pivots):
-                continue
-            gaps = _distances(_matrix(frame["vec"]), pivots)
-            near = gaps.min(axis=1, keepdims=True)
-            visit = (radius >= 0) & (gaps <= radius + reach) & (gaps - near <= 2 * reach)
-            rows, found = np.nonzero(visit)
-            yield pd.DataFrame(
-                {
-                    "query_key": frame["vec_key"].to_numpy()[rows],
-                    "query_vec": frame["vec"].to_numpy()[rows],
-                    "cell": found.astype(np.int32),
-                }
-            )
+            if len(pivots):
+                yield from _visits(frame, pivots, radius, reach)
 
     distinct_queries = materialise(asked.select("vec_key", "vec").dropDuplicates(["vec_key"]))
     visits = distinct_queries.mapInPandas(to_visits, "query_key string, query_vec binary, cell int")

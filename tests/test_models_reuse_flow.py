@@ -3,6 +3,7 @@ import os
 import sys
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -426,3 +427,21 @@ def test_entries_at_the_mark_once(spark):
     rows = [("d1", "mail", "a", 5), ("d1", "mail", "b", 5), ("d1", "cn", "c", 5), ("d1", "mail", "a", 5)]
     df = spark.createDataFrame(rows, "dn string, attribute string, value string, m int")
     assert entries_since(df, "m", None).count() == 4 and entries_since(df, "m", 5).count() == 3 and entries_since(df, "m", 4).count() == 4
+
+
+def test_visits_of_a_low_threshold_are_made_in_slices():
+    """Nearly all cells are visited by every query: no frame holds more than a slice, and none is lost."""
+    rng = np.random.default_rng(1)
+    pivots = rng.normal(size=(600, 64)).astype(np.float32)
+    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
+    asked = rng.normal(size=(2000, 64)).astype(np.float32)
+    asked /= np.linalg.norm(asked, axis=1, keepdims=True)
+    frame = pd.DataFrame({"vec_key": [f"{i:032d}" for i in range(2000)], "vec": [v.tobytes() for v in asked]})
+    sizes, seen = [], set()
+    for part in U._visits(frame, pivots, np.full(600, 1.3), 0.9):
+        sizes.append(len(part) * (64 * 4 + 32 + 4))
+        seen.update(zip(part["query_key"], part["cell"]))
+    gaps = U._distances(asked, pivots)
+    wanted = np.argwhere((gaps <= 2.2) & (gaps - gaps.min(axis=1, keepdims=True) <= 1.8))
+    assert seen == {(f"{q:032d}", c) for q, c in wanted} and len(seen) > 1_000_000
+    assert max(sizes) <= U._SLICE_BYTES
