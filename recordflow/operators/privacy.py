@@ -7,6 +7,7 @@ spacing of the record stay as they were.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,16 @@ _TOKEN = V.STRING_LITERAL + r"\s*+:?|[^\"]++|\""
 _MARK = "[MASKED_"
 # A placeholder, or a run of other text.
 _PLACEHOLDER = r"\[MASKED_[0-9a-z_]*+\]|[^\[]++|\["
+# A pattern that begins with a repeated plain class of characters.
+_REPEATED = re.compile(r"(\[\^?[^\^\[\]\\&][^\[\]\\&]*\])\+\??(?![+*?{])")
+
+
+def _searched(pattern: str) -> str:
+    """A pattern found in the same texts: where one of a class is followed by the rest, so are many of it.
+
+    The repetition would be tried anew from every character of a word.
+    """
+    return _REPEATED.sub(r"\1", pattern, count=1) if _REPEATED.match(pattern) else pattern
 
 
 def _is_key(token: Column) -> Column:
@@ -62,6 +73,7 @@ def mask(
     if style not in ("numbered", "constant"):
         raise ValueError(f"unknown mask style: {style}")
     lowered = [f.lower() for f in fields]
+    patterns = [_searched(p) for p in patterns]
     empty = F.from_json(F.lit("{}"), "map<string,string>")
     if not lowered and not patterns:
         return df.withColumn(out_map, empty)
@@ -118,7 +130,7 @@ def mask(
         return masked.withColumn(value, F.col("_masked")).drop("_masked")
     # What the reader of tokens cannot see in broken text is looked for in the text as a whole.
     anywhere = reduce(lambda a, b: a | b, [F.col("_masked").rlike(p) for p in patterns])
-    whole = anywhere & ~V.is_strict(F.col(value))
+    whole = ~V.is_strict(F.col(value)) & anywhere
     whole_map = empty if style == "constant" else F.create_map(named(F.lit(0)), F.col(value))
     return compute_once(
         compute_once(masked, {"_whole": F.coalesce(whole, F.lit(False))}),

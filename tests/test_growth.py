@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from recordflow.operators import privacy as P
 from recordflow.operators import reuse as U
 from recordflow.operators.contract import Contract
 
@@ -28,3 +29,15 @@ def test_without_specs_all_is_left(spark):
     assert [r.value for r in done.collect()] == [None]
     assert sorted(r.value for r in rest.collect()) == ['{"a":1}', "{bad"]
     assert invalid.count() == 0
+
+
+def test_words_are_not_searched_from_each_letter(spark):
+    assert P._searched("[a-z0-9]+@x") == "[a-z0-9]@x"
+    assert P._searched("[^@ ]+?x") == "[^@ ]x"
+    for kept in ("[a-z]++@", "(?i)[a-z]+@", "a[b]+", "[a&&[b]]+c", r"[\d]+x", "[a-z]{2,}x", "[]a]+b", "[a-z]+{2}"):
+        assert P._searched(kept) == kept
+    texts = ["ab1@x", "@x", "AB@x", "a @x", "", "x@xa", "ab\n9@x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for p in ("[a-z0-9]+@x", "[^a]+@x", "[a-z]+|@", "[a-z0-9]+?@x$"):
+        same = df.filter(F.col("t").rlike(p) != F.col("t").rlike(P._searched(p)))
+        assert same.isEmpty()
