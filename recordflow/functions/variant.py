@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -174,6 +177,30 @@ def kind(variant: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair]), base)
 
 
+def schema_is(schema: Column, *kinds: str) -> Column:
+    """Whether a value is of one of these kinds, by its VARIANT schema; for integer and number together without a regular expression."""
+    names = {"string": "STRING", "boolean": "BOOLEAN", "null": "VOID"}
+    found = [schema == names[k] for k in kinds if k in names]
+    found += [schema.startswith(k.upper() + "<") for k in kinds if k in ("object", "array")]
+    decimal, floating = schema.startswith("DECIMAL("), schema.isin("DOUBLE", "FLOAT")
+    big = schema.endswith(",0)") & schema.rlike(r"^DECIMAL\((?:19|[23][0-9]),0\)$")
+    if "integer" in kinds:
+        found += [schema == "BIGINT", decimal | floating if "number" in kinds else big]
+    elif "number" in kinds:
+        found += [floating, decimal & ~big]
+    return reduce(or_, found)
+
+
+def cast_text(variant: Column, target: str, schema: Column) -> Column:
+    """The text that a cast of a value of this VARIANT schema reads, NULL if it reads none."""
+    text = F.try_variant_get(variant, "$", "string")
+    if target == "string":
+        # Whole numbers and booleans are the same as JSON, without the cast that VARIANT builds per value.
+        plain = F.when(schema.isin("BIGINT", "BOOLEAN"), F.to_json(variant))
+        return plain.when(schema_is(schema, "integer", "number"), text)
+    return F.when(schema_is(schema, "string"), text)
+
+
 def root_kind(text: Column) -> Column:
     """The kind of a whole document, from the first character of its (valid) JSON text."""
     first = F.substring(F.regexp_replace(text, r"^\s++", ""), 1, 1)
@@ -191,28 +218,37 @@ def is_text(variant: Column) -> Column:
     return F.schema_of_variant(variant) == "STRING"
 
 
-def cast_json(variant: Column, target: str, of_kind: Column | None = None) -> Column:
-    """Cast a value to integer, number, boolean or string; what cannot be cast stays as it is."""
-    of_kind = kind(variant) if of_kind is None else of_kind
-    text = F.try_variant_get(variant, "$", "string")
+CAST_TARGETS = ("integer", "number", "boolean", "string")
+
+
+def changed_by_cast(variant: Column, target: str, is_a: Callable[..., Column], text: Column) -> Column | None:
+    """The value as integer, number, boolean or string, as a typed column: NULL where it stays as it is; None for other targets.
+
+    ``is_a`` tells whether it is of one of the kinds named.
+    """
     number = F.try_variant_get(variant, "$", "double")
     if target == "integer":
-        changed = F.when(
-            of_kind == "string", F.when(text.rlike(LONG_TEXT), text.try_cast("bigint"))
-        ).when(of_kind == "number", number.try_cast("bigint"))
-    elif target == "number":
-        changed = F.when((of_kind == "string") & text.rlike(DOUBLE_TEXT), text.try_cast("double"))
-    elif target == "boolean":
-        changed = F.when(of_kind == "string", F.lower(text) == "true").when(
-            of_kind.isin("integer", "number"), F.abs(number) >= 1
+        return F.when(
+            is_a("string"), F.when(text.rlike(LONG_TEXT), text.try_cast("bigint"))
+        ).when(is_a("number"), number.try_cast("bigint"))
+    if target == "number":
+        return F.when(is_a("string") & text.rlike(DOUBLE_TEXT), text.try_cast("double"))
+    if target == "boolean":
+        return F.when(is_a("string"), F.lower(text) == "true").when(
+            is_a("integer", "number"), F.abs(number) >= 1
         )
-    elif target == "string":
-        changed = F.when(of_kind.isin("object", "array"), F.lit("")).when(
-            ~of_kind.isin("string", "null"), text
+    if target == "string":
+        return F.when(is_a("object", "array"), F.lit("")).when(
+            ~is_a("string", "null"), text
         )
-    else:
-        return variant
-    return F.coalesce(to_variant(changed), variant)
+    return None
+
+
+def cast_json(variant: Column, target: str, of_kind: Column | None = None) -> Column:
+    """Cast a value to integer, number, boolean or string; what cannot be cast stays as it is."""
+    of_kind = kind(variant) if of_kind is None else of_kind
+    changed = changed_by_cast(variant, target, lambda *kinds: of_kind.isin(*kinds), F.try_variant_get(variant, "$", "string"))
+    return variant if changed is None else F.coalesce(to_variant(changed), variant)
 
 
 # ---------------------------------------------------------------- text profile

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +52,8 @@ def _resolved(variant: Column, spec: dict) -> tuple[list[str], list[Column]]:
 def apply_mapping(df: DataFrame, spec: dict | str, value: str = "value", out: str | None = None) -> DataFrame:
     """Replace (or add) a JSON column by its mapped form.
 
-    Three steps, each computed once: parse, resolve paths (and the kinds of the
-    values to cast), write the output record.
+    Steps, each computed once: parse, resolve paths, cast (schemas, texts,
+    casts), write the output record.
     """
     spec = json.loads(spec) if isinstance(spec, str) else spec
     if not isinstance(spec.get("mappings"), dict):
@@ -64,15 +65,24 @@ def apply_mapping(df: DataFrame, spec: dict | str, value: str = "value", out: st
         return df.withColumn(out or value, F.when(F.col("_parsed").isNotNull(), F.lit("{}"))).drop("_parsed")
     found = {f"_f{i}": v for i, v in enumerate(values)}
     df = compute_once(df, found)
-    kinds = {f"_k{i}": V.kind(F.col(f"_f{i}")) for i, n in enumerate(names) if n in casts}
-    if kinds:
-        df = compute_once(df, kinds)
-    outputs = [
-        (V.cast_json(F.col(f"_f{i}"), str(casts[n]), F.col(f"_k{i}")) if n in casts else F.col(f"_f{i}")).alias(n)
-        for i, n in enumerate(names)
-    ]
-    written = F.when(F.col("_parsed").isNotNull(), F.to_json(F.struct(*outputs)))
-    return compute_once(df, {out or value: written}).drop("_parsed", *found, *kinds)
+    cast = {i: str(casts[n]) for i, n in enumerate(names) if n in casts and str(casts[n]) in V.CAST_TARGETS}
+    if cast:
+        # Each text and cast once per value, in small steps: the JVM does not compile large methods.
+        value_of, schema, text = (lambda i, c=c: F.col(f"_{c}{i}") for c in "fst")
+        df = compute_once(df, {f"_s{i}": F.schema_of_variant(value_of(i)) for i in cast})
+        df = compute_once(df, {f"_t{i}": V.cast_text(value_of(i), to, schema(i)) for i, to in cast.items()})
+        changed = {i: V.changed_by_cast(value_of(i), to, partial(V.schema_is, schema(i)), text(i)) for i, to in cast.items()}
+        df = compute_once(df, {f"_c{i}": c for i, c in changed.items()})
+    outputs = []
+    for i, n in enumerate(names):
+        kept = F.col(f"_f{i}")
+        if i in cast:
+            # One name for both: fields that are NULL are not written, and one of them always is.
+            outputs.append(F.col(f"_c{i}").alias(n))
+            kept = F.when(F.col(f"_c{i}").isNull(), kept)
+        outputs.append(kept.alias(n))
+    written = F.when(F.col("_parsed").isNotNull(), F.to_json(F.struct(*outputs), {"ignoreNullFields": "true"}))
+    return compute_once(df, {out or value: written}).drop("_parsed", *found, *[f"_{c}{i}" for c in "stc" for i in cast])
 
 
 # Functions a user-written output expression may call: deterministic and without side effects.

@@ -5,6 +5,8 @@ import time
 
 from pyspark.sql import functions as F
 
+from recordflow.functions import variant as V
+from recordflow.operators import mapping as M
 from recordflow.operators import model as L
 from recordflow.operators import privacy as P
 from recordflow.operators import reuse as U
@@ -72,3 +74,24 @@ def test_a_thread_left_behind_is_replaced():
 
     found = L._in_pool([{"request_hash": i} for i in range(30)], answer, 2, 0.3)
     assert [r["call_error"] for r in found] == ["no answer within 0.3 s"] * 2 + [None] * 28
+
+
+CAST_SPEC = {"mappings": {t: "$.x" for t in ("integer", "number", "boolean", "string", "kept")}, "defaults": {"none": None}}
+CAST_SPEC["typeCasts"] = {t: t for t in CAST_SPEC["mappings"]}
+
+
+def test_casts_read_each_value_once(records):
+    plan = M.apply_mapping(records({"x": 1}), CAST_SPEC)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
+    assert plan.count(", StringType, ") <= 4 and plan.count("schemaOfVariant") == 4
+
+
+def test_casts_by_steps_give_what_single_casts_give(records):
+    texts = """"12" "+7" " 12" "12\\n" "1e3" ".5d" "1e999" "NaN" "TRUE" "tRuE" "true " "" "q\\"\\\\\\u00e9\\u0001\\/\u00e9" 12 -0 0.5 -0.0 1.0 10.10 -9.99
+        1e3 1e-7 1e30 1e999 123456789012345678 -1234567890123456789 12345678901234567890 123456789012345678901234567890
+        100000000000000000000000000000000000000 123456789012345678901234567890123456789 1234567890.123456789 true false null
+        {} [] {"a":[1,"2"]} [1.5,null]""".split()
+    rows = records(*[f'{{"x":{t}}}' for t in texts], "{}", "{bad", "[1]", "7", None, '{"y":1}', '{"x": "a b"}')
+    want = rows.select("ordinal", M.mapped(V.parse(F.col("value")), CAST_SPEC).alias("value"))
+    found = M.apply_mapping(rows, CAST_SPEC).select("ordinal", "value")
+    assert [tuple(r) for r in found.orderBy("ordinal").collect()] == [tuple(r) for r in want.orderBy("ordinal").collect()]
