@@ -286,7 +286,13 @@ def bracket_depth(brackets: Column) -> Column:
         ),
         lambda acc: acc["top"],
     )
-    return F.when(brackets == "", 0).when(brackets.isin("{}", "[]"), 1).otherwise(walked)
+    # Taking out all innermost pairs takes one level; only deeper ones are walked bracket by bracket.
+    left = F.translate(brackets, "[]", "{}")
+    depth = F.when(left == "", 0)
+    for level in range(1, 5):
+        left = F.replace(left, F.lit("{}"), F.lit(""))
+        depth = depth.when(left == "", level)
+    return depth.otherwise(walked)
 
 
 def _step(ch: Column) -> Column:

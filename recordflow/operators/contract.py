@@ -125,13 +125,14 @@ def error_list(variant: Column, text: Column, contract: Contract, fields: dict |
                 ),
             )
         )
-    found = F.array_compact(F.array(*checks)) if checks else none
+    # Most records conform: their checks are not gathered.
+    found = F.when(F.coalesce(*checks).isNull(), none).otherwise(F.array_compact(F.array(*checks))) if checks else none
     root = V.root_kind(text)
     # The texts of these messages are fixed values.
     blank = F.when(F.trim(text) == "", F.array(F.lit("Expected JSON object but got: MISSING")))
     return (
         F.when(variant.isNull(), F.coalesce(blank, bad_json))
-        .when(root != "object", F.array(F.concat(F.lit("Expected JSON object but got: "), _node_name(root))))
+        .when(~text.startswith("{") & (root != "object"), F.array(F.concat(F.lit("Expected JSON object but got: "), _node_name(root))))
         .otherwise(found)
     )
 

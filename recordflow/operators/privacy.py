@@ -38,7 +38,9 @@ def _is_key(token: Column) -> Column:
 
 
 def _key_name(token: Column) -> Column:
-    return F.lower(V.string_text(F.regexp_replace(token, r"\s*:$", "")))
+    bare = F.substring(token, F.lit(2), F.length(token) - 3)
+    name = V.string_text(F.regexp_replace(token, r"\s*:$", ""))
+    return F.lower(F.when(token.endswith('":') & ~token.contains("\\"), bare).otherwise(name))
 
 
 def _is_text(token: Column) -> Column:
@@ -108,16 +110,12 @@ def mask(
                 lambda i, n: F.struct(named(n).alias("key"), V.string_text(F.get(tokens, i)).alias("value")),
             )
         )
-    place = lambda i: named(F.array_position(F.col("_at"), i) - 1)
-    rewritten = F.array_join(
-        F.transform(
-            tokens,
-            lambda t, i: F.when(
-                F.array_contains(F.col("_at"), i), F.concat(F.lit('"'), place(i), F.lit('"'))
-            ).otherwise(t),
-        ),
-        "",
-    )
+    # Per placeholder the tokens since the one before it, then the rest: no token is looked up among all places.
+    at = F.col("_at")
+    since = lambda n: F.when(n > 0, F.get(at, n - 1) + 1).otherwise(0)
+    kept = lambda start, end: F.array_join(F.slice(tokens, start + 1, end - start), "")
+    replaced = F.transform(at, lambda i, n: F.concat(kept(since(n), i), F.lit('"'), named(n), F.lit('"')))
+    rewritten = F.concat(F.array_join(replaced, ""), kept(since(F.size(at)), F.size(tokens)))
     touched = F.size("_at") > 0
     masked = compute_once(
         staged,
@@ -130,7 +128,7 @@ def mask(
         return masked.withColumn(value, F.col("_masked")).drop("_masked")
     # What the reader of tokens cannot see in broken text is looked for in the text as a whole.
     anywhere = reduce(lambda a, b: a | b, [F.col("_masked").rlike(p) for p in patterns])
-    whole = ~V.is_strict(F.col(value)) & anywhere
+    whole = anywhere & ~V.is_strict(F.col(value))
     whole_map = empty if style == "constant" else F.create_map(named(F.lit(0)), F.col(value))
     return compute_once(
         compute_once(masked, {"_whole": F.coalesce(whole, F.lit(False))}),

@@ -1,5 +1,6 @@
 """What keeps time in step with the input: no task for all records of a structure, no text searched again from each of its letters."""
 
+import json
 import threading
 import time
 
@@ -95,3 +96,48 @@ def test_casts_by_steps_give_what_single_casts_give(records):
     want = rows.select("ordinal", M.mapped(V.parse(F.col("value")), CAST_SPEC).alias("value"))
     found = M.apply_mapping(rows, CAST_SPEC).select("ordinal", "value")
     assert [tuple(r) for r in found.orderBy("ordinal").collect()] == [tuple(r) for r in want.orderBy("ordinal").collect()]
+
+
+def test_places_of_placeholders_are_not_searched_per_token(records):
+    rows = records({"note": "u@x", "a": ["b@x", "c", "d@x"], "k\"@x": {"NOTE": "", "z": "e@x"}}, '{"note" : "f"}', ["g@x"], '"h@x"', {"a": 1}, None)
+    out = P.mask(rows, ["note", 'k"@x'], ["@x"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains" not in plan and "array_position" not in plan
+    marks = lambda *at: [f"[MASKED_{i}]" for i in at]
+    want = [
+        json.dumps({"note": marks(0)[0], "a": [marks(1)[0], "c", marks(2)[0]], "k\"@x": {"NOTE": marks(3)[0], "z": marks(4)[0]}}),
+        '{"note" : "[MASKED_0]"}', json.dumps(marks(0)), '"[MASKED_0]"', '{"a": 1}', None,
+    ]
+    found = out.orderBy("ordinal").collect()
+    assert [r.value for r in found] == want
+    assert found[0].mask_map == dict(zip(marks(0, 1, 2, 3, 4), ["u@x", "b@x", "d@x", "", "e@x"]))
+    assert [r.value for r in P.unmask(out).orderBy("ordinal").collect()] == [r.value for r in rows.orderBy("ordinal").collect()]
+
+
+def test_numbers_of_answers_are_read_once(spark):
+    content = ['[{"_n":1,"a":1},{"_n":0,"a":2}]', '[{"a":1},{"a":2}]', '[{"_n":0,"a":1},{"a":2}]', '[{"_n":0},{"_n":0}]', '[{"_n":0},{"_n":7}]', "no", "[1,2]"]
+    answers = spark.createDataFrame([(i, 2, c) for i, c in enumerate(content)], "batch_id long, records int, content string")
+    out = L.numbered_results(answers, ["batch_id"])
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("$._n") == 1
+    found = {}
+    for r in out.collect():
+        found.setdefault(r.batch_id, set()).add((r.ordinal, r.value))
+    assert found == {
+        0: {(1, '{"a":1}'), (0, '{"a":2}')},
+        1: {(0, '{"a":1}'), (1, '{"a":2}')},
+        4: {(0, "{}"), (None, "{}")},
+        6: {(0, "1"), (1, "2")},
+    }
+
+
+def test_depths_by_levels_are_depths_by_brackets(spark):
+    def walked(text):
+        at = top = 0
+        for ch in text:
+            at += 1 if ch in "{[" else -1
+            top = max(top, at)
+        return top
+
+    texts = ["", "{}", "[]", "{[]}", "{}{}", "{{}{}}", "[{}[[]]]", "{{{{}}}}", "[[[[[]]]]]", "{" * 9 + "}" * 9, "{}{{", "}{", "{}}}", "[}", "{}{[{]}"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(V.bracket_depth(F.col("t"))).collect()] == [walked(t) for t in texts]
