@@ -9,9 +9,11 @@ the state from range to range.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -47,6 +49,59 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# Types that come back from Parquet as they were.
+_PLAIN = (T.StringType, T.BinaryType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.VariantType)
+
+
+def _fits_parquet(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        names = {f.name.lower() for f in kind.fields}
+        return 0 < len(names) == len(kind.fields) and all(_fits_parquet(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _fits_parquet(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _fits_parquet(kind.keyType) and _fits_parquet(kind.valueType)
+    return isinstance(kind, _PLAIN)
+
+
+class Shelf:
+    """Frames stored in the checkpoint folder, each until it is taken down; for rows with large texts.
+
+    ``materialise`` writes whole rows uncompressed, and they and the shuffles before them stay on disk until the driver
+    happens to collect its garbage. Here rows are compressed columns, of which a later step reads those
+    it uses, and shuffles go as soon as their rows are stored.
+    """
+
+    TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    # Rows decoded at a time are those of one row group at most.
+    GROUP_BYTES = 16 << 20
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._folders = spark, []
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """The frame as stored: computed once."""
+        folder = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/recordflow-shelf-{uuid.uuid4().hex}"
+        before = self.spark.conf.get(self.TIDY, None)
+        self.spark.conf.set(self.TIDY, "true")
+        try:
+            if not _fits_parquet(df.schema):
+                return materialise(df.select("*"))
+            df.write.options(**{"compression": "zstd", "parquet.block.size": self.GROUP_BYTES}).parquet(folder)
+        finally:
+            self.spark.conf.unset(self.TIDY) if before is None else self.spark.conf.set(self.TIDY, before)
+        stored = self.spark.read.schema(df.schema).parquet(folder)
+        self._folders.append((stored, folder))
+        return stored
+
+    def take_down(self, *frames: DataFrame) -> None:
+        """Delete what was stored; no frame that is still to be computed may read it."""
+        for _, folder in [x for x in self._folders if any(x[0] is f for f in frames)]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._folders = [x for x in self._folders if not any(x[0] is f for f in frames)]
+
+
 RANGE_BYTES = 64 << 20
 
 

@@ -16,12 +16,14 @@ from ..operators.batching import arrival_batches, assign_batches, numbered_batch
 from ..operators.contract import Contract, split, to_dead_letter, validate
 from ..operators.model import ModelClient, build_prompts, complete, embed, numbered_results, path_exists
 from ..operators.rules import apply_patterns
-from ..operators.staging import materialise
+from ..operators.staging import Shelf, materialise
 from ..streaming import runner
 from .config import FlowConfig
 
 _CACHE = "cache_id string, content_key string, embedding array<float>, output string, created_at timestamp"
 _KEYS = ["batch_id", "ordinal"]
+_LOG = ["request_hash", "batch_id", "records", "answer_model", "input_tokens", "output_tokens"]
+_LOG += ["cache_create_tokens", "cache_read_tokens", "attempts", "latency_ms", "call_error"]
 
 
 @dataclass
@@ -61,41 +63,44 @@ class Pipeline:
     def transform(self, df: DataFrame) -> FlowResult:
         """``df`` has key, value (JSON text) and the order columns of the batch options."""
         c = self.config
-        # What a record came with waits aside, and is joined to the results once.
+        shelf = Shelf(df.sparkSession)
         carried = [F.col(f"`{x}`") for x in df.columns if x != "value"]
         packed = df.select("key", "value", *[F.col(f"`{x}`") for x in c.batches.order if x not in ("key", "value")],
                            F.struct(*carried).alias("source"))
-        batched = materialise(self._batched(packed).select(*_KEYS, "key", "value", "source"))
-        source, rows = batched.select(*_KEYS, "source"), batched.drop("source")
+        batched = self._batched(packed).select(*_KEYS, "key", "value", "source")
         trusted: list[DataFrame] = []  # already checked against the contract
         unchecked: list[DataFrame] = []
         invalid = None
 
         specs = self._specs(df.sparkSession)
         if specs is not None:
-            marked = profiling.with_fingerprint(rows, c.contract, c.fingerprint_mode)
-            done, rows, invalid = reuse.apply_compiled(marked, specs, self.contract)
-            done = materialise(done.select(*_KEYS, "key", "value"))
-            trusted.append(self._finish(done, "compiled"))
+            batched = profiling.with_fingerprint(batched, c.contract, c.fingerprint_mode)
+        rows = batched = shelf.put(batched)
+        if specs is not None:
+            done, rows, invalid = reuse.apply_compiled(rows, specs, self.contract)
+            trusted.append(self._finish(shelf.put(done.select(*_KEYS, "key", "value", "source")), "compiled"))
 
         if c.router.enabled:
             rows = profiling.route(rows, c.router.models, c.router.patterns, c.router.granularity)
         else:
             rows = rows.withColumns({"tier": F.lit(2), "model": F.lit(c.router.default_model), "reason": F.lit("")})
-        # Several branches read the routed records: they are written once.
-        rows = rows.select(*_KEYS, "key", "value", "tier", "model")
-        rows = materialise(rows)
-        trusted.append(self._finish(rows.filter("value is null"), "empty"))
+        rows = rows.select(*_KEYS, "key", "value", "source", "tier", "model")
+        if c.router.enabled or c.reuse.cache_path is not None:
+            # Several branches read the routed records: they are written once.
+            rows = shelf.put(rows)
+            shelf.take_down(batched)
+            batched = rows
+        trusted.append(self._finish(shelf.put(rows.filter("value is null")), "empty"))
         rows = rows.filter("value is not null").withColumn("_raw", F.col("value"))
 
         if c.reuse.cache_path is not None and path_exists(df.sparkSession, c.reuse.cache_path):
-            cached, rows = self._from_cache(privacy.mask(rows, c.masking.fields, c.masking.patterns))
+            cached, rows = self._from_cache(privacy.mask(rows, c.masking.fields, c.masking.patterns), shelf)
             unchecked.append(self._finish(cached, "cache"))
 
         if c.router.enabled and c.router.patterns:
             # Rules run in place, on the record as it came.
             plain = rows.filter("tier = 0").withColumn("value", F.col("_raw"))
-            simple = materialise(apply_patterns(plain, c.router.patterns))
+            simple = shelf.put(apply_patterns(plain, c.router.patterns))
             unchecked.append(self._finish(simple.filter("handled"), "rules", restore=False))
             left = simple.filter("not handled").drop("handled").withColumn("model", F.lit(c.router.default_model))
             rows = rows.filter("tier > 0").unionByName(left, allowMissingColumns=True)
@@ -104,17 +109,20 @@ class Pipeline:
 
         calls, lost = None, []
         if self.client is not None:
-            answered, surplus, missing, calls = self._by_model(rows)
+            keyed = shelf.put(rows.withColumn("content_key", self._work_key()))
+            # All that is left to do reads the masked records.
+            shelf.take_down(batched)
+            answered, surplus, missing, calls = self._by_model(keyed, shelf)
             # Masked answers are checked once more with their originals in place.
             (unchecked if c.masking.enabled else trusted).append(self._finish(answered, "model"))
             trusted.append(surplus)
             lost.append(missing)
-            self._store(answered, rows)
+            self._store(answered, keyed)
         else:
             unsent = privacy.unmask(rows, enabled=c.masking.enabled)
-            lost.append(unsent.select(*_KEYS, "key", "value", F.array(F.lit("no model client")).alias("errors")))
+            lost.append(unsent.select(*_KEYS, "key", "value", "source", F.array(F.lit("no model client")).alias("errors")))
 
-        good, bad = self._checked(unchecked)
+        good, bad = self._checked(unchecked, shelf)
         for part in trusted:
             good = part if good is None else good.unionByName(part)
         for part in bad:
@@ -122,23 +130,23 @@ class Pipeline:
         rejected = lost[0]
         for part in lost[1:]:
             rejected = rejected.unionByName(part)
-        good = good.join(source, _KEYS, "left")
-        quarantine = to_dead_letter(rejected.join(source, _KEYS, "left"), "transform")
+        good = good.select(*_KEYS, "key", "value", "route", "source")
+        quarantine = to_dead_letter(rejected.select(*_KEYS, "key", "value", "errors", "source"), "transform")
         return FlowResult(good, quarantine, calls, invalid)
 
     def _batched(self, df: DataFrame) -> DataFrame:
         order, size = list(self.config.batches.order), self.config.batches.size
         return assign_batches(df, order, size) if order else arrival_batches(df, size)
 
-    def _checked(self, parts: list[DataFrame]) -> tuple[DataFrame | None, list[DataFrame]]:
+    def _checked(self, parts: list[DataFrame], shelf: Shelf) -> tuple[DataFrame | None, list[DataFrame]]:
         if not parts:
             return None, []
         whole = parts[0]
         for part in parts[1:]:
             whole = whole.unionByName(part)
         # Read twice below, computed once.
-        good, bad = split(materialise(validate(whole, self.contract)))
-        return good, [bad.select(*_KEYS, "key", "value", "errors")]
+        good, bad = split(shelf.put(validate(whole, self.contract)))
+        return good, [bad.select(*_KEYS, "key", "value", "source", "errors")]
 
     def explain_routes(self, df: DataFrame) -> DataFrame:
         """One row per batch: its profile and the tier it would take."""
@@ -206,24 +214,24 @@ class Pipeline:
             F.concat_ws("\u0001", F.col("value"), F.lit(self.config.contract), F.lit(self.config.system_prompt))
         )
 
-    def _from_cache(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def _from_cache(self, rows: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
         """(records with a stored output of equal or similar masked text, the others)."""
         c, spark = self.config.reuse, rows.sparkSession
         cache = reuse.live_entries(spark.read.schema(_CACHE).parquet(c.cache_path), c.cache_ttl_seconds)
         newest = cache.groupBy("content_key").agg(F.max_by("output", "created_at").alias("output"))
         looked = rows.withColumn("content_key", self._work_key()).join(newest, "content_key", "left").drop("content_key")
-        looked = materialise(looked)
+        looked = shelf.put(looked)
         hit = looked.filter("output is not null").withColumn("value", F.col("output")).drop("output")
         miss = looked.filter("output is null").drop("output")
         if c.similarity is not None and self.embedder is not None:
             asked = embed(miss, self.embedder, "value").withColumn("query_id", F.concat_ws(":", *_KEYS))
             found = reuse.cache_lookup(asked, cache.filter("embedding is not null"), c.similarity)
-            found = materialise(found.drop("embedding", "query_id", "similarity", "cache_id", "age_seconds"))
+            found = shelf.put(found.drop("embedding", "query_id", "similarity", "cache_id", "age_seconds"))
             near = found.filter("hit").withColumn("value", F.col("output")).drop("hit", "output")
             hit, miss = hit.unionByName(near), found.filter("not hit").drop("hit", "output")
         return hit, miss
 
-    def _by_model(self, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    def _by_model(self, keyed: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         """(answers joined to their inputs, outputs beyond the inputs, inputs without a valid answer, the calls made)."""
         c = self.config
         options = {
@@ -235,77 +243,93 @@ class Pipeline:
             "time_limit": c.calls.time_limit,
             "options": c.calls.request_options,
         }
-        keyed = materialise(rows.withColumn("content_key", self._work_key()))
-        asked = self._representatives(keyed) if c.reuse.merge_equal else keyed
-        # Rows left in a batch get consecutive numbers; a batch is small by definition.
-        renumber = F.row_number().over(Window.partitionBy("batch_id", "model").orderBy("ordinal")) - 1
-        staged = asked.withColumn("origin", F.col("ordinal")).withColumn("ordinal", renumber)
-        unit = ["batch_id", "model"]
-        if c.batches.parallel_calls > 1:
-            marked = staged.withColumn("_unit", F.concat_ws("|", *unit))
-            marked = split_batches(marked, c.batches.parallel_calls, "_unit").drop("_unit")
-            again = F.row_number().over(Window.partitionBy(*unit, "sub_batch").orderBy("origin")) - 1
-            staged = marked.withColumn("ordinal", again)
-            unit = [*unit, "sub_batch"]
-        staged = materialise(staged)
-        first = self._ask(staged, unit, options)
-        found = materialise(self._match(first, unit))
-        ok = self._placed(staged, found, unit)
+        work = ["content_key", *_KEYS, "model"]
+        # Which records are asked about, by their numbers alone; their texts are read again for the prompts.
+        staged, unit = self._numbered(keyed.select(*work))
+        staged = shelf.put(staged)
+        first = self._ask(self._numbered(keyed.select(*work, "value"))[0], unit, options, shelf)
+        found = shelf.put(self._placed(staged, self._match(first, unit), unit))
+        ok = found.filter("origin is not null")
         extra = found.filter("ordinal is null")
+        source = F.lit(None).cast(keyed.schema["source"].dataType).alias("source")
         surplus = extra.select(
-            "batch_id", F.lit(None).cast("int").alias("ordinal"), F.col("own_key").alias("key"), "value", F.lit("model").alias("route")
+            "batch_id", F.lit(None).cast("int").alias("ordinal"), F.col("own_key").alias("key"), "value", source, F.lit("model").alias("route")
         )
         log_rows, outputs = [first], ok
         # Only inputs without a good answer are asked again, one by one and still masked.
-        missing = materialise(staged.join(ok.select(*unit, "ordinal"), [*unit, "ordinal"], "left_anti"))
+        missing = shelf.put(staged.join(ok.select(*unit, "ordinal"), [*unit, "ordinal"], "left_anti"))
         failures = None
         if not missing.isEmpty():
             single = missing.withColumn("_of", F.col("ordinal")).withColumn("ordinal", F.lit(0))
             redo_unit = [*unit, "_of"]
-            second = self._ask(single, redo_unit, options)
-            redone = materialise(self._placed(single, self._match(second, redo_unit), redo_unit))
+            texts = keyed.select("batch_id", F.col("ordinal").alias("origin"), "value")
+            second = self._ask(single.join(texts, ["batch_id", "origin"]), redo_unit, options, shelf)
+            redone = shelf.put(self._placed(single, self._match(second, redo_unit), redo_unit).filter("origin is not null"))
             outputs = ok.unionByName(redone, allowMissingColumns=True)
             failures = single.join(second.select(*redo_unit, "call_error"), redo_unit)
             log_rows.append(second)
 
-        log = ["request_hash", "batch_id", "records", "answer_model", "input_tokens", "output_tokens"]
-        log += ["cache_create_tokens", "cache_read_tokens", "attempts", "latency_ms", "call_error"]
         # A call counts in the run that made it, once, however many batches share its answer.
-        calls = log_rows[0].filter("made_now").select(*log)
+        calls = log_rows[0].filter("made_now").select(*_LOG)
         for part in log_rows[1:]:
-            calls = calls.unionByName(part.filter("made_now").select(*log))
+            calls = calls.unionByName(part.filter("made_now").select(*_LOG))
         calls = calls.dropDuplicates(["request_hash"])
-        calls = call_cost(calls.withColumnRenamed("answer_model", "model"), c.prices)
+        calls = shelf.put(call_cost(calls.withColumnRenamed("answer_model", "model"), c.prices))
 
         # Outputs go back to every record of equal work (or to the one record asked about).
         back = ["content_key"] if c.reuse.merge_equal else ["batch_id", "origin"]
+        if failures is not None:
+            failures = shelf.put(failures.groupBy(*back).agg(F.max("call_error").alias("call_error")))
+        shelf.take_down(*log_rows)
         outputs = outputs.select(*back, F.col("value").alias("output"), "own_key")
         source = keyed.withColumn("origin", F.col("ordinal")).select(
-            "content_key", *_KEYS, "origin", "key", "value", "mask_map"
+            "content_key", *_KEYS, "origin", "key", "value", "source", "mask_map"
         )
         answered = (
             source.join(outputs, back)
             .withColumns({"value": F.col("output"), "key": F.coalesce("own_key", "key")})
-            .select(*_KEYS, "key", "value", "mask_map", "content_key")
+            .select(*_KEYS, "key", "value", "source", "mask_map", "content_key")
         )
         lost = source.join(outputs.select(*back), back, "left_anti")
         if failures is not None:
-            lost = lost.join(failures.groupBy(*back).agg(F.max("call_error").alias("call_error")), back, "left")
+            lost = lost.join(failures, back, "left")
         else:
             lost = lost.withColumn("call_error", F.lit(None).cast("string"))
         lost = lost.withColumn("errors", F.array(F.coalesce("call_error", F.lit("no valid output"))))
         lost = privacy.unmask(lost, enabled=c.masking.enabled)
-        return answered, surplus, lost.select(*_KEYS, "key", "value", "errors"), calls
+        return answered, surplus, lost.select(*_KEYS, "key", "value", "source", "errors"), calls
+
+    def _numbered(self, rows: DataFrame) -> tuple[DataFrame, list[str]]:
+        """The records to ask about, numbered within their call (``origin`` is their number in the batch), and the columns that name a call."""
+        c = self.config
+        asked = self._representatives(rows) if c.reuse.merge_equal else rows
+        # Rows left in a batch get consecutive numbers; a batch is small by definition.
+        unit = ["batch_id", "model"]
+        renumber = F.row_number().over(Window.partitionBy(*unit).orderBy("ordinal")) - 1
+        staged = asked.withColumn("origin", F.col("ordinal")).withColumn("ordinal", renumber)
+        if c.batches.parallel_calls > 1:
+            marked = staged.withColumn("_unit", F.concat_ws("|", *unit))
+            marked = split_batches(marked, c.batches.parallel_calls, "_unit").drop("_unit")
+            again = F.row_number().over(Window.partitionBy(*unit, "sub_batch").orderBy("origin")) - 1
+            staged = marked.withColumn("ordinal", again)
+            unit = [*unit, "sub_batch"]
+        return staged, unit
 
     def _representatives(self, rows: DataFrame) -> DataFrame:
         """One record per distinct work, the first in batch order; merged before the shuffle, so copies cost nothing."""
-        names = [c for c in rows.columns if c not in ("content_key", "mask_map")]
+        names = [c for c in rows.columns if c != "content_key"]
         first = F.min_by(F.struct(*names), F.struct(*_KEYS)).alias("_first")
         return rows.groupBy("content_key").agg(first).select("content_key", "_first.*")
 
-    def _ask(self, staged: DataFrame, unit: list[str], options: dict) -> DataFrame:
-        prompts = build_prompts(numbered_batches(staged, unit), self.config.system_prompt, self.contract)
-        return materialise(complete(prompts, self.client, **options))
+    def _ask(self, staged: DataFrame, unit: list[str], options: dict, shelf: Shelf) -> DataFrame:
+        """The answer to each call, without the prompt."""
+        batches = shelf.put(numbered_batches(staged, unit))
+        answers = []
+        prompts = build_prompts(batches, self.config.system_prompt, self.contract)
+        answered = complete(prompts, self.client, keep=lambda df: answers.append(shelf.put(df)) or answers[0], **options)
+        told = shelf.put(answered.select(*dict.fromkeys([*unit, *_LOG, "content", "made_now"])))
+        shelf.take_down(batches, *answers)
+        return told
 
     def _match(self, answers: DataFrame, unit: list[str]) -> DataFrame:
         """Conforming elements of the answers, with the number of their input."""
@@ -316,7 +340,8 @@ class Pipeline:
         return good
 
     def _placed(self, staged: DataFrame, found: DataFrame, unit: list[str]) -> DataFrame:
-        return found.join(staged.select(*unit, "ordinal", "origin", "content_key"), [*unit, "ordinal"])
+        """Elements with ``origin`` and ``content_key`` of their input, NULL for those beyond the inputs."""
+        return found.join(staged.select(*unit, "ordinal", "origin", "content_key"), [*unit, "ordinal"], "left")
 
     def _store(self, answered: DataFrame, asked: DataFrame) -> None:
         """Keep masked outputs by masked input: no original value reaches the cache."""
@@ -325,7 +350,7 @@ class Pipeline:
             return
         once = answered.groupBy("content_key").agg(F.min_by("value", F.struct(*_KEYS)).alias("output"))
         if self.config.reuse.similarity is not None and self.embedder is not None:
-            inputs = asked.select("value", self._work_key().alias("content_key")).dropDuplicates(["content_key"])
+            inputs = asked.select("value", "content_key").dropDuplicates(["content_key"])
             once = embed(once.join(inputs, "content_key"), self.embedder, "value")
         else:
             once = once.withColumn("embedding", F.lit(None).cast("array<float>"))
@@ -340,7 +365,7 @@ class Pipeline:
     def _finish(self, df: DataFrame, route: str, restore: bool = True) -> DataFrame:
         masked = restore and "mask_map" in df.columns
         out = privacy.unmask(df, enabled=self.config.masking.restore) if masked else df
-        return out.select(*_KEYS, "key", "value", F.lit(route).alias("route"))
+        return out.select(*_KEYS, "key", "value", "source", F.lit(route).alias("route"))
 
 
 __all__ = ["FlowConfig", "FlowResult", "Pipeline"]
