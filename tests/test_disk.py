@@ -73,3 +73,9 @@ def test_sources_of_any_type_come_with_their_records(spark):
     got = found.good.selectExpr("key", "value", "source.ordinal", "source.key", "cast(source.span as string)", "source.nothing").collect()
     assert sorted(tuple(r) for r in got) == [(f"k{i}", f'{{"b":"u{i}@x"}}', i, f"k{i}", f"{i} months" if i else "0 seconds", None) for i in range(9)]
     assert found.quarantine.count() == 0
+
+
+def test_whole_masked_texts_are_not_stored_many_times(spark, tmp_path):
+    size, stored, shuffled = _left_on_disk(spark, "broken_whole_texts_masked", tmp_path)
+    assert stored < 2 * size
+    assert shuffled < size / 4
